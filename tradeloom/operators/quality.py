@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Mapping
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tradeloom.operators.joins import lookup_join
 
@@ -57,12 +57,12 @@ def land_split(tagged: DataFrame, path: str, mode: str = "overwrite") -> tuple[D
 
     The expensive work above the split runs one time; each reader opens only its folder.
     """
-    (tagged.withColumn("_valid", F.size(REASONS) == 0)
-     .write.mode(mode).partitionBy("_valid").parquet(path))
+    side = F.when(F.size(REASONS) == 0, F.lit("accepted")).otherwise(F.lit("rejected"))
+    tagged.withColumn("_side", side).write.mode(mode).partitionBy("_side").parquet(path)
     return read_split(tagged.sparkSession, path)
 
 
-def read_split(spark, path: str) -> tuple[DataFrame, DataFrame]:
+def read_split(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:
     stored = spark.read.parquet(path)
-    return (stored.filter("_valid").drop("_valid", REASONS),
-            stored.filter("NOT _valid").drop("_valid"))
+    return (stored.filter("_side = 'accepted'").drop("_side", REASONS),
+            stored.filter("_side = 'rejected'").drop("_side"))

@@ -53,9 +53,11 @@ def to_bronze(tables: Tables, batch_id: str) -> dict[str, int]:
     return landed
 
 
-def to_silver(tables: Tables) -> None:
+def to_silver(tables: Tables, batch_id: str) -> None:
+    """Upsert the batch's users and products; rebuild facts and sessions from all batches."""
     for name, clean in (("users", silver.users), ("products", silver.products)):
-        good, _ = quality.land_split(clean(tables.read("bronze", name)), tables.path("silver_checked", name))
+        arrived = tables.spark.read.parquet(f"{tables.path('bronze', name)}/_batch_id={batch_id}")
+        good, _ = quality.land_split(clean(arrived), tables.path("silver_checked", name))
         key = f"{name[:-1]}_id"
         tables.dimension(name).upsert(good, [key], [c for c in good.columns if c != key])
     users, products = tables.dimension("users").read(), tables.dimension("products").read()
@@ -99,7 +101,7 @@ def run(spark: SparkSession, base: str, batch_id: str) -> dict[str, int]:
     """
     tables = Tables(spark, base)
     to_bronze(tables, batch_id)
-    to_silver(tables)
+    to_silver(tables, batch_id)
     with ThreadPoolExecutor(max_workers=3) as side_by_side:
         for step in [side_by_side.submit(job, tables)
                      for job in (to_customer_360, to_category_rollup, to_leakage)]:
