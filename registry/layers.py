@@ -6,9 +6,11 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from registry import register
-from registry.star import (ACTIVE_SINCE, CLEAN_LINES, CLICKS, EMPLOYEES, LINE_ORDER, LINE_TIEBREAK, ORDER_LINES,
-                           PRODUCTS, SESSIONS, USERS, clicks, employees, order_lines, products, sessions, table, users)
+from registry.star import (ACTIVE_SINCE, CLICKS, EMPLOYEES, LINE_ORDER, LINE_TIEBREAK, ORDER_LINES,
+                           PRODUCTS, SESSIONS, USERS, clicks, employees, lines_of, order_lines, products, sessions, table,
+                           users)
 from tradeloom.operators import quality
+from tradeloom.operators.ordering import sort_names
 from tradeloom.plans import employees as report
 from tradeloom.plans import leakage, rfm, rollups, segments, silver
 from tradeloom.plans import sessions as stitching
@@ -63,10 +65,11 @@ SELECT order_id, line_no, user_id, product_id, order_timestamp, quantity, CAST(u
 FROM order_lines SEMI JOIN known_users USING (user_id) SEMI JOIN known_products USING (product_id)
 WHERE quantity > 0 AND unit_price > 0""")
 def silver_orders(spark, d):
-    raw = order_lines(spark, d).drop("net_amount")
-    line = F.concat_ws("-", "order_id", "line_no")
-    return quality.accepted(silver.orders(raw.withColumn("line_id", line), *_known(spark, d), key="line_id",
-                                          order=["order_timestamp desc"], tiebreak=["line_no"])).drop("line_id")
+    # straight from the lines with their duplicates
+    sort_only = sort_names(LINE_ORDER + LINE_TIEBREAK)
+    raw = lines_of(table(spark, d, "lineitem"), table(spark, d, "orders"), *sort_only)
+    return quality.accepted(silver.orders(raw, *_known(spark, d), keys=["order_id", "line_no"], order=LINE_ORDER,
+                                          tiebreak=LINE_TIEBREAK)).drop(*sort_only)
 
 
 @register(f"""WITH {CLICKS}, {KNOWN} SELECT event_id, session_id, user_id, device_type, event_type, event_timestamp,

@@ -71,15 +71,18 @@ CLEAN_LINES = f"""clean_lines AS (
                              ORDER BY {', '.join(LINE_ORDER + LINE_TIEBREAK)}) = 1)"""
 
 
-def lines_of(lineitem: DataFrame, orders: DataFrame) -> DataFrame:
-    """Order lines under the names of the order table, with the header's user and date."""
+def lines_of(lineitem: DataFrame, orders: DataFrame, *more: str) -> DataFrame:
+    """Order lines under the names of the order table, with the header's user and date.
+
+    ``more`` names further columns to keep.
+    """
     returned = F.col("l_returnflag") == "R"
     lines = lineitem.select(
         F.col("l_orderkey").alias("order_id"), F.col("l_linenumber").alias("line_no"),
         F.col("l_partkey").alias("product_id"), F.col("l_quantity").cast("int").alias("quantity"),
         as_money("l_extendedprice").alias("unit_price"), as_discount("l_discount").alias("discount_pct"),
         F.when(returned, F.lit("returned")).otherwise(F.lit("completed")).alias("order_status"),
-        F.when(returned, F.col("l_shipdate")).alias("return_timestamp"))
+        F.when(returned, F.col("l_shipdate")).alias("return_timestamp"), *more)
     headers = orders.select(F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("user_id"),
                             F.col("o_orderdate").alias("order_timestamp"))
     return lookup_join(lines, headers, ["order_id"])

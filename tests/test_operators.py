@@ -5,6 +5,7 @@ from pyspark.sql import Window, functions as F
 from tradeloom.operators import aggregates, joins, layout, quality, ranking, skew
 from tradeloom.operators.dedup import dedup_latest
 from tradeloom.operators.ordering import sort_columns
+from tradeloom.session import written
 
 
 # --- dedup --------------------------------------------------------------------------------
@@ -78,11 +79,13 @@ def test_salted_join_equals_the_plain_join(spark, rows, how, n, hot):
     assert rows(got) == rows(wanted) and got.count() == n
 
 
-@pytest.mark.parametrize("limit", [joins.BROADCAST_BYTES, 1, 0])
+@pytest.mark.parametrize("limit", [joins.BROADCAST_BYTES, 20, 0])
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 def test_lookup_join_gives_the_same_rows_whatever_the_size(spark, rows, limit, how):
-    left, right = _sides(spark)
+    left, right = (written(side) for side in _sides(spark))
     got = joins.lookup_join(left, right, ["k"], how, max_broadcast_bytes=limit)
+    plan = layout.plan_text(got, "simple")
+    assert ("SortMergeJoin" in plan) == (limit == 20)
     assert rows(got) == rows(left.join(right, "k", how))
 
 
@@ -93,7 +96,7 @@ def test_lookup_join_broadcasts_only_within_the_limit(spark):
     small = layout.plan_text(joins.lookup_join(fact, dim, ["k"]), "simple")
     assert "BroadcastHashJoin" in small and "hashpartitioning" not in small
     large = layout.plan_text(joins.lookup_join(fact, dim, ["k"], max_broadcast_bytes=1000), "simple")
-    assert "_salt" in large
+    assert "SortMergeJoin" in large and "Broadcast" not in large
 
 
 def test_outer_joins_with_a_skewed_side(spark, rows):
@@ -103,6 +106,33 @@ def test_outer_joins_with_a_skewed_side(spark, rows):
     assert rows(joins.keep_all(fact, dim, ["k"])) == rows(fact.join(dim, "k", "full"))
 
 
+def test_a_dimension_planned_as_huge_is_not_read_to_measure_it(spark):
+    fact = spark.range(10).select(F.col("id").alias("k"))
+    huge = spark.range(10**12).select(F.col("id").alias("k"))
+    assert joins.planned_bytes(huge) > 10**12
+    assert "SortMergeJoin" in layout.plan_text(joins.lookup_join(fact, huge, ["k"], "left"), "simple")
+
+
+def test_a_hot_partition_of_a_shuffled_join_is_split(spark):
+    settings = {"spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": "10KB",
+                "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "2",
+                "spark.sql.adaptive.advisoryPartitionSizeInBytes": "10KB"}
+    for key, value in settings.items():
+        spark.conf.set(key, value)
+    try:
+        fact = spark.range(0, 200_000, 1, 8).select("id", F.when(F.col("id") % 3 == 0, 7).otherwise(F.col("id") % 5000).alias("k"))
+        dim = spark.range(5000).select(F.col("id").alias("k"), F.sha2(F.col("id").cast("string"), 512).alias("text"))
+        joined = joins.lookup_join(fact, dim, ["k"], "left", max_broadcast_bytes=1000)
+        assert joined.agg(F.count("text")).first()[0] == 200_000
+        joined.write.format("noop").mode("overwrite").save()
+        counted = joined.groupBy("k").agg(F.count("text").alias("n"))
+        counted.collect()
+        assert "skew=true" in counted._jdf.queryExecution().executedPlan().toString()
+    finally:
+        for key in settings:
+            spark.conf.unset(key)
+
+
 def test_measured_bytes_refuses_what_it_cannot_measure(spark):
     nested = spark.range(1).select(F.array(F.lit(1)).alias("a"))
     assert joins.measured_bytes(nested) is None

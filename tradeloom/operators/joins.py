@@ -7,9 +7,9 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
-from tradeloom.operators.skew import salted_join
-
 BROADCAST_BYTES = 64 * 1024 * 1024
+# files may hold this many times fewer bytes than the values in them
+FAR_BEYOND = 100
 
 
 def _value_bytes(schema: T.StructType, prefix: str = "") -> Column | None:
@@ -36,26 +36,40 @@ def measured_bytes(df: DataFrame) -> int | None:
     return None if per_row is None else df.agg(F.sum(per_row)).first()[0] or 0
 
 
+def planned_bytes(df: DataFrame) -> int:
+    """The planner's size estimate. It reads no data, and no filter makes it smaller."""
+    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+
+
 def lookup_join(fact: DataFrame, dimension: DataFrame, on: Sequence[str], how: str = "inner",
                 max_broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Join facts with a dimension of unknown size (inner, left, left_semi or left_anti).
 
     The dimension's bytes are measured. Within the limit it is broadcast, and the fact table
-    is not shuffled at all; beyond it both sides are shuffled with hot fact keys salted. Pass
-    ``max_broadcast_bytes=0`` for a table known to be large, which also saves the measuring.
+    is not shuffled at all. Beyond it both sides are shuffled and sorted, and AQE splits the
+    partitions of hot fact keys at run time. A dimension planned far beyond the limit is not
+    measured, since reading it just for that would cost too much.
     """
-    if max_broadcast_bytes > 0:
-        size = measured_bytes(dimension)
-        if size is not None and size <= max_broadcast_bytes:
-            return fact.join(F.broadcast(dimension), list(on), how)
-    return salted_join(fact, dimension, on, how)
+    if planned_bytes(dimension) > FAR_BEYOND * max_broadcast_bytes:
+        return fact.join(dimension, list(on), how)
+    size = measured_bytes(dimension)
+    small = size is not None and size <= max_broadcast_bytes
+    return fact.join(F.broadcast(dimension) if small else dimension.hint("merge"), list(on), how)
 
 
 def keep_all_of_right(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
-    """Right outer join with ``left`` as the large, possibly skewed side."""
-    return salted_join(left, right, on, "right")
+    """Right outer join with ``left`` as the large, possibly skewed side.
+
+    As a right join, no hot key of the left side could be split. The matches can, and for the
+    rows without a match the distinct keys of the left side are enough.
+    """
+    return lookup_join(left, right, on).unionByName(_unmatched(left, right, on), allowMissingColumns=True)
 
 
 def keep_all(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
     """Full outer join with ``left`` as the large, possibly skewed side."""
-    return salted_join(left, right, on, "full")
+    return lookup_join(left, right, on, "left").unionByName(_unmatched(left, right, on), allowMissingColumns=True)
+
+
+def _unmatched(left: DataFrame, right: DataFrame, on: Sequence[str]) -> DataFrame:
+    return right.join(left.select(*on).distinct(), list(on), "left_anti")

@@ -6,6 +6,8 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tradeloom.session import written
+
 HOT_SHARE = 0.001
 _SALT, _SALTS = "_salt", "_salts"
 
@@ -31,7 +33,7 @@ def hot_keys(df: DataFrame, keys: Sequence[str], min_share: float = HOT_SHARE) -
     gets as many salts as shuffle partitions its rows would fill.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    total = counts.agg(F.sum("_rows")).scalar()
+    total = df.agg(F.count(F.lit(1))).scalar()
     wanted = F.ceil(F.col("_rows") / total * F.lit(shuffle_partitions(df))).cast("int")
     return (counts.filter(F.col("_rows") >= total * F.lit(min_share))
             .select(*keys, F.greatest(wanted, F.lit(2)).alias(_SALTS)))
@@ -50,17 +52,19 @@ def salted_join(fact: DataFrame, dimension: DataFrame, on: Sequence[str], how: s
     Rows of a hot key get a salt from the ``salt_on`` columns (default: all non-key
     columns), and the dimension rows of that key are repeated once per salt; all other
     keys keep salt 0 and are not repeated. ``hot`` defaults to :func:`hot_keys` of the
-    fact, which reads it once more, so pass a written table. Null keys never match and
-    are spread too.
+    fact, found by one more pass over it, so pass a written table. Null keys never match
+    and are spread too.
     """
     on = list(on)
     if how in ("right", "full", "outer"):
         kept = "inner" if how == "right" else "left"
         matched = salted_join(fact, dimension, on, kept, hot, salt_on, min_share)
+        # only the rows without a match are left to add;
         # distinct collapses a hot key before the shuffle, so the other half needs no salt
         alone = dimension.join(fact.select(*on).distinct(), on, "left_anti")
         return matched.unionByName(alone, allowMissingColumns=True)
-    hot = hot_keys(fact, on, min_share) if hot is None else hot
+    if hot is None:
+        hot = written(hot_keys(fact, on, min_share), "hot-keys")
     if _SALTS not in hot.columns:
         hot = hot.withColumn(_SALTS, F.lit(shuffle_partitions(fact)))
     hot = F.broadcast(hot.select(*on, _SALTS))

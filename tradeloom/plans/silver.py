@@ -13,27 +13,28 @@ from pyspark.sql import DataFrame, functions as F
 from tradeloom.functions.columns import (as_date, as_discount, as_int, as_money, as_timestamp, clean_email,
                                          clean_label, net_amount)
 from tradeloom.operators.dedup import dedup_latest
+from tradeloom.operators.ordering import sort_names
 from tradeloom.operators.quality import REASONS, tag_rows, tag_unknown
 
 NEWEST = ("_ingested_at desc",)
 
 
-def one_per_key(raw: DataFrame, key: str, order: Sequence[str] = NEWEST,
+def one_per_key(raw: DataFrame, keys: Sequence[str], order: Sequence[str] = NEWEST,
                 tiebreak: Sequence[str] | None = None) -> DataFrame:
     """The latest copy of each key; without a tie-break all other columns settle ties."""
-    used = {k.split()[0] for k in order} | {key}
-    return dedup_latest(raw, [key], order, tiebreak or [c for c in raw.columns if c not in used])
+    used = {*sort_names(order), *keys}
+    return dedup_latest(raw, keys, order, tiebreak or [c for c in raw.columns if c not in used])
 
 
 def users(raw: DataFrame, **dedup) -> DataFrame:
-    typed = one_per_key(raw, "user_id", **dedup).withColumns(
+    typed = one_per_key(raw, ["user_id"], **dedup).withColumns(
         {"email": clean_email("email"), "signup_date": as_date("signup_date")})
     return tag_rows(typed, {"user_id": F.col("user_id").isNotNull()}).select(
         "user_id", "name", "email", "city", "state", "signup_date", "preferred_device", REASONS)
 
 
 def products(raw: DataFrame, **dedup) -> DataFrame:
-    typed = one_per_key(raw, "product_id", **dedup).withColumns(
+    typed = one_per_key(raw, ["product_id"], **dedup).withColumns(
         {"list_price": as_money("list_price"), "category": clean_label("category")})
     return tag_rows(typed, {"product_id": F.col("product_id").isNotNull(),
                             "list_price": F.col("list_price").isNotNull()}).select(
@@ -48,9 +49,9 @@ def type_orders(raw: DataFrame) -> DataFrame:
 
 
 def orders(raw: DataFrame, known_users: DataFrame, known_products: DataFrame,
-           key: str = "order_id", **dedup) -> DataFrame:
-    typed = type_orders(one_per_key(raw, key, **dedup))
-    checked = tag_rows(typed, {key: F.col(key).isNotNull(),
+           keys: Sequence[str] = ("order_id",), **dedup) -> DataFrame:
+    typed = type_orders(one_per_key(raw, keys, **dedup))
+    checked = tag_rows(typed, {**{key: F.col(key).isNotNull() for key in keys},
                                "quantity": F.col("quantity") > 0,
                                "unit_price": F.col("unit_price") > 0})
     checked = tag_unknown(checked, known_users, "user_id")
@@ -59,7 +60,7 @@ def orders(raw: DataFrame, known_users: DataFrame, known_products: DataFrame,
 
 
 def clickstream(raw: DataFrame, known_users: DataFrame, known_products: DataFrame, **dedup) -> DataFrame:
-    typed = one_per_key(raw, "event_id", **dedup).withColumn(
+    typed = one_per_key(raw, ["event_id"], **dedup).withColumn(
         "event_timestamp", as_timestamp("event_timestamp"))
     checked = tag_rows(typed, {c: F.col(c).isNotNull() for c in ("session_id", "user_id", "event_timestamp")})
     checked = tag_unknown(checked, known_users, "user_id")

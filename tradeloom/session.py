@@ -60,9 +60,14 @@ def scratch_root(spark: SparkSession) -> str:
     return root
 
 
+def scratch_folder(spark: SparkSession) -> str:
+    """This application's part of the shared folder; remove it when no table of it is in use."""
+    return f"{scratch_root(spark)}/tradeloom/{spark.sparkContext.applicationId}"
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
-    """A new, unused path below the shared folder."""
-    return f"{scratch_root(spark)}/tradeloom/{label}-{uuid.uuid4().hex}"
+    """A new, unused path for an intermediate table."""
+    return f"{scratch_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, label: str = "cut") -> DataFrame:

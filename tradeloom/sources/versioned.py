@@ -61,36 +61,43 @@ class VersionedTable:
 
     # --- reading ------------------------------------------------------------------------
 
-    def _log(self, as_of: int) -> DataFrame:
-        """Base and later committed changes up to a version, with the version of each row."""
+    def _start(self, as_of: int) -> tuple[int, DataFrame]:
+        """The version reading starts from, and its rows: the newest base, else the first version."""
         base = self._base(as_of)
-        oldest_base = self._commits("base_commits").agg(F.min(VERSION)).first()[0]
-        if base is None and oldest_base is not None:
-            raise ValueError(f"version {as_of} was folded into version {oldest_base}")
-        committed = self._commits().filter(F.col(VERSION) <= as_of)
-        parts = []
         if base is not None:
-            committed = committed.filter(F.col(VERSION) > base)
-            parts.append(self.spark.read.parquet(f"{self.path}/bases/{VERSION}={base}")
-                         .withColumn(VERSION, F.lit(base).cast("long")))
-        if base is None or base < as_of:
-            changes = (self.spark.read.option("basePath", f"{self.path}/changes")
-                       .parquet(f"{self.path}/changes")
-                       .withColumn(VERSION, F.col(VERSION).cast("long"))
-                       .filter(F.col(VERSION).between((base if base is not None else -1) + 1, as_of)))
-            # one short row per version, folded away by compact()
-            parts.append(changes.join(F.broadcast(committed.select(VERSION)), VERSION, "left_semi"))
-        return parts[0] if len(parts) == 1 else parts[0].unionByName(parts[1])
-
-    def _newest(self, as_of: int) -> DataFrame:
-        log = self._log(as_of)
-        return dedup_latest(log, self.keys, [f"{VERSION} desc"], [DELETED]).drop(VERSION)
+            return base, self.spark.read.parquet(f"{self.path}/bases/{VERSION}={base}")
+        folded = self._commits("base_commits").agg(F.min(VERSION)).first()[0]
+        if folded is not None:
+            raise ValueError(f"version {as_of} was folded into version {folded}")
+        first = self._commits().agg(F.min(VERSION)).first()[0]
+        return first, self.spark.read.parquet(f"{self.path}/changes/{VERSION}={first}")
+
+    def _changes(self, after: int, up_to: int) -> DataFrame:
+        """Rows of the committed versions in between, with their version; other folders aren't read."""
+        between = F.col(VERSION).between(after + 1, up_to)
+        # one short row per version, folded away by compact()
+        committed = F.broadcast(self._commits().filter(between).select(VERSION))
+        return (self.spark.read.parquet(f"{self.path}/changes")
+                .withColumn(VERSION, F.col(VERSION).cast("long"))
+                .filter(between).join(committed, VERSION, "left_semi"))
+
+    def _state(self, as_of: int) -> DataFrame:
+        """Newest row of each key, deleted ones included.
+
+        Only the changes are sorted by key. The start has one row per key, and loses those the
+        changes replace in a join that needs no shuffle while the changes are few.
+        """
+        first, start = self._start(as_of)
+        if first == as_of:
+            return start
+        changes = dedup_latest(self._changes(first, as_of), self.keys, [f"{VERSION} desc"], [DELETED])
+        return merge_frames(start, changes.drop(VERSION), self.keys)
 
     def read_as_of(self, version: int) -> DataFrame:
         latest = self.latest()
         if latest is None or not 0 <= version <= latest:
             raise ValueError(f"no version {version} in {self.path}; the latest is {latest}")
-        return self._newest(version).filter(~F.col(DELETED)).drop(DELETED)
+        return self._state(version).filter(~F.col(DELETED)).drop(DELETED)
 
     def read(self) -> DataFrame:
         """The current rows."""
@@ -105,14 +112,17 @@ class VersionedTable:
         A table with a base starts there, its rows counted as inserted.
         """
         latest = self.latest()
-        base = self._base(latest)
+        first, start = self._start(latest)
+        log = start.withColumn(VERSION, F.lit(first).cast("long"))
+        if first < latest:
+            log = log.unionByName(self._changes(first, latest))
         before = F.lag(DELETED).over(Window.partitionBy(*self.keys).orderBy(VERSION))
         kind = (F.when(F.col(DELETED), F.lit("deleted"))
                 .when(F.coalesce(before, F.lit(True)), F.lit("inserted")).otherwise(F.lit("updated")))
-        counts = (self._log(latest).withColumn("_kind", kind).groupBy(VERSION)
+        counts = (log.withColumn("_kind", kind).groupBy(VERSION)
                   .agg(*[F.count(F.when(F.col("_kind") == k, 1)).alias(f"rows_{k}")
                          for k in ("inserted", "updated", "deleted")]))
-        return (self._commits().filter(F.col(VERSION) >= (0 if base is None else base))
+        return (self._commits().filter(F.col(VERSION) >= first)
                 .join(counts, VERSION, "left").fillna(0)
                 .select(VERSION, "committed_at", "operation", "rows_inserted", "rows_updated",
                         "rows_deleted"))
