@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, functions as F
 from pyspark.sql import types as T
 
 from registry import register
-from registry.star import (ACTIVE_SINCE, CLEAN_LINES, CLICKS, EMPLOYEES, LINE_KEY, LINE_ORDER, LINE_TIEBREAK,
+from registry.star import (CLEAN_LINES, CLICKS, EMPLOYEES, LINE_KEY, LINE_ORDER, LINE_TIEBREAK,
                            NET_AMOUNT, USERS, clicks, employees, table, users)
 from tradeloom.functions import columns as C
 from tradeloom.operators import aggregates, dedup, joins, quality, ranking, skew
@@ -165,24 +165,24 @@ def net_amount(spark, d):
 
 # --- joins -------------------------------------------------------------------------------
 # Facts are the order headers. The dimension holds the customers in credit, so that some
-# orders have no match, and customers without recent orders have none either.
+# orders have no match, and the suppliers, who never order.
 
-IN_CREDIT = "credit AS (SELECT c_custkey AS user_id, c_name AS name FROM customer WHERE c_acctbal > 0)"
+IN_CREDIT = """credit AS (SELECT c_custkey AS user_id, c_name AS name FROM customer WHERE c_acctbal > 0
+  UNION ALL SELECT -1 - s_suppkey, s_name FROM supplier WHERE s_acctbal > 0)"""
 ALL_ORDERS = "facts AS (SELECT o_orderkey AS order_id, o_custkey AS user_id, o_totalprice AS amount FROM orders)"
-RECENT_ORDERS = ALL_ORDERS.replace("FROM orders", f"FROM orders WHERE o_orderdate >= DATE '{ACTIVE_SINCE}'")
 
 
 def _in_credit(spark, d) -> DataFrame:
-    return (table(spark, d, "customer").filter(F.col("c_acctbal") > 0)
-            .select(F.col("c_custkey").alias("user_id"), F.col("c_name").alias("name")))
+    customers = (table(spark, d, "customer").filter("c_acctbal > 0")
+                 .select(F.col("c_custkey").alias("user_id"), F.col("c_name").alias("name")))
+    suppliers = (table(spark, d, "supplier").filter("s_acctbal > 0")
+                 .select((F.lit(-1) - F.col("s_suppkey")).alias("user_id"), F.col("s_name").alias("name")))
+    return customers.unionByName(suppliers)
 
 
-def _facts(spark, d, recent: bool = False) -> DataFrame:
-    orders = table(spark, d, "orders")
-    if recent:
-        orders = orders.filter(F.col("o_orderdate") >= F.lit(ACTIVE_SINCE).cast("timestamp"))
-    return orders.select(F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("user_id"),
-                         F.col("o_totalprice").alias("amount"))
+def _facts(spark, d) -> DataFrame:
+    return table(spark, d, "orders").select(F.col("o_orderkey").alias("order_id"), F.col("o_custkey").alias("user_id"),
+                                            F.col("o_totalprice").alias("amount"))
 
 
 @register(f"WITH {IN_CREDIT}, {ALL_ORDERS} SELECT user_id, order_id, amount, name FROM facts JOIN credit USING (user_id)")
@@ -211,14 +211,14 @@ def join_left_anti(spark, d):
     return quality.orphans(_facts(spark, d), _in_credit(spark, d), "user_id")
 
 
-@register(f"WITH {IN_CREDIT}, {RECENT_ORDERS} SELECT user_id, order_id, amount, name FROM facts RIGHT JOIN credit USING (user_id)")
+@register(f"WITH {IN_CREDIT}, {ALL_ORDERS} SELECT user_id, order_id, amount, name FROM facts RIGHT JOIN credit USING (user_id)")
 def join_right(spark, d):
-    return joins.keep_all_of_right(_facts(spark, d, recent=True), _in_credit(spark, d), ["user_id"])
+    return joins.keep_all_of_right(_facts(spark, d), _in_credit(spark, d), ["user_id"])
 
 
-@register(f"WITH {IN_CREDIT}, {RECENT_ORDERS} SELECT user_id, order_id, amount, name FROM facts FULL JOIN credit USING (user_id)")
+@register(f"WITH {IN_CREDIT}, {ALL_ORDERS} SELECT user_id, order_id, amount, name FROM facts FULL JOIN credit USING (user_id)")
 def join_full_outer(spark, d):
-    return joins.keep_all(_facts(spark, d, recent=True), _in_credit(spark, d), ["user_id"])
+    return joins.keep_all(_facts(spark, d), _in_credit(spark, d), ["user_id"])
 
 
 @register("""SELECT count(*) AS lines,

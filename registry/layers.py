@@ -6,8 +6,8 @@ from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, functions as F
 
 from registry import register
-from registry.star import (ACTIVE_SINCE, CLICKS, EMPLOYEES, LINE_ORDER, LINE_TIEBREAK, ORDER_LINES,
-                           PRODUCTS, SESSIONS, USERS, clicks, employees, lines_of, order_lines, products, sessions, table,
+from registry.star import (ACCOUNTS, CLICKS, EMPLOYEES, LINE_ORDER, LINE_TIEBREAK, ORDER_LINES,
+                           PRODUCTS, SESSIONS, USERS, accounts, clicks, employees, lines_of, order_lines, products, sessions, table,
                            users)
 from tradeloom.operators import quality
 from tradeloom.operators.ordering import sort_names
@@ -94,13 +94,12 @@ def funnel_counts(spark, d):
 # --- gold --------------------------------------------------------------------------------
 
 
-def _rfm_sql(r: str, f: str, m: str, since: str = "") -> str:
-    done = "order_status = 'completed'" + since
+def _rfm_sql(r: str, f: str, m: str) -> str:
     return f"""{ORDER_LINES}, measures AS (
   SELECT user_id, CAST(date_diff('day', CAST(max(order_timestamp) AS DATE),
            CAST((SELECT max(order_timestamp) FROM order_lines) AS DATE)) AS INTEGER) AS recency_days,
          count(order_id) AS frequency, CAST(sum(net_amount) AS DECIMAL(18,2)) AS monetary
-  FROM order_lines WHERE {done} GROUP BY user_id),
+  FROM order_lines WHERE order_status = 'completed' GROUP BY user_id),
 tiles AS (
   SELECT *, CAST(ntile(5) OVER (ORDER BY recency_days {r}, user_id) AS INTEGER) AS r_score,
          CAST(ntile(5) OVER (ORDER BY frequency {f}, user_id) AS INTEGER) AS f_score,
@@ -132,18 +131,15 @@ def rfm_scores_distributed(spark, d):
     return rfm.score(rfm.measures(order_lines(spark, d)), method="spread")
 
 
-RECENT = f" AND order_timestamp >= TIMESTAMP '{ACTIVE_SINCE}'"
-CUSTOMERS = f"""{USERS}, {_rfm_sql('DESC', 'ASC', 'ASC', RECENT)}, customers AS (
+CUSTOMERS = f"""{ACCOUNTS}, {_rfm_sql('DESC', 'ASC', 'ASC')}, customers AS (
   SELECT user_id, name, city, state, preferred_device, coalesce(recency_days, 9999) AS recency_days,
          coalesce(frequency, 0) AS frequency, coalesce(monetary, 0) AS monetary, r_score, f_score, m_score,
          coalesce(rfm_score, 0) AS rfm_score, coalesce(rfm_segment, 'Never Purchased') AS rfm_segment
-  FROM users LEFT JOIN scored USING (user_id))"""
+  FROM accounts LEFT JOIN scored USING (user_id))"""
 
 
 def _customers(spark, d) -> DataFrame:
-    """Customer 360 with orders since a recent day, so that some customers have none."""
-    lines = order_lines(spark, d).filter(F.col("order_timestamp") >= F.lit(ACTIVE_SINCE).cast("timestamp"))
-    return rfm.customer_360(users(spark, d), rfm.score(rfm.measures(lines)))
+    return rfm.customer_360(accounts(spark, d), rfm.score(rfm.measures(order_lines(spark, d))))
 
 
 @register(f"""WITH {CUSTOMERS} SELECT user_id, name, city, state, preferred_device, recency_days, frequency,

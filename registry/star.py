@@ -17,7 +17,6 @@ LINE_KEY = ["l_orderkey", "l_linenumber"]
 LINE_ORDER = ["l_shipdate desc"]
 LINE_TIEBREAK = ["l_partkey", "l_suppkey", "l_quantity desc", "l_extendedprice desc", "l_discount", "l_tax",
                  "l_returnflag", "l_linestatus"]
-ACTIVE_SINCE = "2001-06-01"
 
 EVENT_NAMES = {"view": "view", "click": "add_to_cart", "signup": "checkout_start",
                "error": "payment_attempt", "purchase": "purchase"}
@@ -48,6 +47,22 @@ USERS = """users AS (
   FROM customer JOIN nation ON c_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"""
 
 
+def accounts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Users, and the suppliers as users below zero: they never order anything."""
+    supplier, where = table(spark, sf_dir, "supplier"), places(spark, sf_dir)
+    quiet = supplier.join(where, supplier.s_nationkey == where.n_nationkey).select(
+        (F.lit(-1) - F.col("s_suppkey")).alias("user_id"), F.col("s_name").alias("name"),
+        F.lit(None).cast("string").alias("email"), F.col("n_name").alias("city"), F.col("r_name").alias("state"),
+        F.lit("NONE").alias("preferred_device"), as_money("s_acctbal").alias("balance"))
+    return users(spark, sf_dir).unionByName(quiet)
+
+
+ACCOUNTS = USERS + """, accounts AS (
+  SELECT * FROM users UNION ALL
+  SELECT -1 - s_suppkey, s_name, NULL, n_name, r_name, 'NONE', CAST(s_acctbal AS DECIMAL(18,2))
+  FROM supplier JOIN nation ON s_nationkey = n_nationkey JOIN region ON n_regionkey = r_regionkey)"""
+
+
 def products(spark: SparkSession, sf_dir: str) -> DataFrame:
     return table(spark, sf_dir, "part").select(
         F.col("p_partkey").alias("product_id"), F.col("p_name").alias("product_name"),

@@ -43,10 +43,6 @@ def test_clean_email(spark):
     assert one(spark, C.clean_email("e"), e="  Ann@X.COM ") == "ann@x.com"
 
 
-def test_tokens_drop_empty_ones(spark):
-    assert one(spark, C.tokens("t"), t="a b  a ") == ["a", "b", "a"]
-
-
 def test_tier_boundaries(spark):
     got = [one(spark, C.tier(F.lit(v), employees.SALARY_GRADES, employees.LOWEST_GRADE))
            for v in (85_000, 84_999, 70_000, 69_999)]

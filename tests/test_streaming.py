@@ -63,6 +63,19 @@ def test_late_rows_count_in_complete_mode_and_are_dropped_in_append_mode(spark,
     assert counted == [(at(0), 1), (at(600), 2)] and dropped == 1
 
 
+def test_update_mode_gives_a_window_again_when_it_changes(spark, folder):
+    import time
+    feed = f"{folder}/feed"
+    for second in (1, 2):
+        batch(spark, feed, (payload(f"o{second}"), second))
+        time.sleep(0.05)
+    stream = orders.well_formed(orders.decode_orders(messages.file_messages(spark, feed, files_per_batch=1)))
+    query = (orders.window_metrics(stream).writeStream.outputMode("update").format("memory").queryName("updates")
+             .option("checkpointLocation", f"{folder}/c").trigger(availableNow=True).start())
+    query.awaitTermination()
+    assert sorted(r.orders_in_window for r in spark.table("updates").collect()) == [1, 2]
+
+
 def land(spark, folder):
     orders.start_landing(messages.file_messages(spark, f"{folder}/feed"), f"{folder}/store", f"{folder}/c",
                          available_now=True).awaitTermination()

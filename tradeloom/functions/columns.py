@@ -33,11 +33,6 @@ def format_key(prefix: str, c: ColumnOrName, width: int) -> Column:
                     .otherwise(F.lpad(digits, width, "0")))
 
 
-def tokens(c: ColumnOrName) -> Column:
-    """Tokens between single spaces; empty ones are dropped."""
-    return F.filter(F.split(_col(c), " "), lambda token: token != "")
-
-
 # --- typing: a value that doesn't parse becomes null, also in ANSI mode ------------------
 
 def as_money(c: ColumnOrName) -> Column:

@@ -6,12 +6,10 @@ from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, functions as F
 
-from tradeloom.functions.columns import tokens
-
 
 def word_count(df: DataFrame, text: str = "value") -> DataFrame:
     """Occurrences of each space-separated token; counted per task before the shuffle."""
-    return (df.select(F.explode(tokens(text)).alias("token"))
+    return (df.select(F.explode(F.split(text, " ")).alias("token")).filter("token <> ''")
             .groupBy("token").agg(F.count(F.lit(1)).alias("n")))
 
 

@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from pyspark.sql import types as T
 
 BROADCAST_BYTES = 64 * 1024 * 1024
-# files may hold this many times fewer bytes than the values in them
+# inputs larger than this many times the limit are not read to measure a dimension
 FAR_BEYOND = 100
 
 
@@ -36,9 +36,14 @@ def measured_bytes(df: DataFrame) -> int | None:
     return None if per_row is None else df.agg(F.sum(per_row)).first()[0] or 0
 
 
-def planned_bytes(df: DataFrame) -> int:
-    """The planner's size estimate. It reads no data, and no filter makes it smaller."""
-    return int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes())
+def input_bytes(df: DataFrame) -> int:
+    """Bytes of the files and tables a table is computed from, as the planner knows them.
+
+    Reads no data. (The planner's estimate for the result is no use here: it takes a join
+    for as large as the product of its sides.)
+    """
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
 
 
 def lookup_join(fact: DataFrame, dimension: DataFrame, on: Sequence[str], how: str = "inner",
@@ -47,10 +52,11 @@ def lookup_join(fact: DataFrame, dimension: DataFrame, on: Sequence[str], how: s
 
     The dimension's bytes are measured. Within the limit it is broadcast, and the fact table
     is not shuffled at all. Beyond it both sides are shuffled and sorted, and AQE splits the
-    partitions of hot fact keys at run time. A dimension planned far beyond the limit is not
-    measured, since reading it just for that would cost too much.
+    partitions of hot fact keys at run time. A dimension made from far more than the limit is
+    not measured, since reading all that just for its size would cost too much; AQE then
+    still broadcasts it if the rows turn out to be few.
     """
-    if planned_bytes(dimension) > FAR_BEYOND * max_broadcast_bytes:
+    if input_bytes(dimension) > FAR_BEYOND * max_broadcast_bytes:
         return fact.join(dimension, list(on), how)
     size = measured_bytes(dimension)
     small = size is not None and size <= max_broadcast_bytes

@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame, functions as F
 
+from tradeloom.operators.joins import BROADCAST_BYTES, measured_bytes
 from tradeloom.session import written
 
 HOT_SHARE = 0.001
@@ -65,6 +66,8 @@ def salted_join(fact: DataFrame, dimension: DataFrame, on: Sequence[str], how: s
         return matched.unionByName(alone, allowMissingColumns=True)
     if hot is None:
         hot = written(hot_keys(fact, on, min_share), "hot-keys")
+    elif measured_bytes(hot.select(*on)) > BROADCAST_BYTES:
+        raise ValueError("hot keys are broadcast, and these are too many")
     if _SALTS not in hot.columns:
         hot = hot.withColumn(_SALTS, F.lit(shuffle_partitions(fact)))
     hot = F.broadcast(hot.select(*on, _SALTS))

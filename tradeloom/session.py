@@ -45,18 +45,18 @@ def tune(spark: SparkSession) -> SparkSession:
 
 
 def scratch_root(spark: SparkSession) -> str:
-    """The shared folder for intermediate tables: ``spark.checkpoint.dir`` of the session.
+    """The shared folder for intermediate tables: the checkpoint folder of the session.
 
-    A machine-local temporary folder is used only when the setting is missing and the
-    session runs in local mode, where there is only one machine.
+    A machine-local temporary folder is used only when the session names none and runs in
+    local mode, where there is only one machine.
     """
-    root = spark.conf.get("spark.checkpoint.dir", None)
+    root = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root.rstrip("/")
     if not spark.sparkContext.master.startswith("local"):
         raise RuntimeError("set spark.checkpoint.dir to a folder all executors share")
     root = tempfile.mkdtemp(prefix="tradeloom-")
-    spark.conf.set("spark.checkpoint.dir", root)
+    spark.sparkContext.setCheckpointDir(root)
     return root
 
 

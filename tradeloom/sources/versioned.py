@@ -75,8 +75,7 @@ class VersionedTable:
     def _changes(self, after: int, up_to: int) -> DataFrame:
         """Rows of the committed versions in between, with their version; other folders aren't read."""
         between = F.col(VERSION).between(after + 1, up_to)
-        # one short row per version, folded away by compact()
-        committed = F.broadcast(self._commits().filter(between).select(VERSION))
+        committed = self._commits().filter(between).select(VERSION)
         return (self.spark.read.parquet(f"{self.path}/changes")
                 .withColumn(VERSION, F.col(VERSION).cast("long"))
                 .filter(between).join(committed, VERSION, "left_semi"))
