@@ -90,9 +90,10 @@ def to_messages(events: DataFrame, status: str = "success") -> DataFrame:
 
 
 def message_stream(spark, d) -> DataFrame:
-    """The events file as a stream of messages."""
+    """The events table as a stream of messages."""
     schema = spark.read.parquet(f"{d}/events.parquet").schema
-    events = spark.readStream.schema(schema).option("pathGlobFilter", "events.parquet").parquet(d)
+    # as a glob, the table may be one file or a folder of files
+    events = spark.readStream.schema(schema).parquet(f"{d}/events.parque[t]")
     return to_messages(events.withColumn("ts", F.col("ts").cast("timestamp")))
 
 
@@ -119,27 +120,25 @@ WINDOWS = MESSAGES + """, windows AS (
   FROM live GROUP BY 1, 2)"""
 
 
-def _flat(windows: DataFrame) -> DataFrame:
-    return windows.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
-                          "orders_in_window", "revenue_in_window", "failure_rate")
+def _windows(spark, d, mode: str, size: str) -> DataFrame:
+    """The windowed metrics of the whole stream, as the sink's files hold them at its end."""
+    path = scratch_path(spark, "windows")
+    orders = live.well_formed(live.decode_orders(message_stream(spark, d)))
+    live.start_metrics(orders, f"{path}-checkpoint", mode, path, available_now=True, window=size).awaitTermination()
+    stored = spark.read.schema(live.window_metrics(orders).schema).parquet(path)
+    return stored.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"),
+                         "orders_in_window", "revenue_in_window", "failure_rate")
 
 
 @register(f"WITH {WINDOWS.format(size='30 seconds')} SELECT * FROM windows")
 def stream_window_complete(spark, d):
-    path = scratch_path(spark, "windows")
-    orders = live.well_formed(live.decode_orders(message_stream(spark, d)))
-    live.start_metrics(orders, f"{path}-checkpoint", "complete", path, available_now=True).awaitTermination()
-    return _flat(spark.read.parquet(path))
+    return _windows(spark, d, "complete", "30 seconds")
 
 
 @register(f"""WITH {WINDOWS.format(size='1 hour')} SELECT * FROM windows
 WHERE window_end <= (SELECT max(kafka_ingest_ts) FROM live) - INTERVAL '1 minute'""")
 def stream_window_append(spark, d):
-    path = scratch_path(spark, "windows")
-    orders = live.well_formed(live.decode_orders(message_stream(spark, d)))
-    live.start_metrics(orders, f"{path}-checkpoint", "append", path, available_now=True,
-                       window="1 hour").awaitTermination()
-    return _flat(spark.read.parquet(path))
+    return _windows(spark, d, "append", "1 hour")
 
 
 @register(f"""WITH {MESSAGES} SELECT {LIVE_COLUMNS.replace('payment_status', "CASE payment_status WHEN 'failed' THEN 'failed' ELSE 'settled' END AS payment_status").replace('kafka_ingest_ts', 'kafka_ingest_ts + INTERVAL 1 DAY AS kafka_ingest_ts')}

@@ -91,3 +91,12 @@ def test_literal_rows_and_sequence(spark, rows):
 def test_text_lines(spark, folder, rows):
     spark.createDataFrame([("a b",), ("c",)], "value string").write.text(f"{folder}/t")
     assert rows(files.read_lines(spark, f"{folder}/t")) == [("a b",), ("c",)]
+
+
+def test_clear_scratch_leaves_nothing_behind(spark):
+    from tradeloom.session import clear_scratch, scratch_folder
+    from tradeloom.sources import paths
+    written(spark.range(3))
+    assert paths.exists(spark, scratch_folder(spark))
+    clear_scratch(spark)
+    assert not paths.exists(spark, scratch_folder(spark))

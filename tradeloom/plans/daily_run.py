@@ -1,11 +1,14 @@
 """The whole batch: raw files to bronze, silver, gold, segments and BI copies.
 
+    python -m tradeloom.plans.daily_run --base <folder> --batch <id>
+
 Each step reads the written tables of the step before, so no step computes another's work
 again and a lost executor costs one task, not a chain of steps.
 """
 
 from __future__ import annotations
 
+import argparse
 from concurrent.futures import ThreadPoolExecutor
 
 from pyspark.sql import DataFrame, SparkSession
@@ -13,6 +16,7 @@ from pyspark.sql import DataFrame, SparkSession
 from tradeloom import schemas
 from tradeloom.operators import quality
 from tradeloom.plans import leakage, rfm, rollups, segments, sessions, silver
+from tradeloom.session import build_session, clear_scratch
 from tradeloom.sources import files
 from tradeloom.sources.versioned import VersionedTable
 
@@ -108,3 +112,17 @@ def run(spark: SparkSession, base: str, batch_id: str) -> dict[str, int]:
             step.result()
     to_segments(tables)
     return to_exports(tables)
+
+
+def main(argv: list[str] | None = None) -> None:
+    arguments = argparse.ArgumentParser(description="Bronze, silver and gold tables of one batch")
+    arguments.add_argument("--base", required=True)
+    arguments.add_argument("--batch", required=True)
+    given = arguments.parse_args(argv)
+    spark = build_session("daily-run")
+    run(spark, given.base, given.batch)
+    clear_scratch(spark)
+
+
+if __name__ == "__main__":
+    main()

@@ -7,6 +7,8 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
+from tradeloom.sources import paths
+
 # SQL settings that results or skew handling depend on. They can be changed at run time,
 # so they are also applied to a session somebody else built.
 SQL_SETTINGS = {
@@ -61,10 +63,15 @@ def scratch_root(spark: SparkSession) -> str:
 
 
 def scratch_folder(spark: SparkSession) -> str:
-    """This application's part of the shared folder; remove it when no table of it is in use."""
+    """This application's part of the shared folder."""
     return f"{scratch_root(spark)}/tradeloom/{spark.sparkContext.applicationId}"
 
 
+def clear_scratch(spark: SparkSession) -> None:
+    """Remove this application's intermediate tables; results that still read them break."""
+    paths.remove(spark, scratch_folder(spark))
+
+
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path for an intermediate table."""
     return f"{scratch_folder(spark)}/{label}-{uuid.uuid4().hex}"
