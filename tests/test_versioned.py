@@ -1,4 +1,5 @@
 import pytest
+from hypothesis import HealthCheck, given, settings, strategies as st
 from pyspark.sql import functions as F
 
 from tradeloom.operators.layout import plan_text
@@ -80,8 +81,9 @@ def test_compact_keeps_later_reads_and_removes_older_files(table, rows):
     assert [rows(table.read_as_of(v)) for v in (2, 3, 4)] == before
     with pytest.raises(ValueError):
         table.read_as_of(1)
-    left = sorted(f.rsplit("=", 1)[1] for f in paths.subfolders(table.spark, f"{table.path}/changes"))
-    assert left == ["3", "4"]
+    left = {kind: sorted(f.rsplit("=", 1)[1] for f in paths.subfolders(table.spark, f"{table.path}/{kind}"))
+            for kind in ("changes", "commits", "bases")}
+    assert left == {"changes": ["3", "4"], "commits": ["2", "3", "4"], "bases": ["2"]}
     assert [h[0] for h in history(table)] == [2, 3, 4]
     table.compact(4)
     assert rows(table.read()) == before[-1]
@@ -100,3 +102,37 @@ def test_another_writer_is_refused(spark, folder):
     put(table, [(2, "b")], version=1, writer="q1")
     with pytest.raises(ValueError):
         put(table, [(3, "c")], version=0, writer="q2")
+
+
+steps = st.lists(st.one_of(
+    st.tuples(st.just("upsert"), st.dictionaries(st.integers(0, 5), st.sampled_from("abc"), min_size=1, max_size=4)),
+    st.tuples(st.just("rollback"), st.integers(0, 3)), st.tuples(st.just("compact"), st.integers(0, 3))), min_size=1, max_size=5)
+
+
+@settings(max_examples=5, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+@given(steps)
+def test_any_history_equals_a_dictionary(spark, rows, tmp_path_factory, steps):
+    table = VersionedTable(spark, str(tmp_path_factory.mktemp("v")), ["k"])
+    put(table, [(0, "z")])
+    states, oldest = [{0: "z"}], 0
+    for kind, value in steps:
+        if kind == "upsert":
+            put(table, list(value.items()))
+            states.append({**states[-1], **value})
+            continue
+        version = oldest + value % (len(states) - oldest)
+        if kind == "rollback":
+            table.rollback(version)
+            states.append(states[version])
+        else:
+            table.compact(version)
+            oldest = version
+    assert table.latest() == len(states) - 1
+    for version in range(oldest, len(states)):
+        assert rows(table.read_as_of(version)) == sorted(states[version].items())
+    kept = {h[0]: h[2:] for h in history(table)}
+    assert sorted(kept) == list(range(oldest, len(states)))
+    for version in range(oldest + 1, len(states)):
+        before, after = states[version - 1], states[version]
+        assert kept[version][0] == len(after.keys() - before.keys())
+        assert kept[version][2] == len(before.keys() - after.keys())

@@ -108,19 +108,26 @@ class VersionedTable:
     def history(self) -> DataFrame:
         """One row per version: when, by which operation, rows inserted, updated and deleted.
 
-        A table with a base starts there, its rows counted as inserted.
+        A table with a base starts there, its rows counted as inserted. Of the start's rows only
+        those with later changes are looked at.
         """
         latest = self.latest()
         first, start = self._start(latest)
-        log = start.withColumn(VERSION, F.lit(first).cast("long"))
+        marks = [*self.keys, VERSION, DELETED]
+        log = start.withColumn(VERSION, F.lit(first).cast("long")).select(*marks)
+        counts = log.groupBy(VERSION).agg(F.count(F.lit(1)).alias("rows_inserted")).withColumns(
+            {"rows_updated": F.lit(0).cast("long"), "rows_deleted": F.lit(0).cast("long")})
         if first < latest:
-            log = log.unionByName(self._changes(first, latest))
-        before = F.lag(DELETED).over(Window.partitionBy(*self.keys).orderBy(VERSION))
-        kind = (F.when(F.col(DELETED), F.lit("deleted"))
-                .when(F.coalesce(before, F.lit(True)), F.lit("inserted")).otherwise(F.lit("updated")))
-        counts = (log.withColumn("_kind", kind).groupBy(VERSION)
-                  .agg(*[F.count(F.when(F.col("_kind") == k, 1)).alias(f"rows_{k}")
-                         for k in ("inserted", "updated", "deleted")]))
+            changes = self._changes(first, latest).select(*marks)
+            touched = log.join(changes.select(*self.keys).distinct(), self.keys, "left_semi")
+            before = F.lag(DELETED).over(Window.partitionBy(*self.keys).orderBy(VERSION))
+            kind = (F.when(F.col(DELETED), F.lit("deleted"))
+                    .when(F.coalesce(before, F.lit(True)), F.lit("inserted")).otherwise(F.lit("updated")))
+            changed = (touched.unionByName(changes).withColumn("_kind", kind)
+                       .filter(F.col(VERSION) > first).groupBy(VERSION)
+                       .agg(*[F.count(F.when(F.col("_kind") == k, 1)).alias(f"rows_{k}")
+                              for k in ("inserted", "updated", "deleted")]))
+            counts = counts.unionByName(changed)
         return (self._commits().filter(F.col(VERSION) >= first)
                 .join(counts, VERSION, "left").fillna(0)
                 .select(VERSION, "committed_at", "operation", "rows_inserted", "rows_updated",
@@ -152,23 +159,35 @@ class VersionedTable:
         return self._write(rows, version, "upsert", writer)
 
     def rollback(self, version: int) -> int:
-        """Make the rows of an earlier version current again, as a new version."""
+        """Make the rows of an earlier version current again, as a new version.
+
+        Only keys changed since then are compared.
+        """
+        latest = self.latest()
         wanted, current = self.read_as_of(version), self.read()
+        if version < latest:
+            touched = self._changes(version, latest).select(*self.keys).distinct()
+            wanted = wanted.join(touched, self.keys, "left_semi")
+            current = current.join(touched, self.keys, "left_semi")
         restored = wanted.subtract(current).withColumn(DELETED, F.lit(False))
         removed = (current.join(wanted.select(*self.keys), self.keys, "left_anti")
                    .withColumn(DELETED, F.lit(True)))
-        return self._write(restored.unionByName(removed), self.latest() + 1,
-                           f"rollback to {version}", None)
+        return self._write(restored.unionByName(removed), latest + 1, f"rollback to {version}", None)
 
     def compact(self, keep_from: int) -> None:
-        """Fold everything up to ``keep_from`` into a base and remove the older changes.
+        """Fold everything up to ``keep_from`` into a base and remove what that replaces.
 
         Reads as of ``keep_from`` and later stay as they were; earlier ones raise. The base is
-        committed before anything is removed, so an interrupted call loses nothing.
+        committed before anything is removed, so an interrupted call loses nothing and can be
+        repeated.
         """
         base = self.read_as_of(keep_from).withColumn(DELETED, F.lit(False))
-        base.write.mode("overwrite").parquet(f"{self.path}/bases/{VERSION}={keep_from}")
-        self._commit(keep_from, "compact", None, "base_commits")
-        for folder in paths.subfolders(self.spark, f"{self.path}/changes"):
-            if int(folder.rsplit("=", 1)[1]) <= keep_from:
-                paths.remove(self.spark, folder)
+        if self._base(keep_from) != keep_from:
+            base.write.mode("overwrite").parquet(f"{self.path}/bases/{VERSION}={keep_from}")
+            self._commit(keep_from, "compact", None, "base_commits")
+        # the commit of keep_from stays: it tells that the version exists
+        for kind, oldest_kept in (("changes", keep_from + 1), ("bases", keep_from),
+                                  ("base_commits", keep_from), ("commits", keep_from)):
+            for folder in paths.subfolders(self.spark, f"{self.path}/{kind}"):
+                if int(folder.rsplit("=", 1)[1]) < oldest_kept:
+                    paths.remove(self.spark, folder)
