@@ -138,8 +138,9 @@ CUSTOMERS = f"""{ACCOUNTS}, {_rfm_sql('DESC', 'ASC', 'ASC')}, customers AS (
   FROM accounts LEFT JOIN scored USING (user_id))"""
 
 
-def _customers(spark, d) -> DataFrame:
-    return rfm.customer_360(accounts(spark, d), rfm.score(rfm.measures(order_lines(spark, d))))
+def _customers(spark, d, lines: DataFrame | None = None) -> DataFrame:
+    lines = order_lines(spark, d) if lines is None else lines
+    return rfm.customer_360(accounts(spark, d), rfm.score(rfm.measures(lines)))
 
 
 @register(f"""WITH {CUSTOMERS} SELECT user_id, name, city, state, preferred_device, recency_days, frequency,
@@ -187,8 +188,9 @@ leakage AS (
   FROM lost GROUP BY 1, 2)"""
 
 
-def _leakage(spark, d) -> DataFrame:
-    return leakage.revenue_leakage_daily(sessions(spark, d), products(spark, d), order_lines(spark, d))
+def _leakage(spark, d, lines: DataFrame | None = None) -> DataFrame:
+    lines = order_lines(spark, d) if lines is None else lines
+    return leakage.revenue_leakage_daily(sessions(spark, d), products(spark, d), lines)
 
 
 @register(f"""WITH {LEAKAGE} SELECT event_date, leakage_type, num_incidents,
@@ -217,7 +219,8 @@ SELECT count(*) AS customers, CAST(sum(monetary) AS DOUBLE) AS total_revenue,
   CAST((SELECT sum(amount) FROM lost) AS DOUBLE) AS revenue_lost,
   count(*) FILTER (rfm_segment = 'Champions') AS champions FROM customers""")
 def bi_kpis(spark, d):
-    return rollups.kpis(_customers(spark, d), _leakage(spark, d))
+    lines = written(order_lines(spark, d), "lines")  # two gold tables from one cleaning
+    return rollups.kpis(_customers(spark, d, lines), _leakage(spark, d, lines))
 
 
 @register(f"""WITH {LEAKAGE}, copies AS (SELECT unnest(['csv', 'parquet']) AS format)

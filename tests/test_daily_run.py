@@ -60,3 +60,4 @@ def test_whole_run_twice(spark, folder):
     assert {r.city for r in users.read_as_of(0).collect()} == {"Oslo"}
     assert spark.read.option("header", True).csv(f"{folder}/exports/customer_360_csv").count() == 9
     assert tables.read("bronze", "users").count() == 18
+    assert {(r.product_id, r._batch_id) for r in tables.rejects("products").collect()} == {("P9", "b1"), ("P9", "b2")}

@@ -22,6 +22,8 @@ from tradeloom.sources.versioned import VersionedTable
 
 RAW = {"users": schemas.USERS_RAW, "products": schemas.PRODUCTS_RAW, "orders": schemas.ORDERS_RAW,
        "clickstream": schemas.CLICKS_RAW}
+DIMENSIONS = {"users": silver.users, "products": silver.products}
+FACTS = {"orders": silver.orders, "clickstream": silver.clickstream}
 GOLD = ("customer_360", "daily_category_rollup", "revenue_leakage_daily", "customer_segments_kmeans")
 
 
@@ -44,7 +46,9 @@ class Tables:
         return quality.read_split(self.spark, self.path("silver", name))[0]
 
     def rejects(self, name: str) -> DataFrame:
-        return quality.read_split(self.spark, self.path("silver", name))[1]
+        """Rejected rows with their reasons, for users and products of all batches."""
+        layer = "silver_checked" if name in DIMENSIONS else "silver"
+        return quality.read_split(self.spark, self.path(layer, name))[1]
 
 
 def to_bronze(tables: Tables, batch_id: str) -> dict[str, int]:
@@ -59,13 +63,13 @@ def to_bronze(tables: Tables, batch_id: str) -> dict[str, int]:
 
 def to_silver(tables: Tables, batch_id: str) -> None:
     """Upsert the batch's users and products; rebuild facts and sessions from all batches."""
-    for name, clean in (("users", silver.users), ("products", silver.products)):
+    for name, clean in DIMENSIONS.items():
         arrived = tables.spark.read.parquet(f"{tables.path('bronze', name)}/_batch_id={batch_id}")
-        good, _ = quality.land_split(clean(arrived), tables.path("silver_checked", name))
+        good, _ = quality.land_split(clean(arrived), f"{tables.path('silver_checked', name)}/_batch_id={batch_id}")
         key = f"{name[:-1]}_id"
         tables.dimension(name).upsert(good, [key], [c for c in good.columns if c != key])
     users, products = tables.dimension("users").read(), tables.dimension("products").read()
-    for name, clean in (("orders", silver.orders), ("clickstream", silver.clickstream)):
+    for name, clean in FACTS.items():
         quality.land_split(clean(tables.read("bronze", name), users, products), tables.path("silver", name))
     files.write_results(sessions.stitch_sessions(tables.fact("clickstream")), tables.path("silver", "sessions"))
 
