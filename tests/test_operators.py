@@ -79,13 +79,13 @@ def test_salted_join_equals_the_plain_join(spark, rows, how, n, hot):
     assert rows(got) == rows(wanted) and got.count() == n
 
 
-@pytest.mark.parametrize("limit", [joins.BROADCAST_BYTES, 20, 0])
+@pytest.mark.parametrize("limit", [joins.BROADCAST_BYTES, 50, 0])
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 def test_lookup_join_gives_the_same_rows_whatever_the_size(spark, rows, limit, how):
-    left, right = (written(side) for side in _sides(spark))
+    left, right = (written(side.coalesce(1)) for side in _sides(spark))
     got = joins.lookup_join(left, right, ["k"], how, max_broadcast_bytes=limit)
     plan = layout.plan_text(got, "simple")
-    assert ("SortMergeJoin" in plan) == (limit == 20)
+    assert ("SortMergeJoin" in plan) == (limit == 50)
     assert rows(got) == rows(left.join(right, "k", how))
 
 
