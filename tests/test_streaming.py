@@ -123,6 +123,16 @@ def test_two_queries_over_one_feed(spark, folder):
     assert "Console" in started[1].lastProgress.sink.description
 
 
+def test_json_lines_land_too(spark, folder):
+    spark.createDataFrame([(payload("o1"),), (payload("o2"),), ("nonsense",)], "value string").write.text(f"{folder}/feed")
+    feed = messages.line_messages(spark, f"{folder}/feed")
+    assert feed.columns == ["key", "value", "timestamp"]
+    orders.start_landing(feed, f"{folder}/store", f"{folder}/c", available_now=True).awaitTermination()
+    landed = orders.landed(spark, f"{folder}/store").read().collect()
+    assert sorted(r.order_id for r in landed) == ["o1", "o2"] and all(r.kafka_ingest_ts for r in landed)
+    assert orders.quarantined(spark, f"{folder}/store").count() == 1
+
+
 def test_kafka_needs_its_connector(spark):
     with pytest.raises(Exception, match="(?i)kafka"):
         messages.kafka_messages(spark, "localhost:9092", "orders")

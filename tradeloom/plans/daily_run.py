@@ -42,6 +42,10 @@ class Tables:
     def dimension(self, name: str) -> VersionedTable:
         return VersionedTable(self.spark, self.path("silver", name), [f"{name[:-1]}_id"])
 
+    def current(self, name: str) -> DataFrame:
+        """Users or products as of this run, merged once for all the joins that need them."""
+        return self.read("silver", f"{name}_current")
+
     def fact(self, name: str) -> DataFrame:
         return quality.read_split(self.spark, self.path("silver", name))[0]
 
@@ -68,7 +72,8 @@ def to_silver(tables: Tables, batch_id: str) -> None:
         good, _ = quality.land_split(clean(arrived), f"{tables.path('silver_checked', name)}/_batch_id={batch_id}")
         key = f"{name[:-1]}_id"
         tables.dimension(name).upsert(good, [key], [c for c in good.columns if c != key])
-    users, products = tables.dimension("users").read(), tables.dimension("products").read()
+        files.write_results(tables.dimension(name).read(), tables.path("silver", f"{name}_current"))
+    users, products = tables.current("users"), tables.current("products")
     for name, clean in FACTS.items():
         quality.land_split(clean(tables.read("bronze", name), users, products), tables.path("silver", name))
     files.write_results(sessions.stitch_sessions(tables.fact("clickstream")), tables.path("silver", "sessions"))
@@ -76,19 +81,19 @@ def to_silver(tables: Tables, batch_id: str) -> None:
 
 def to_customer_360(tables: Tables) -> None:
     scored = rfm.score(rfm.measures(tables.fact("orders")))
-    files.write_results(rfm.customer_360(tables.dimension("users").read(), scored),
+    files.write_results(rfm.customer_360(tables.current("users"), scored),
                         tables.path("gold", "customer_360"))
 
 
 def to_category_rollup(tables: Tables) -> None:
-    rollup = rollups.daily_category_rollup(tables.fact("orders"), tables.dimension("products").read())
+    rollup = rollups.daily_category_rollup(tables.fact("orders"), tables.current("products"))
     # a day is a few rows by now: one file per day instead of one per task and day
     files.write_results(rollup.repartition("order_date"), tables.path("gold", "daily_category_rollup"),
                         partition_by=["order_date"])
 
 
 def to_leakage(tables: Tables) -> None:
-    daily = leakage.revenue_leakage_daily(tables.read("silver", "sessions"), tables.dimension("products").read(),
+    daily = leakage.revenue_leakage_daily(tables.read("silver", "sessions"), tables.current("products"),
                                           tables.fact("orders"))
     files.write_results(daily, tables.path("gold", "revenue_leakage_daily"), partition_by=["leakage_type"])
 
