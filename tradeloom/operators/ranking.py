@@ -18,6 +18,7 @@ from tradeloom.operators.skew import shuffle_partitions
 from tradeloom.session import written
 
 MAX_TASK_ROWS = 1_000_000
+BUCKET_ROWS = 100_000
 _BUCKET, _INDEX, _POSITION = "_bucket", "_index", "_position"
 
 
@@ -27,6 +28,11 @@ def largest_group(df: DataFrame, group: Sequence[str]) -> int:
     return counts.agg(F.max("n")).first()[0] or 0
 
 
+def buckets_for(df: DataFrame, rows: int) -> int:
+    """Buckets for a known number of rows: as many as there is work for, at most the shuffle partitions."""
+    return min(shuffle_partitions(df), max(8, rows // BUCKET_ROWS))
+
+
 def _numbered(df: DataFrame, order: Sequence[str], buckets: int | None) -> tuple[DataFrame, DataFrame]:
     """(rows with bucket and position counted from 1, one size row per bucket).
 
@@ -83,7 +89,7 @@ def ntile(df: DataFrame, k: int, order: Sequence[str], out: str, rows: int | Non
     rows = df.count() if rows is None else rows
     if rows <= max_task_rows:
         return df.withColumn(out, F.ntile(k).over(Window.orderBy(*sort_columns(order))))
-    return spread_ntile(df, k, order, out)
+    return spread_ntile(df, k, order, out, buckets_for(df, rows))
 
 
 def spread_rank(df: DataFrame, group: Sequence[str], order: Sequence[str], tiebreak: Sequence[str],

@@ -7,7 +7,7 @@ from datetime import datetime
 from pyspark.sql import Column, DataFrame, functions as F
 
 from tradeloom.functions.columns import tier
-from tradeloom.operators.ranking import MAX_TASK_ROWS, ntile, spread_ntile
+from tradeloom.operators.ranking import MAX_TASK_ROWS, buckets_for, ntile, spread_ntile
 from tradeloom.schemas import MONEY
 from tradeloom.session import written
 
@@ -65,7 +65,7 @@ def score(per_customer: DataFrame, orientation: str = "standard", method: str =
     for out, key in ORIENTATIONS[orientation].items():
         order = [key, "user_id"]
         if method == "spread":
-            scored = spread_ntile(scored, TILES, order, out)
+            scored = spread_ntile(scored, TILES, order, out, buckets_for(scored, rows))
         else:
             scored = ntile(scored, TILES, order, out, rows, rows if method == "window" else max_task_rows)
     return with_segment(scored)
