@@ -13,9 +13,9 @@ REASONS = "_reject_reasons"
 
 def tag_rows(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
     """Add the names of the rules each row breaks. A rule that is null counts as broken."""
-    broken = F.filter(
-        F.array(*[F.when(~F.coalesce(rule, F.lit(False)), F.lit(name)) for name, rule in rules.items()]),
-        lambda reason: reason.isNotNull())
+    none = F.array().cast("array<string>")
+    broken = F.concat(*[F.when(F.coalesce(rule, F.lit(False)), none).otherwise(F.array(F.lit(name)))
+                        for name, rule in rules.items()])
     if REASONS in df.columns:
         broken = F.concat(F.col(REASONS), broken)
     return df.withColumn(REASONS, broken)

@@ -47,5 +47,5 @@ def funnel_events(wide: DataFrame, stages: dict[str, str], carry: list[str]) ->
         F.when(F.col(column).isNotNull(),
                F.struct(F.lit(event).alias("event_type"), F.col(column).alias("event_timestamp")))
         for event, column in stages.items()])
-    return (wide.select(*carry, F.explode(F.filter(reached, lambda e: e.isNotNull())).alias("_e"))
+    return (wide.select(*carry, F.explode(reached).alias("_e")).filter("_e IS NOT NULL")
             .select(*carry, "_e.event_type", "_e.event_timestamp"))
