@@ -64,11 +64,13 @@ RULES = [
 
 
 def _windows() -> Column:
-    """A 64-bit hash of every window of words, in order."""
-    size = F.size("word_hashes")
-    window = lambda i: F.xxhash64(*[F.get(F.col("word_hashes"), i + k) for k in range(WINDOW)])
-    return F.when(size >= WINDOW, F.transform(F.sequence(F.lit(0), size - WINDOW), window)).otherwise(
-        F.array().cast("array<bigint>"))
+    """A 64-bit hash of every window of 5 words, in order: of pairs, of pairs of pairs, and of those with a fifth word."""
+    hashes = F.col("word_hashes")
+    after = lambda values, steps: F.slice(values, steps + 1, F.greatest(F.size("word_hashes"), F.lit(1)))
+    both = lambda a, b: F.xxhash64(a, b)
+    pairs = F.zip_with(hashes, after(hashes, 1), both)
+    fives = F.zip_with(F.zip_with(pairs, after(pairs, 2), both), after(hashes, 4), both)
+    return F.slice(fives, 1, F.greatest(F.size("word_hashes") - (WINDOW - 1), F.lit(0)))
 
 
 def _repeated_places() -> Column:
