@@ -113,17 +113,22 @@ def redacted(text: str, spans: list[Span]) -> str:
     return "".join([*parts, text[at:]])
 
 
-SPANS_TYPE = "array<struct<kind:string,start:int,end:int,score:double>>"
+def spans_of(text: Column) -> Column:
+    """An array of (kind, start, end, score)."""
+    @F.pandas_udf("array<struct<kind:string,start:int,end:int,score:double>>")
+    def find(texts: pd.Series) -> pd.Series:
+        return pd.Series([[dict(zip(("kind", "start", "end", "score"), span)) for span in find_spans(t or "")] for t in texts])
 
+    return find(text)
 
-@F.pandas_udf(SPANS_TYPE)
-def spans_of(texts: pd.Series) -> pd.Series:
-    return pd.Series([[dict(zip(("kind", "start", "end", "score"), span)) for span in find_spans(text or "")] for text in texts])
 
+def redacted_text(text: Column) -> Column:
+    """The text with its spans replaced; null stays null."""
+    @F.pandas_udf("string")
+    def replace(texts: pd.Series) -> pd.Series:
+        return pd.Series([None if t is None else redacted(t, find_spans(t)) for t in texts], dtype=object)
 
-@F.pandas_udf("string")
-def redacted_text(texts: pd.Series) -> pd.Series:
-    return pd.Series([None if text is None else redacted(text, find_spans(text)) for text in texts], dtype=object)
+    return replace(text)
 
 
 def digest(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
