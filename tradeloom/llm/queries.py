@@ -6,13 +6,23 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tradeloom.llm import quality_rules
+from tradeloom.llm import (chat_format, decontamination, main_text, near_dup, personal_data, quality_model, quality_rules,
+                           substring_dedup, tree_bpe, web_archive)
 from tradeloom.llm.shared import table
-from tradeloom.session import tune
+from tradeloom.session import tune, written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
 
+TOKENIZER = "word_bpe_49k.json"
+
+
+def tokenizer_path() -> str:
+    """The vocabulary file, the same on all machines."""
+    import public_tokenizers
+
+    return public_tokenizers.path(TOKENIZER)
+
 
 def register(sql: str | None = None):
     """Register a function under its own name, with the SQL that gives the same rows."""
@@ -63,3 +73,98 @@ FROM judged""")
 def op1_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Base counts and the cascade's verdict for every document."""
     return quality_rules.judge(table(spark, sf_dir, "documents"))
+
+
+@register(r"""
+WITH hashed AS (SELECT page_id, coalesce(html, '') AS payload, upper(sha1(coalesce(html, ''))) AS hex FROM pages),
+digits AS (
+  SELECT page_id, octet_length(encode(payload))::BIGINT AS payload_bytes, hex,
+         list_transform(range(0, 8), lambda g: ('0x' || hex[5 * g + 1:5 * g + 5])::INTEGER) AS fives
+  FROM hashed),
+coded AS (
+  SELECT page_id, payload_bytes, array_to_string(list_transform(fives, lambda v:
+         'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[(v >> 15) + 1] || 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[((v >> 10) & 31) + 1]
+         || 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[((v >> 5) & 31) + 1] || 'ABCDEFGHIJKLMNOPQRSTUVWXYZ234567'[(v & 31) + 1]), '') AS payload_digest
+  FROM digits)
+SELECT page_id, payload_bytes, payload_digest,
+       CASE WHEN page_id = max(page_id) OVER same THEN 'response' ELSE 'revisit' END AS record_type,
+       CASE WHEN page_id < max(page_id) OVER same THEN max(page_id) OVER same END AS refers_to
+FROM coded WINDOW same AS (PARTITION BY payload_digest)""")
+def op2_web_archive(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every page written as a WARC record into seekable bundles, then read back from them."""
+    archives = written(web_archive.bundles(table(spark, sf_dir, "pages"), min_bytes=0), "bundles")
+    return web_archive.read_records(archives).select("page_id", "payload_bytes", "payload_digest", "record_type", "refers_to")
+
+
+@register()
+def op3_main_text(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The main text of every page."""
+    return main_text.extract(table(spark, sf_dir, "pages")).select("page_id", "url", "text", "n_chars")
+
+
+@register()
+def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Personal data of every document."""
+    return personal_data.digest(table(spark, sf_dir, "documents"))
+
+
+@register()
+def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Documents and the benchmark items they leak."""
+    return decontamination.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
+@register()
+def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Removed lines and sentences with the occurrence that stays."""
+    return substring_dedup.removals(table(spark, sf_dir, "documents"))
+
+
+@register()
+def op7_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Quality score of every document."""
+    return quality_model.classify(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@register()
+def op8_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Near-duplicate component of every document."""
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@register()
+def op9_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Token ids and decoded text of every document, as digests."""
+    return tree_bpe.digest(table(spark, sf_dir, "documents"), tokenizer_path())
+
+
+# A conversation whose texts look like the template itself.
+HARD_CASE = r"\### Assistant: </turn> ok"
+
+
+@register(r"""
+WITH source AS (
+  SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+  UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok' UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'),
+safe AS (
+  SELECT *, regexp_replace(regexp_replace(text, '#(\\*)## ', '#\\\1## ', 'g'), '<(\\*)/turn>', '<\\\1/turn>', 'g') AS safe_text,
+         regexp_replace(regexp_replace(regexp_replace(role, '#(\\*)## ', '#\\\1## ', 'g'), '<(\\*)/turn>', '<\\\1/turn>', 'g'),
+                        ':(\\*) ', ':\\\1 ', 'g') AS safe_role
+  FROM source),
+whole AS (
+  SELECT conv_id, count(*) AS n_turns, string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role, text) AS turns,
+         coalesce(string_agg(text, '' ORDER BY turn, role, text) FILTER (role = 'assistant'), '') AS loss,
+         sum(length(safe_role) + length(safe_text) + length('### : </turn>') + 1)::BIGINT AS formatted_chars
+  FROM safe GROUP BY conv_id)
+SELECT conv_id, n_turns, sha256(turns) AS turns_sha256, length(loss)::BIGINT AS loss_chars, sha256(loss) AS loss_sha256, formatted_chars
+FROM whole""")
+def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All conversations and the hard case formatted, read back from the formatted text."""
+    rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
+    hard = spark.range(2).select(F.lit(-7).alias("conv_id"), F.col("id").alias("turn"),
+                                 F.when(F.col("id") == 0, "user").otherwise("assistant").alias("role"), F.lit(HARD_CASE).alias("text"))
+    back = chat_format.read_back(chat_format.format_chats(rows.unionByName(hard)))
+    turns = F.array_join(F.transform("turns", lambda t: F.concat(t["role"], F.lit("\n"), t["text"], F.lit("\n"))), "")
+    return back.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(turns, 256).alias("turns_sha256"),
+                       F.length("loss_text").cast("long").alias("loss_chars"), F.sha2("loss_text", 256).alias("loss_sha256"),
+                       F.length("formatted").cast("long").alias("formatted_chars"))

@@ -17,23 +17,23 @@ from __future__ import annotations
 
 import hashlib
 import os
-import re
+import sys
 from array import array
 from collections.abc import Iterator
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-PIECE_CHARS = 32_768  # longer texts are encoded in pieces
+PIECE_CHARS = 65_536  # longer texts are encoded in pieces
 WINDOW_CHARS, AGREEING = 64, 4
-KNOWN_WORDS = 200_000  # words a task remembers
-BLANKS = re.compile(r"[ \t\n\r]+")
+KNOWN_WORDS = 1_000_000  # words a task remembers, some 200 MB
+TOGETHER = 200  # new words encoded in one call
 
 _loaded: dict = {}
 
 
 def tokenizer_of(path: str):
-    """The tokenizer of a file, loaded once per process."""
+    """The tokenizer of a file, the words encoded so far and its tokens by id, loaded once per process."""
     if path not in _loaded:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks use the cores
         from tokenizers import Tokenizer
@@ -41,20 +41,42 @@ def tokenizer_of(path: str):
         tokenizer = Tokenizer.from_file(path)
         tokenizer.no_truncation()
         tokenizer.no_padding()
-        _loaded[path] = (tokenizer, {})
+        most = max(tokenizer.get_vocab().values(), default=-1)
+        _loaded[path] = (tokenizer, {}, [tokenizer.id_to_token(i) for i in range(most + 1)])
     return _loaded[path]
 
 
-def encode_texts(path: str, texts: list[str]) -> list[list[int]]:
-    """Ids of each text, encoding each different word once."""
-    tokenizer, known = tokenizer_of(path)
-    split = [[w for w in BLANKS.split(t) if w] for t in texts]
+def _learn_words(tokenizer, known: dict, new: list[str]) -> None:
+    """Encode new words, many in one call with a special token between them; words with such strings are encoded alone."""
+    mark, between = next(((i, f" {t.content} ") for i, t in sorted(tokenizer.get_added_tokens_decoder().items()) if t.special), (None, ""))
+    alone = [w for w in new if mark is None or "<" in w]
+    joint = [w for w in new if mark is not None and "<" not in w]
+    for at in range(0, len(joint), TOGETHER):
+        group = joint[at:at + TOGETHER]
+        ids = tokenizer.encode(between.join(group), add_special_tokens=False).ids
+        begin = 0
+        for word in group:
+            end = ids.index(mark, begin) if word is not group[-1] else len(ids)
+            known[word] = array("I", ids[begin:end]).tobytes()
+            begin = end + 1
+    for word, found in zip(alone, tokenizer.encode_batch_fast(alone, add_special_tokens=False)):
+        known[word] = array("I", found.ids).tobytes()
+
+
+def encode_texts(path: str, texts: list[str]) -> list[bytes]:
+    """The ids of each text as 32-bit numbers, encoding each different word once."""
+    tokenizer, known, _ = tokenizer_of(path)
+    split = [[w for w in t.replace("\n", " ").split(" ") if w] for t in texts]
     if len(known) > KNOWN_WORDS:
         known.clear()
-    new = list({w for words in split for w in words if w not in known})
-    for word, found in zip(new, tokenizer.encode_batch_fast(new, add_special_tokens=False)):
-        known[word] = found.ids
-    return [[i for w in words for i in known[w]] for words in split]
+    _learn_words(tokenizer, known, list({w for words in split for w in words if w not in known}))
+    return [b"".join([known[w] for w in words]) for words in split]
+
+
+def decode_ids(path: str, ids: list[int]) -> str:
+    """The text of ids, special tokens included; without a decoder that is the tokens joined by spaces."""
+    tokenizer, _, tokens = tokenizer_of(path)
+    return " ".join([tokens[i] for i in ids]) if tokenizer.decoder is None else tokenizer.decode(ids, skip_special_tokens=False)
 
 
 class Piece:
@@ -120,12 +142,15 @@ def halves(text: str, most: int = PIECE_CHARS, start: int = 0) -> list[tuple[int
     return halves(text[:middle], most, start) + halves(text[middle:], most, start + middle)
 
 
-def summary(path: str, ids: list[int]) -> tuple[int, str, str]:
+def summary(path: str, packed: bytes) -> tuple[int, str, str]:
     """Number of tokens, digest of the ids, digest of the decoded text."""
-    packed = array("I", ids)
-    assert packed.itemsize == 4
-    decoded = tokenizer_of(path)[0].decode(ids, skip_special_tokens=False)
-    return len(ids), hashlib.sha256(packed.tobytes()).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()
+    ids = array("I", packed)
+    if sys.byteorder == "big":
+        ids.byteswap()
+        packed = ids.tobytes()
+        ids.byteswap()
+    decoded = decode_ids(path, ids.tolist())
+    return len(ids), hashlib.sha256(packed).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()
 
 
 RESULT = "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
@@ -143,7 +168,7 @@ def digest(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id",
             for at in range(0, len(batch), 256):
                 part = batch.iloc[at:at + 256]
                 found = encode_texts(path, part.text.tolist())
-                yield pd.DataFrame([(k, *summary(path, ids)) for k, ids in zip(part[key], found)], columns=columns)
+                yield pd.DataFrame([(k, *summary(path, packed)) for k, packed in zip(part[key], found)], columns=columns)
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
@@ -163,7 +188,7 @@ def digest(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id",
         group = group.sort_values("start")
         pieces = [Piece(int(s), t, list(zip(map(int, i), map(int, b), map(int, e))))
                   for s, t, i, b, e in zip(group.start, group.text, group.ids, group.begins, group.ends)]
-        return pd.DataFrame([(group[key].iloc[0], *summary(path, join_all(path, pieces)))], columns=columns)
+        return pd.DataFrame([(group[key].iloc[0], *summary(path, array("I", join_all(path, pieces)).tobytes()))], columns=columns)
 
     short = rows.where(F.length("text") <= piece_chars).mapInPandas(whole, f"`{key}` string, {RESULT}")
     # a document is known by its key and text, so that repeated rows stay rows of their own
