@@ -8,8 +8,8 @@ registers of a union are the maxima of the registers, and equal registers are th
 2. Bands of registers give every node its buckets. Nodes of one bucket are first compared with its first node only.
 3. Nodes of a bucket that are then still in different components are compared pair by pair, if the bucket is small. The
    nodes of larger buckets go to a second set of longer bands, where the same is done without any limit on size.
-4. A pair is dropped early if its sizes or one bit of each register rule it out, then by a joint maximum-likelihood estimate
-   from the registers (five standard errors below the threshold), and is confirmed on the full sets.
+4. A pair of step 3 is made once, and only if its sizes and one bit of each register allow it (four standard errors). Pairs
+   then pass a joint maximum-likelihood estimate from the registers (five) and are confirmed on the full sets.
 5. Components are found by alternating large and small stars, in tables written to the shared folder.
 
 A pair at a similarity of 0.85 misses all bands of a level with a probability of about 5e-6 (level 0) and 4e-5 (level 1).
@@ -36,7 +36,7 @@ REGISTERS = 256
 BASE, RATE, LIMIT = 1.001, 20.0, 65534  # of the registers
 LEVELS = [(10, 56), (20, 256)]  # registers in a band, bands
 ALL_PAIRS = 100  # nodes in a bucket of level 0 up to which its pairs are compared
-ESTIMATE_ERRORS = 5.0
+ESTIMATE_ERRORS, BIT_ERRORS = 5.0, 4.0
 BROADCAST_PAIRS = 100_000  # counted; some 3 MB
 
 _SEED = np.random.default_rng(20240229)
@@ -231,15 +231,18 @@ def _level(nodes: DataFrame, sets: DataFrame, found: DataFrame, links: list[Data
                 yield pd.DataFrame({"nid": batch.nid.values, "n_shingles": batch.n_shingles.values} | {f"w{i}": words[:, i] for i in range(4)})
 
     signs = nodes.select("nid", "n_shingles", "sketch").mapInPandas(bits, "nid bigint, n_shingles bigint, w0 bigint, w1 bigint, w2 bigint, w3 bigint")
-    side = written(small.join(signs, "nid"), "signs")
+    # a pair that shares several buckets is made in the one with the smallest key only
+    shared_keys = small.groupBy("nid").agg(F.array_sort(F.collect_set("key")).alias("keys"))
+    side = written(small.join(signs, "nid").join(shared_keys, "nid"), "signs")
     # half of the unequal registers differ in their bit
     p = (1 - PERCENT / 100) / 2
-    most = int(REGISTERS * p + ESTIMATE_ERRORS * (REGISTERS * p * (1 - p)) ** 0.5)
+    most = int(REGISTERS * p + BIT_ERRORS * (REGISTERS * p * (1 - p)) ** 0.5)
     a, b = side.alias("x"), side.alias("y")
     unequal = sum((F.bit_count(F.col(f"x.w{i}").bitwiseXOR(F.col(f"y.w{i}"))) for i in range(4)), F.lit(0))
     crossing = a.join(b, (F.col("x.key") == F.col("y.key")) & (F.col("x.nid") < F.col("y.nid")) & (F.col("x.root") != F.col("y.root"))
                       & (F.col("x.nid") != F.col("x.pivot")) & (unequal <= most)
-                      & (F.least("x.n_shingles", "y.n_shingles") * 100 >= F.greatest("x.n_shingles", "y.n_shingles") * PERCENT))
+                      & (F.least("x.n_shingles", "y.n_shingles") * 100 >= F.greatest("x.n_shingles", "y.n_shingles") * PERCENT)
+                      & (F.col("x.key") == F.array_min(F.array_intersect("x.keys", "y.keys"))))
     links.append(confirmed(crossing.select(F.col("x.nid").alias("a"), F.col("y.nid").alias("b")), nodes, sets))
     if all_pairs is None:
         return None
