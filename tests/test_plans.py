@@ -237,3 +237,13 @@ def test_elbow(spark):
     got = segments.elbow(scaled, range(2, 5)).collect()
     scaled.unpersist()
     assert [r.k for r in got] == [2, 3, 4] and all(r.wssse >= 0 and -1 <= r.silhouette <= 1 for r in got)
+
+
+def test_rows_without_a_key_are_all_rejected_and_an_overflow_is_one_reject(spark):
+    raw = spark.createDataFrame([order(None) for _ in range(100)] + [order("o1"), order("o1", seen=2),
+                                order("o2", qty="2000000000", price="9999999999.99")], ORDERS)
+    users, products = (spark.createDataFrame([(v,)], f"{c} string") for v, c in (("u1", "user_id"), ("p1", "product_id")))
+    tagged = silver.orders(raw, users, products)
+    assert [r.order_id for r in quality.accepted(tagged).collect()] == ["o1"]
+    bad = [(r.order_id, tuple(r[quality.REASONS])) for r in quality.rejected(tagged).collect()]
+    assert bad.count((None, ("order_id",))) == 100 and bad.count(("o2", ("net_amount",))) == 1 and len(bad) == 101

@@ -58,10 +58,10 @@ def as_date(c: ColumnOrName) -> Column:
 # --- numbers and times ------------------------------------------------------------------
 
 def net_amount(quantity: ColumnOrName, unit_price: ColumnOrName, discount: ColumnOrName) -> Column:
-    """quantity x price x (1 - discount), rounded half up to cents, exact in decimal."""
+    """quantity x price x (1 - discount), rounded half up to cents, exact in decimal; null beyond the money type."""
     kept = F.lit(1).cast(DISCOUNT) - _col(discount).cast(DISCOUNT)
     gross = _col(quantity).cast(T.DecimalType(10, 0)) * _col(unit_price).cast(MONEY)
-    return F.round(gross * kept, 2).cast(MONEY)
+    return F.round(gross * kept, 2).try_cast(MONEY)
 
 
 def seconds_between(start: ColumnOrName, end: ColumnOrName) -> Column:

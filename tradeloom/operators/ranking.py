@@ -29,8 +29,8 @@ def largest_group(df: DataFrame, group: Sequence[str]) -> int:
 
 
 def buckets_for(df: DataFrame, rows: int) -> int:
-    """Buckets for a known number of rows: as many as there is work for, at most the shuffle partitions."""
-    return min(shuffle_partitions(df), max(8, rows // BUCKET_ROWS))
+    """Buckets for a known number of rows: each holds about ``BUCKET_ROWS``."""
+    return max(8, rows // BUCKET_ROWS)
 
 
 def _numbered(df: DataFrame, order: Sequence[str], buckets: int | None) -> tuple[DataFrame, DataFrame]:

@@ -7,6 +7,8 @@ Every function returns the table with a ``_reject_reasons`` column; ``quality.ac
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, functions as F
 
@@ -21,9 +23,14 @@ NEWEST = ("_ingested_at desc",)
 
 def one_per_key(raw: DataFrame, keys: Sequence[str], order: Sequence[str] = NEWEST,
                 tiebreak: Sequence[str] | None = None) -> DataFrame:
-    """The latest copy of each key; without a tie-break all other columns settle ties."""
+    """The latest copy of each key; without a tie-break all other columns settle ties.
+
+    Rows that lack a key are no copies of each other: all of them stay, for the checks to reject.
+    """
     used = {*sort_names(order), *keys}
-    return dedup_latest(raw, keys, order, tiebreak or [c for c in raw.columns if c not in used])
+    keyed = reduce(and_, [F.col(key).isNotNull() for key in keys])
+    latest = dedup_latest(raw.filter(keyed), keys, order, tiebreak or [c for c in raw.columns if c not in used])
+    return latest.unionByName(raw.filter(~keyed))
 
 
 def users(raw: DataFrame, **dedup) -> DataFrame:
@@ -56,12 +63,14 @@ def orders(raw: DataFrame, known_users: DataFrame, known_products: DataFrame,
                                "unit_price": F.col("unit_price") > 0})
     checked = tag_unknown(checked, known_users, "user_id")
     checked = tag_unknown(checked, known_products, "product_id")
-    return checked.withColumn("net_amount", net_amount("quantity", "unit_price", "discount_pct"))
+    amount = net_amount("quantity", "unit_price", "discount_pct")
+    counted = F.col("quantity").isNotNull() & F.col("unit_price").isNotNull() & F.col("discount_pct").isNotNull()
+    return tag_rows(checked.withColumn("net_amount", amount), {"net_amount": ~counted | F.col("net_amount").isNotNull()})
 
 
 def clickstream(raw: DataFrame, known_users: DataFrame, known_products: DataFrame, **dedup) -> DataFrame:
     typed = one_per_key(raw, ["event_id"], **dedup).withColumn(
         "event_timestamp", as_timestamp("event_timestamp"))
-    checked = tag_rows(typed, {c: F.col(c).isNotNull() for c in ("session_id", "user_id", "event_timestamp")})
+    checked = tag_rows(typed, {c: F.col(c).isNotNull() for c in ("event_id", "session_id", "user_id", "event_timestamp")})
     checked = tag_unknown(checked, known_users, "user_id")
     return tag_unknown(checked, known_products, "product_id")

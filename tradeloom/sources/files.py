@@ -80,10 +80,10 @@ def ingest(df: DataFrame, path: str, batch_id: str) -> int:
     return seen.get["rows"]
 
 
-def export_for_bi(df: DataFrame, root: str, name: str, single_file_rows: int = 1_000_000) -> int:
+def export_for_bi(df: DataFrame, root: str, name: str, single_file: bool = False, rows_per_file: int = 1_000_000) -> int:
     """Parquet and CSV copies of a table for BI tools; returns the row count.
 
-    The CSV is a single file only if the counted rows fit one task, else many files.
+    The caller decides whether the CSV is one file, which one task writes; the layout never depends on the row count.
     """
     spark = df.sparkSession
     seen = Observation()
@@ -91,9 +91,10 @@ def export_for_bi(df: DataFrame, root: str, name: str, single_file_rows: int = 1
      .write.mode("overwrite").parquet(f"{root}/{name}_parquet"))
     rows = seen.get["rows"]
     exported = spark.read.schema(df.schema).parquet(f"{root}/{name}_parquet")
-    if rows <= single_file_rows:
-        exported = exported.coalesce(1)
-    write_results(exported, f"{root}/{name}_csv", "csv", max_records_per_file=single_file_rows)
+    if single_file:
+        write_results(exported.coalesce(1), f"{root}/{name}_csv", "csv")
+    else:
+        write_results(exported, f"{root}/{name}_csv", "csv", max_records_per_file=rows_per_file)
     return rows
 
 

@@ -70,6 +70,8 @@ class VersionedTable:
         if folded is not None:
             raise ValueError(f"version {as_of} was folded into version {folded}")
         first = self._commits().agg(F.min(VERSION)).first()[0]
+        if as_of < first:
+            raise ValueError(f"no version {as_of} in {self.path}; the first is {first}")
         return first, self.spark.read.parquet(f"{self.path}/changes/{VERSION}={first}")
 
     def _changes(self, after: int, up_to: int) -> DataFrame:

@@ -13,7 +13,7 @@ from tradeloom.sources.versioned import VersionedTable
 WINDOW = "30 seconds"
 WATERMARK = "1 minute"
 
-_REQUIRED = ("order_id", "quantity", "unit_price")
+_REQUIRED = ("order_id", "quantity", "unit_price", "net_amount")
 # the last message of an order in a batch wins; equal arrival times are settled by content
 LATEST = ["kafka_ingest_ts desc"]
 TIEBREAK = ["order_timestamp desc", "user_id", "product_id", "quantity", "unit_price",
@@ -33,7 +33,7 @@ def decode_orders(messages: DataFrame) -> DataFrame:
             .withColumns({"order_timestamp": as_timestamp("order_timestamp"),
                           "unit_price": as_money("unit_price")})
             .withColumn("net_amount", F.round(F.col("quantity").cast("decimal(10,0)")
-                                              * F.col("unit_price"), 2).cast(MONEY)))
+                                              * F.col("unit_price"), 2).try_cast(MONEY)))
 
 
 def _complete():
