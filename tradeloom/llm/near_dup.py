@@ -8,8 +8,8 @@ registers of a union are the maxima of the registers, and equal registers are th
 2. Bands of registers give every node its buckets. Nodes of one bucket are first compared with its first node only.
 3. Nodes of a bucket that are then still in different components are compared pair by pair, if the bucket is small. The
    nodes of larger buckets go to a second set of longer bands, where the same is done without any limit on size.
-4. A pair of step 3 is made once, and only if its sizes and one bit of each register allow it (four standard errors). Pairs
-   then pass a joint maximum-likelihood estimate from the registers (five) and are confirmed on the full sets.
+4. A pair of step 3 is made once, and only if its sizes and one bit of each register allow it (five standard errors). Pairs
+   then pass a joint maximum-likelihood estimate from the registers (five too) and are confirmed on the full sets.
 5. Components are found by alternating large and small stars, in tables written to the shared folder.
 
 A pair at a similarity of 0.85 misses all bands of a level with a probability of about 5e-6 (level 0) and 4e-5 (level 1).
@@ -36,7 +36,7 @@ REGISTERS = 256
 BASE, RATE, LIMIT = 1.001, 20.0, 65534  # of the registers
 LEVELS = [(10, 56), (20, 256)]  # registers in a band, bands
 ALL_PAIRS = 100  # nodes in a bucket of level 0 up to which its pairs are compared
-ESTIMATE_ERRORS, BIT_ERRORS = 5.0, 4.0
+ESTIMATE_ERRORS = 5.0
 BROADCAST_PAIRS = 100_000  # counted; some 3 MB
 
 _SEED = np.random.default_rng(20240229)
@@ -157,9 +157,13 @@ def _both(pairs: DataFrame, side: DataFrame, columns: list[str], few: bool) -> D
     return pairs
 
 
-def confirmed(pairs: DataFrame, nodes: DataFrame, sets: DataFrame) -> DataFrame:
-    """The pairs (a, b) whose sets are similar enough."""
-    pairs = written(pairs.distinct(), "pairs")
+def confirmed(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, tested: list[DataFrame]) -> DataFrame:
+    """The pairs (a, b), a < b, whose sets are similar enough; pairs of ``tested`` are known and not looked at again."""
+    pairs = pairs.distinct()
+    if tested:
+        pairs = pairs.join(_union(tested), ["a", "b"], "left_anti")
+    pairs = written(pairs, "pairs")
+    tested.append(pairs)
     few = pairs.count() <= BROADCAST_PAIRS
     threshold = PERCENT / 100
     margin = ESTIMATE_ERRORS * (threshold * (1 - threshold) / REGISTERS) ** 0.5
@@ -214,10 +218,10 @@ def node_sets(docs: DataFrame, nodes: DataFrame, text: str, key: str) -> DataFra
     return written(found.dropDuplicates(["nid"]), "sets")
 
 
-def _level(nodes: DataFrame, sets: DataFrame, found: DataFrame, links: list[DataFrame], all_pairs: int | None) -> DataFrame | None:
+def _level(nodes: DataFrame, sets: DataFrame, found: DataFrame, links: list[DataFrame], tested: list[DataFrame], all_pairs: int | None) -> DataFrame | None:
     """Adds the links of the buckets ``found`` to ``links``; returns the nodes whose buckets are too large for all pairs."""
     spark = nodes.sparkSession
-    links.append(confirmed(found.where("nid > pivot").select(F.col("pivot").alias("a"), F.col("nid").alias("b")), nodes, sets))
+    links.append(confirmed(found.where("nid > pivot").select(F.col("pivot").alias("a"), F.col("nid").alias("b")), nodes, sets, tested))
     rooted = components(_union(links))
     open_members = found.where("n > 2").join(rooted, "nid", "left").withColumn("root", F.coalesce("root", "nid"))
     undecided = open_members.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
@@ -236,14 +240,14 @@ def _level(nodes: DataFrame, sets: DataFrame, found: DataFrame, links: list[Data
     side = written(small.join(signs, "nid").join(shared_keys, "nid"), "signs")
     # half of the unequal registers differ in their bit
     p = (1 - PERCENT / 100) / 2
-    most = int(REGISTERS * p + BIT_ERRORS * (REGISTERS * p * (1 - p)) ** 0.5)
+    most = int(REGISTERS * p + ESTIMATE_ERRORS * (REGISTERS * p * (1 - p)) ** 0.5)
     a, b = side.alias("x"), side.alias("y")
     unequal = sum((F.bit_count(F.col(f"x.w{i}").bitwiseXOR(F.col(f"y.w{i}"))) for i in range(4)), F.lit(0))
     crossing = a.join(b, (F.col("x.key") == F.col("y.key")) & (F.col("x.nid") < F.col("y.nid")) & (F.col("x.root") != F.col("y.root"))
                       & (F.col("x.nid") != F.col("x.pivot")) & (unequal <= most)
                       & (F.least("x.n_shingles", "y.n_shingles") * 100 >= F.greatest("x.n_shingles", "y.n_shingles") * PERCENT)
                       & (F.col("x.key") == F.array_min(F.array_intersect("x.keys", "y.keys"))))
-    links.append(confirmed(crossing.select(F.col("x.nid").alias("a"), F.col("y.nid").alias("b")), nodes, sets))
+    links.append(confirmed(crossing.select(F.col("x.nid").alias("a"), F.col("y.nid").alias("b")), nodes, sets, tested))
     if all_pairs is None:
         return None
     rest = written(open_members.where(F.col("n") > all_pairs).select("nid").distinct(), "rest")
@@ -267,10 +271,11 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     shared = found.select("nid").distinct()
     sets = node_sets(docs, nodes.join(shared, "nid", "left_semi"), text, key)
     links: list[DataFrame] = []
-    rest = _level(nodes, sets, found, links, ALL_PAIRS)
+    tested: list[DataFrame] = []
+    rest = _level(nodes, sets, found, links, tested, ALL_PAIRS)
     if rest is not None:
         rest = written(rest, "rest-nodes")
-        _level(rest, sets, buckets(rest, 1), links, None)
+        _level(rest, sets, buckets(rest, 1), links, tested, None)
     rooted = nodes.select("nid", "fp", "doc").join(components(_union(links)), "nid")
     lowest = rooted.groupBy("root").agg(F.min("doc").alias("component"))
     by_set = nodes.select("fp", "nid", "doc").join(rooted.join(lowest, "root").select("nid", "component"), "nid", "left").select(
