@@ -104,6 +104,24 @@ def test_another_writer_is_refused(spark, folder):
         put(table, [(3, "c")], version=0, writer="q2")
 
 
+def test_other_columns_are_refused_not_lost(table, rows):
+    more = frame(table.spark, [(4, "d")]).withColumn("w", F.lit(1))
+    with pytest.raises(ValueError, match="w"):
+        table.upsert(more, ["v"], ["k"])
+    table.upsert(frame(table.spark, [(4, "d")]).select("v", "k"), ["v"], ["k"])
+    assert table.read().columns == ["k", "v"] and (4, "d") in rows(table.read())
+
+
+def test_a_stream_goes_on_after_a_rollback(spark, folder, rows):
+    table = VersionedTable(spark, f"{folder}/s", ["k"])
+    assert put(table, [(1, "a")], version=0, writer="q") == 0
+    assert put(table, [(1, "b")], version=1, writer="q") == 1
+    assert table.rollback(0) == 2
+    assert put(table, [(2, "c")], version=2, writer="q") == 3
+    assert put(table, [(2, "c")], version=2, writer="q") == 3  # the replay of a batch
+    assert rows(table.read()) == [(1, "a"), (2, "c")]
+
+
 steps = st.lists(st.one_of(
     st.tuples(st.just("upsert"), st.dictionaries(st.integers(0, 5), st.sampled_from("abc"), min_size=1, max_size=4)),
     st.tuples(st.just("rollback"), st.integers(0, 3)), st.tuples(st.just("compact"), st.integers(0, 3))), min_size=1, max_size=5)

@@ -9,7 +9,7 @@ Layout below ``path``::
 
 An upsert costs what its batch costs, not what the table holds, and writing the same version
 again replaces it. One writer at a time per table. Where a table format with MERGE is
-installed, prefer that.
+installed, prefer that. All versions have the columns of the first; other rows are refused.
 """
 
 from __future__ import annotations
@@ -26,6 +26,7 @@ DELETED, VERSION = "_deleted", "version"
 _COMMIT = T.StructType([T.StructField("committed_at", T.TimestampType()),
                         T.StructField("operation", T.StringType()),
                         T.StructField("writer", T.StringType()),
+                        T.StructField("batch", T.LongType()),
                         T.StructField(VERSION, T.LongType())])
 
 
@@ -45,10 +46,12 @@ class VersionedTable:
             return self.spark.createDataFrame([], _COMMIT)
         return self.spark.read.schema(_COMMIT).parquet(f"{self.path}/{kind}")
 
-    def _commit(self, version: int, operation: str, writer: str | None, kind: str = "commits") -> None:
+    def _commit(self, version: int, operation: str, writer: str | None = None, batch: int | None = None,
+                kind: str = "commits") -> None:
         row = self.spark.range(1).select(F.current_timestamp().alias("committed_at"),
                                          F.lit(operation).alias("operation"),
-                                         F.lit(writer).cast("string").alias("writer"))
+                                         F.lit(writer).cast("string").alias("writer"),
+                                         F.lit(batch).cast("long").alias("batch"))
         row.write.mode("overwrite").parquet(f"{self.path}/{kind}/{VERSION}={version}")
 
     def latest(self) -> int | None:
@@ -98,6 +101,9 @@ class VersionedTable:
         latest = self.latest()
         if latest is None or not 0 <= version <= latest:
             raise ValueError(f"no version {version} in {self.path}; the latest is {latest}")
+        return self._visible(version)
+
+    def _visible(self, version: int) -> DataFrame:
         return self._state(version).filter(~F.col(DELETED)).drop(DELETED)
 
     def read(self) -> DataFrame:
@@ -105,7 +111,7 @@ class VersionedTable:
         latest = self.latest()
         if latest is None:
             raise ValueError(f"{self.path} has no committed version")
-        return self.read_as_of(latest)
+        return self._visible(latest)
 
     def history(self) -> DataFrame:
         """One row per version: when, by which operation, rows inserted, updated and deleted.
@@ -137,28 +143,46 @@ class VersionedTable:
 
     # --- writing ------------------------------------------------------------------------
 
-    def _write(self, rows: DataFrame, version: int, operation: str, writer: str | None) -> int:
+    def _write(self, rows: DataFrame, version: int, operation: str, writer: str | None = None,
+               batch: int | None = None) -> int:
         rows.write.mode("overwrite").parquet(f"{self.path}/changes/{VERSION}={version}")
-        self._commit(version, operation, writer)
+        self._commit(version, operation, writer, batch)
         return version
 
+    def _in_shape(self, rows: DataFrame, version: int) -> DataFrame:
+        """The rows with the columns in the order of ``version``; raises if names or types differ."""
+        stored = next(f"{self.path}/{kind}/{VERSION}={version}" for kind in ("changes", "bases")
+                      if paths.exists(self.spark, f"{self.path}/{kind}/{VERSION}={version}"))
+        wanted = {f.name: f.dataType for f in self.spark.read.parquet(stored).schema if f.name != DELETED}
+        given = {f.name: f.dataType for f in rows.schema}
+        if given != wanted:
+            differing = sorted(c for c in wanted.keys() | given.keys() if wanted.get(c) != given.get(c))
+            raise ValueError(f"columns differ from those of {self.path}: {', '.join(differing)}")
+        return rows.select(*wanted)
+
     def upsert(self, updates: DataFrame, order: Sequence[str], tiebreak: Sequence[str],
                version: int | None = None, writer: str | None = None) -> int:
         """Update matching keys, insert the others; returns the version written.
 
         Several rows of one key in ``updates`` are reduced to the first in ``order`` and
-        ``tiebreak``. A stream passes its batch id as ``version``, so a replayed batch
-        replaces itself; ``writer`` guards against a second stream counting from 0 again.
+        ``tiebreak``. Writing the same ``version`` again replaces it. With a ``writer``, such as
+        a stream, ``version`` is that writer's own batch id: a replayed batch replaces the version
+        it made, a new one gets the next version, whatever a rollback added in between. A second
+        writer is refused, since it would count from 0 again.
         """
-        if version is None:
-            latest = self.latest()
-            version = 0 if latest is None else latest + 1
-        elif writer is not None:
-            others = self._commits().filter(~F.col("writer").eqNullSafe(F.lit(writer)))
-            if not others.isEmpty():
-                raise ValueError(f"{self.path} holds versions of another writer than {writer}")
+        mine = F.col("writer").eqNullSafe(F.lit(writer).cast("string"))
+        batch = None if writer is None else version
+        latest, replayed, others = self._commits().agg(
+            F.max(VERSION), F.max(F.when(mine & (F.col("batch") == F.lit(batch).cast("long")), F.col(VERSION))),
+            F.max(F.col("writer").isNotNull() & ~mine)).first()
+        if writer is not None and others:
+            raise ValueError(f"{self.path} holds versions of another writer than {writer}")
+        if version is None or writer is not None:
+            version = replayed if replayed is not None else 0 if latest is None else latest + 1
+        if latest is not None:
+            updates = self._in_shape(updates, latest)
         rows = dedup_latest(updates, self.keys, order, tiebreak).withColumn(DELETED, F.lit(False))
-        return self._write(rows, version, "upsert", writer)
+        return self._write(rows, version, "upsert", writer, batch)
 
     def rollback(self, version: int) -> int:
         """Make the rows of an earlier version current again, as a new version.
@@ -174,7 +198,7 @@ class VersionedTable:
         restored = wanted.subtract(current).withColumn(DELETED, F.lit(False))
         removed = (current.join(wanted.select(*self.keys), self.keys, "left_anti")
                    .withColumn(DELETED, F.lit(True)))
-        return self._write(restored.unionByName(removed), latest + 1, f"rollback to {version}", None)
+        return self._write(restored.unionByName(removed), latest + 1, f"rollback to {version}")
 
     def compact(self, keep_from: int) -> None:
         """Fold everything up to ``keep_from`` into a base and remove what that replaces.
@@ -186,7 +210,7 @@ class VersionedTable:
         base = self.read_as_of(keep_from).withColumn(DELETED, F.lit(False))
         if self._base(keep_from) != keep_from:
             base.write.mode("overwrite").parquet(f"{self.path}/bases/{VERSION}={keep_from}")
-            self._commit(keep_from, "compact", None, "base_commits")
+            self._commit(keep_from, "compact", kind="base_commits")
         # the commit of keep_from stays: it tells that the version exists
         for kind, oldest_kept in (("changes", keep_from + 1), ("bases", keep_from),
                                   ("base_commits", keep_from), ("commits", keep_from)):
