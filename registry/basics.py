@@ -250,6 +250,15 @@ def salted_join(spark, d):
     return skew.salted_join(facts, parts, ["l_partkey"], min_share=0.0005)
 
 
+@register("""SELECT event_id, event_type, first_ts
+FROM events JOIN (SELECT event_type, min(ts) AS first_ts FROM events GROUP BY event_type) USING (event_type)""")
+def salted_join_hot_keys(spark, d):
+    # a handful of keys: every one is hot at every scale
+    facts = table(spark, d, "events").select("event_id", "event_type")
+    kinds = table(spark, d, "events").groupBy("event_type").agg(F.min("ts").alias("first_ts"))
+    return skew.salted_join(facts, kinds, ["event_type"])
+
+
 @register("""SELECT o_orderkey, (SELECT max(o_orderdate) FROM orders) AS as_of,
   date_diff('day', CAST(o_orderdate AS DATE), CAST((SELECT max(o_orderdate) FROM orders) AS DATE)) AS recency_days
 FROM orders""".replace("date_diff(", "CAST(date_diff(").replace("AS DATE)) AS recency", "AS DATE)) AS INTEGER) AS recency"))

@@ -79,6 +79,16 @@ def test_salted_join_equals_the_plain_join(spark, rows, how, n, hot):
     assert rows(got) == rows(wanted) and got.count() == n
 
 
+def test_salts_spread_equal_rows(spark):
+    equal = spark.range(10_000).select(F.lit(1).alias("k"), F.lit("same").alias("v"))
+    hot = spark.createDataFrame([(1, 8)], "k int, _salts int")
+    got = skew.salted_join(equal, spark.createDataFrame([(1, "x")], "k int, name string"), ["k"], hot=hot)
+    plan = layout.plan_text(got)
+    assert "_row" in plan and got.count() == 10_000 and got.columns == ["k", "v", "name"]
+    numbered = equal.withColumn("_row", F.monotonically_increasing_id())
+    assert numbered.select(skew._salt(["_row"], F.lit(8)).alias("s")).distinct().count() == 8
+
+
 @pytest.mark.parametrize("limit", [joins.BROADCAST_BYTES, 50, 0])
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 def test_lookup_join_gives_the_same_rows_whatever_the_size(spark, rows, limit, how):

@@ -10,7 +10,7 @@ from tradeloom.operators.joins import BROADCAST_BYTES, measured_bytes
 from tradeloom.session import written
 
 HOT_SHARE = 0.001
-_SALT, _SALTS = "_salt", "_salts"
+_SALT, _SALTS, _ROW = "_salt", "_salts", "_row"
 
 
 def shuffle_partitions(df: DataFrame) -> int:
@@ -34,7 +34,7 @@ def hot_keys(df: DataFrame, keys: Sequence[str], min_share: float = HOT_SHARE) -
     gets as many salts as shuffle partitions its rows would fill.
     """
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("_rows"))
-    total = df.agg(F.count(F.lit(1))).scalar()
+    total = counts.agg(F.sum("_rows")).scalar()
     wanted = F.ceil(F.col("_rows") / total * F.lit(shuffle_partitions(df))).cast("int")
     return (counts.filter(F.col("_rows") >= total * F.lit(min_share))
             .select(*keys, F.greatest(wanted, F.lit(2)).alias(_SALTS)))
@@ -50,13 +50,14 @@ def salted_join(fact: DataFrame, dimension: DataFrame, on: Sequence[str], how: s
                 min_share: float = HOT_SHARE) -> DataFrame:
     """Equi-join whose hot fact keys are spread over many tasks.
 
-    Rows of a hot key get a salt from the ``salt_on`` columns (default: all non-key
-    columns), and the dimension rows of that key are repeated once per salt; all other
-    keys keep salt 0 and are not repeated. ``hot`` defaults to :func:`hot_keys` of the
-    fact, found by one more pass over it, so pass a written table. Null keys never match
-    and are spread too.
+    Rows of a hot key get a salt from the ``salt_on`` columns, and the dimension rows of that
+    key are repeated once per salt; all other keys keep salt 0 and are not repeated. By default
+    the fact is written once with a number per row and salted by that, so that equal rows of a
+    hot key are spread as well; columns that tell rows apart save the writing. ``hot`` defaults
+    to :func:`hot_keys` of the fact, found by one more pass over it. Null keys never match and
+    are spread too.
     """
-    on = list(on)
+    on, kept_columns = list(on), fact.columns
     if how in ("right", "full", "outer"):
         kept = "inner" if how == "right" else "left"
         matched = salted_join(fact, dimension, on, kept, hot, salt_on, min_share)
@@ -64,6 +65,9 @@ def salted_join(fact: DataFrame, dimension: DataFrame, on: Sequence[str], how: s
         # distinct collapses a hot key before the shuffle, so the other half needs no salt
         alone = dimension.join(fact.select(*on).distinct(), on, "left_anti")
         return matched.unionByName(alone, allowMissingColumns=True)
+    if not salt_on:
+        # stored, so that a retried task finds the same numbers
+        fact, salt_on = written(fact.withColumn(_ROW, F.monotonically_increasing_id()), "numbered"), [_ROW]
     if hot is None:
         hot = written(hot_keys(fact, on, min_share), "hot-keys")
     elif measured_bytes(hot.select(*on)) > BROADCAST_BYTES:
@@ -71,7 +75,7 @@ def salted_join(fact: DataFrame, dimension: DataFrame, on: Sequence[str], how: s
     if _SALTS not in hot.columns:
         hot = hot.withColumn(_SALTS, F.lit(shuffle_partitions(fact)))
     hot = F.broadcast(hot.select(*on, _SALTS))
-    spread_on = list(salt_on or [c for c in fact.columns if c not in on]) or on
+    spread_on = list(salt_on)
     some_null = F.lit(False)
     for c in on:
         some_null = some_null | F.col(c).isNull()
@@ -88,8 +92,8 @@ def salted_join(fact: DataFrame, dimension: DataFrame, on: Sequence[str], how: s
         .drop(_SALTS))
     joined = salted_fact.join(salted_dimension, [*on, _SALT], how).drop(_SALT)
     if how in ("left_semi", "left_anti"):
-        return joined.select(*fact.columns)
-    return joined.select(*fact.columns, *[c for c in dimension.columns if c not in on])
+        return joined.select(*kept_columns)
+    return joined.select(*kept_columns, *[c for c in dimension.columns if c not in on])
 
 
 def salted_agg(df: DataFrame, keys: Sequence[str], measures: dict[str, tuple[str, str]], salts: int,
