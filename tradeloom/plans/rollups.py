@@ -13,11 +13,15 @@ def daily_category_rollup(orders: DataFrame, products: DataFrame) -> DataFrame:
             .select("order_id", "product_id", "quantity", "net_amount",
                     F.to_date("order_timestamp").alias("order_date")))
     labels = products.select("product_id", "category", "sub_category")
-    return (lookup_join(sold, labels, ["product_id"])
+    # one row per product and day meets the products, however many lines sold it
+    per_product = (sold.groupBy("order_date", "product_id")
+                   .agg(F.count("order_id").alias("num_orders"), F.sum("quantity").alias("units_sold"),
+                        F.sum("net_amount").alias("revenue")))
+    return (lookup_join(per_product, labels, ["product_id"])
             .groupBy("order_date", "category", "sub_category")
-            .agg(F.count("order_id").alias("num_orders"),
-                 F.sum("quantity").alias("units_sold"),
-                 F.round(F.sum("net_amount"), 2).alias("revenue")))
+            .agg(F.sum("num_orders").alias("num_orders"),
+                 F.sum("units_sold").alias("units_sold"),
+                 F.round(F.sum("revenue"), 2).alias("revenue")))
 
 
 def daily_revenue(rollup: DataFrame) -> DataFrame:
