@@ -80,6 +80,66 @@ def silver_clickstream(spark, d):
                                                tiebreak=["session_id"]))
 
 
+# The rejected sides, with rows added that lost their key: none of them is a copy of another.
+
+
+def _without(df: DataFrame, key: str) -> DataFrame:
+    return df.withColumn(key, F.lit(None).cast(df.schema[key].dataType))
+
+
+def _reasons(tagged: DataFrame, *columns: str) -> DataFrame:
+    return quality.rejected(tagged).select(*columns, F.array_join(quality.REASONS, ",").alias("reasons"))
+
+
+@register(f"""WITH {USERS} SELECT CAST(NULL AS BIGINT) AS user_id, name, 'user_id' AS reasons FROM users WHERE balance < 0""")
+def silver_users_rejected(spark, d):
+    lost = users(spark, d).filter("balance < 0").drop("balance").withColumns(
+        {"signup_date": F.lit("2024-01-01"), "_ingested_at": F.lit(2)})
+    return _reasons(silver.users(_raw_users(spark, d).unionByName(_without(lost, "user_id"))), "user_id", "name")
+
+
+@register(f"""WITH {PRODUCTS} SELECT product_id, product_name, 'list_price' AS reasons FROM products WHERE size = 1
+UNION ALL SELECT NULL, product_name, 'product_id' FROM products WHERE size = 2""")
+def silver_products_rejected(spark, d):
+    lost = products(spark, d).filter("size = 2").drop("size").withColumns(
+        {"list_price": F.col("list_price").cast("string"), "_ingested_at": F.lit(2)})
+    return _reasons(silver.products(_raw_products(spark, d).unionByName(_without(lost, "product_id"))), "product_id", "product_name")
+
+
+@register(f"""WITH {ORDER_LINES}, {KNOWN}, every_line AS (
+  SELECT order_id, line_no, user_id, product_id, quantity, unit_price FROM order_lines
+  UNION ALL SELECT NULL, l_linenumber, o_custkey, l_partkey, CAST(l_quantity AS INTEGER), CAST(l_extendedprice AS DECIMAL(18,2))
+  FROM lineitem JOIN orders ON l_orderkey = o_orderkey WHERE l_linenumber = 1),
+judged AS (
+  SELECT order_id, line_no, concat_ws(',', CASE WHEN order_id IS NULL THEN 'order_id' END,
+           CASE WHEN quantity > 0 THEN NULL ELSE 'quantity' END, CASE WHEN unit_price > 0 THEN NULL ELSE 'unit_price' END,
+           CASE WHEN u.user_id IS NULL THEN 'unknown_user_id' END,
+           CASE WHEN p.product_id IS NULL THEN 'unknown_product_id' END) AS reasons
+  FROM every_line e LEFT JOIN known_users u ON e.user_id = u.user_id LEFT JOIN known_products p ON e.product_id = p.product_id)
+SELECT order_id, line_no, reasons FROM judged WHERE reasons <> ''""")
+def silver_orders_rejected(spark, d):
+    raw = lines_of(table(spark, d, "lineitem"), table(spark, d, "orders"), *sort_names(LINE_ORDER + LINE_TIEBREAK))
+    raw = raw.unionByName(_without(raw.filter("line_no = 1"), "order_id"))
+    return _reasons(silver.orders(raw, *_known(spark, d), keys=["order_id", "line_no"], order=LINE_ORDER,
+                                  tiebreak=LINE_TIEBREAK), "order_id", "line_no")
+
+
+@register(f"""WITH {CLICKS}, {KNOWN}, every_click AS (
+  SELECT event_id, session_id, user_id, product_id FROM clicks
+  UNION ALL SELECT NULL, session_id, user_id, product_id FROM clicks WHERE event_type = 'purchase'),
+judged AS (
+  SELECT event_id, session_id, concat_ws(',', CASE WHEN event_id IS NULL THEN 'event_id' END,
+           CASE WHEN u.user_id IS NULL THEN 'unknown_user_id' END,
+           CASE WHEN p.product_id IS NULL THEN 'unknown_product_id' END) AS reasons
+  FROM every_click e LEFT JOIN known_users u ON e.user_id = u.user_id LEFT JOIN known_products p ON e.product_id = p.product_id)
+SELECT event_id, session_id, reasons FROM judged WHERE reasons <> ''""")
+def silver_clickstream_rejected(spark, d):
+    raw = clicks(spark, d)
+    raw = raw.unionByName(_without(raw.filter("event_type = 'purchase'"), "event_id"))
+    return _reasons(silver.clickstream(raw, *_known(spark, d), order=["event_timestamp desc"], tiebreak=["session_id"]),
+                    "event_id", "session_id")
+
+
 @register(f"""WITH {SESSIONS} SELECT session_id, user_id, session_start, session_end, num_events, device_type,
   first_product_id, payment_status, funnel_stage_reached, session_duration_secs FROM sessions""")
 def session_stitch(spark, d):

@@ -61,3 +61,15 @@ def test_whole_run_twice(spark, folder):
     assert spark.read.option("header", True).csv(f"{folder}/exports/customer_360_csv").count() == 9
     assert tables.read("bronze", "users").count() == 18
     assert {(r.product_id, r._batch_id) for r in tables.rejects("products").collect()} == {("P9", "b1"), ("P9", "b2")}
+
+
+def test_batch_ids_may_hold_any_characters(spark, folder):
+    raw(spark, folder, people("Oslo"))
+    spark.createDataFrame([("not json",)], "value string").write.mode("append").text(f"{folder}/raw/clickstream")
+    tables = daily_run.Tables(spark, folder)
+    daily_run.to_bronze(tables, "2024-05-01T10:00")
+    daily_run.to_silver(tables, "2024-05-01T10:00")
+    assert tables.arrived("users", "2024-05-01T10:00").count() == 9 and tables.arrived("users", "other").count() == 0
+    assert tables.current("users").columns == ["user_id", "name", "email", "city", "state", "signup_date", "preferred_device"]
+    assert {r.product_id: r._source_file.rsplit("/", 2)[1] for r in tables.rejects("products").collect()} == {"P9": "products"}
+    assert [r._corrupt_record for r in tables.rejects("clickstream").collect()] == ["not json"]

@@ -100,3 +100,10 @@ def test_clear_scratch_leaves_nothing_behind(spark):
     assert paths.exists(spark, scratch_folder(spark))
     clear_scratch(spark)
     assert not paths.exists(spark, scratch_folder(spark))
+
+
+def test_json_lines_that_cannot_be_read_are_kept_whole(spark, folder):
+    lines = ['{"id": 1, "name": "a"}', *(f"broken {i}" for i in range(50))]
+    spark.createDataFrame([(line,) for line in lines], "value string").write.text(f"{folder}/j")
+    got = files.read_json(spark, f"{folder}/j", T.StructType([T.StructField("id", T.IntegerType()), T.StructField("name", T.StringType())]))
+    assert {r[files.CORRUPT] for r in got.collect()} == {None, *lines[1:]}

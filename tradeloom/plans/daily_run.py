@@ -10,8 +10,10 @@ from __future__ import annotations
 
 import argparse
 from concurrent.futures import ThreadPoolExecutor
+from urllib.parse import quote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
 
 from tradeloom import schemas
 from tradeloom.operators import quality
@@ -39,6 +41,13 @@ class Tables:
     def read(self, layer: str, name: str) -> DataFrame:
         return self.spark.read.parquet(self.path(layer, name))
 
+    def arrived(self, name: str, batch_id: str) -> DataFrame:
+        """The rows one batch landed; no other folder is read. Batch ids are text, whatever they look like."""
+        landed = self.read("bronze", name).schema
+        as_text = T.StructType([T.StructField(f.name, T.StringType()) if f.name == "_batch_id" else f for f in landed])
+        return (self.spark.read.schema(as_text).parquet(self.path("bronze", name))
+                .filter(F.col("_batch_id") == batch_id).drop("_batch_id"))
+
     def dimension(self, name: str) -> VersionedTable:
         return VersionedTable(self.spark, self.path("silver", name), [f"{name[:-1]}_id"])
 
@@ -68,9 +77,10 @@ def to_bronze(tables: Tables, batch_id: str) -> dict[str, int]:
 def to_silver(tables: Tables, batch_id: str) -> None:
     """Upsert the batch's users and products; rebuild facts and sessions from all batches."""
     for name, clean in DIMENSIONS.items():
-        arrived = tables.spark.read.parquet(f"{tables.path('bronze', name)}/_batch_id={batch_id}")
-        good, _ = quality.land_split(clean(arrived), f"{tables.path('silver_checked', name)}/_batch_id={batch_id}")
-        key = f"{name[:-1]}_id"
+        # the folder name escapes what a path can't hold, as Spark does for its own partitions
+        good, _ = quality.land_split(clean(tables.arrived(name, batch_id)),
+                                     f"{tables.path('silver_checked', name)}/_batch_id={quote(batch_id, safe='')}")
+        good, key = good.drop(*silver.ORIGIN), f"{name[:-1]}_id"
         tables.dimension(name).upsert(good, [key], [c for c in good.columns if c != key])
         files.write_results(tables.dimension(name).read(), tables.path("silver", f"{name}_current"))
     users, products = tables.current("users"), tables.current("products")

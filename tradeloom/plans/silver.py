@@ -17,8 +17,14 @@ from tradeloom.functions.columns import (as_date, as_discount, as_int, as_money,
 from tradeloom.operators.dedup import dedup_latest
 from tradeloom.operators.ordering import sort_names
 from tradeloom.operators.quality import REASONS, tag_rows, tag_unknown
+from tradeloom.sources.files import CORRUPT
 
 NEWEST = ("_ingested_at desc",)
+ORIGIN = (CORRUPT, "_source_file")  # what a rejected row needs to be looked up: its raw text and its file
+
+
+def _origin(raw: DataFrame) -> list[str]:
+    return [c for c in ORIGIN if c in raw.columns]
 
 
 def one_per_key(raw: DataFrame, keys: Sequence[str], order: Sequence[str] = NEWEST,
@@ -37,7 +43,7 @@ def users(raw: DataFrame, **dedup) -> DataFrame:
     typed = one_per_key(raw, ["user_id"], **dedup).withColumns(
         {"email": clean_email("email"), "signup_date": as_date("signup_date")})
     return tag_rows(typed, {"user_id": F.col("user_id").isNotNull()}).select(
-        "user_id", "name", "email", "city", "state", "signup_date", "preferred_device", REASONS)
+        "user_id", "name", "email", "city", "state", "signup_date", "preferred_device", *_origin(raw), REASONS)
 
 
 def products(raw: DataFrame, **dedup) -> DataFrame:
@@ -45,7 +51,7 @@ def products(raw: DataFrame, **dedup) -> DataFrame:
         {"list_price": as_money("list_price"), "category": clean_label("category")})
     return tag_rows(typed, {"product_id": F.col("product_id").isNotNull(),
                             "list_price": F.col("list_price").isNotNull()}).select(
-        "product_id", "product_name", "category", "sub_category", "brand", "list_price", REASONS)
+        "product_id", "product_name", "category", "sub_category", "brand", "list_price", *_origin(raw), REASONS)
 
 
 def type_orders(raw: DataFrame) -> DataFrame:

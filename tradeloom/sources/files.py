@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Observation, SparkSession, functions as F
+from pyspark.sql import DataFrame, DataFrameReader, Observation, SparkSession, functions as F
 from pyspark.sql import types as T
 
 from tradeloom.session import scratch_path
@@ -18,16 +18,19 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | None = None)
 
     With a schema, a line that doesn't fit is kept whole in ``_corrupt_record``.
     """
-    reader = spark.read.option("header", True)
     if schema is None:
-        return reader.option("inferSchema", True).csv(path)
-    return (reader.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
-            .schema(T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])).csv(path))
+        return spark.read.option("header", True).option("inferSchema", True).csv(path)
+    return _tolerant(spark, schema).option("header", True).csv(path)
+
+
+def _tolerant(spark: SparkSession, schema: T.StructType) -> DataFrameReader:
+    return (spark.read.option("mode", "PERMISSIVE").option("columnNameOfCorruptRecord", CORRUPT)
+            .schema(T.StructType(schema.fields + [T.StructField(CORRUPT, T.StringType())])))
 
 
 def read_json(spark: SparkSession, path: str, schema: T.StructType | None = None) -> DataFrame:
-    """JSON lines."""
-    return (spark.read.schema(schema) if schema else spark.read).json(path)
+    """JSON lines. With a schema, a line that can't be read is kept whole in ``_corrupt_record``."""
+    return (_tolerant(spark, schema) if schema else spark.read).json(path)
 
 
 def read_parquet(spark: SparkSession, path: str) -> DataFrame:
