@@ -6,10 +6,12 @@ registers of a union are the maxima of the registers, and equal registers are th
 
 1. Documents with equal sets are one node (grouped by a 128-bit fingerprint, combined before the shuffle).
 2. Bands of registers give every node its buckets. Nodes of one bucket are first compared with its first node only.
-3. Nodes of a bucket that are then still in different components are compared pair by pair, if the bucket is small. The
-   nodes of larger buckets go to a second set of longer bands, where the same is done without any limit on size.
-4. A pair of step 3 is made once, and only if its sizes and one bit of each register allow it (five standard errors). Pairs
-   then pass a joint maximum-likelihood estimate from the registers (five too) and are confirmed on the full sets.
+3. Nodes of a bucket that are then still in different components are compared block by block: a bucket is dealt out as cells
+   of two blocks of about ``BLOCK`` nodes, and a cell gives only pairs whose registers, ``FINE`` further ones among them,
+   allow a link (five standard errors), each pair in the first band in which it agrees. Dealing out costs a bucket's size
+   over ``BLOCK`` rows a node, so the nodes of buckets beyond ``ALL_PAIRS`` go to a second set of longer bands, where the
+   same is done without any limit on size.
+4. Pairs then pass a joint maximum-likelihood estimate from the registers (five too) and are confirmed on the full sets.
 5. Components are found by alternating large and small stars, in tables written to the shared folder.
 
 A pair at a similarity of 0.85 misses all bands of a level with a probability of about 5e-6 (level 0) and 4e-5 (level 1).
@@ -35,13 +37,16 @@ PERCENT = 85  # 100 * intersection >= PERCENT * union
 REGISTERS = 256
 BASE, RATE, LIMIT = 1.001, 20.0, 65534  # of the registers
 LEVELS = [(10, 56), (20, 256)]  # registers in a band, bands
-ALL_PAIRS = 100  # nodes in a bucket of level 0 up to which its pairs are compared
+BLOCK = 512  # nodes
+ALL_PAIRS = 4 * BLOCK  # nodes in a bucket of level 0 up to which its pairs are compared
+FINE = 512  # registers, one byte of each
 ESTIMATE_ERRORS = 5.0
 BROADCAST_PAIRS = 100_000  # counted; some 3 MB
 
 _SEED = np.random.default_rng(20240229)
 _FACTORS = _SEED.integers(1, 2**63, size=REGISTERS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _MIX = _SEED.integers(1, 2**63, size=SHINGLE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+_FINE_FACTORS = _SEED.integers(1, 2**63, size=FINE, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
 
 def _scrambled(x: np.ndarray) -> np.ndarray:
@@ -71,11 +76,11 @@ def fingerprint(items: np.ndarray) -> bytes:
     return hashlib.blake2b(items.tobytes(), digest_size=16).digest()
 
 
-def registers(items: np.ndarray) -> np.ndarray:
+def registers(items: np.ndarray, factors: np.ndarray = _FACTORS) -> np.ndarray:
     """The SetSketch of a non-empty set as 16-bit registers."""
-    least = np.full(REGISTERS, np.iinfo(np.uint64).max, np.uint64)
+    least = np.full(len(factors), np.iinfo(np.uint64).max, np.uint64)
     for at in range(0, len(items), 256):
-        np.minimum(least, (items[at:at + 256, None] * _FACTORS[None, :]).min(0), out=least)
+        np.minimum(least, (items[at:at + 256, None] * factors[None, :]).min(0), out=least)
     exponential = -np.log1p(-(least.astype(np.float64) + 1) / 2.0**64 * (1 - 2.0**-53)) / RATE
     return np.clip(np.floor(1 - np.log(exponential) / np.log(BASE)), 0, LIMIT + 1).astype(np.uint16)
 
@@ -113,37 +118,41 @@ def sketches(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFr
     return found.withColumn(key, F.col(key).cast("long"))
 
 
-def _matrix(sketch: pd.Series) -> np.ndarray:
-    return np.frombuffer(b"".join(sketch), np.uint16).reshape(len(sketch), REGISTERS)
+def fine_registers(items: np.ndarray) -> bytes:
+    """The low bytes of further registers."""
+    return registers(items, _FINE_FACTORS).astype(np.uint8).tobytes()
 
 
-def _bits(matrix: np.ndarray) -> np.ndarray:
-    """One bit of each register, as 64-bit words."""
-    bits = ((matrix.astype(np.uint32) * np.uint32(0x9E3779B1)) >> np.uint32(31)).astype(np.uint8)
-    return np.packbits(bits, axis=1).view(np.int64)
+def _matrix(sketch: pd.Series, kind: type = np.uint16) -> np.ndarray:
+    return np.frombuffer(b"".join(sketch), kind).reshape(len(sketch), -1)
 
 
-def band_keys(nodes: DataFrame, level: int) -> DataFrame:
-    """(key, nid) for every band of every node."""
+def _places(level: int) -> tuple[np.ndarray, np.random.Generator]:
+    """The registers of each band of a level, and the generator that chose them."""
     rows, bands = LEVELS[level]
     chosen = np.random.default_rng(level + 7)
-    places = np.stack([chosen.choice(REGISTERS, rows, replace=False) for _ in range(bands)])
-    factors = chosen.integers(1, 2**63, size=(bands, rows), dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    return np.stack([chosen.choice(REGISTERS, rows, replace=False) for _ in range(bands)]), chosen
+
+
+def band_keys(nodes: DataFrame, level: int) -> DataFrame:
+    """(band, key, nid) for every band of every node."""
+    places, chosen = _places(level)
+    factors = chosen.integers(1, 2**63, size=places.shape, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 
     def keys(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for at in range(0, len(batch), 512):
                 part = batch.iloc[at:at + 512]
                 picked = _matrix(part.sketch)[:, places].astype(np.uint64)
-                hashed = _scrambled((picked * factors).sum(2, dtype=np.uint64) + np.arange(bands, dtype=np.uint64)[None, :])
+                hashed = _scrambled((picked * factors).sum(2, dtype=np.uint64) + np.arange(len(places), dtype=np.uint64)[None, :])
                 yield pd.DataFrame({"nid": part.nid.values, "keys": list(hashed.view(np.int64))})
 
     return nodes.select("nid", "sketch").mapInPandas(keys, "nid bigint, keys array<bigint>").select(
-        F.explode("keys").alias("key"), "nid")
+        F.posexplode("keys").alias("band", "key"), "nid")
 
 
 def buckets(nodes: DataFrame, level: int) -> DataFrame:
-    """(key, nid, n, pivot) of all buckets with two nodes or more."""
+    """(key, band, nid, n, pivot) of all buckets with two nodes or more."""
     keys = band_keys(nodes, level)
     counts = keys.groupBy("key").agg(F.count(F.lit(1)).alias("n"), F.min("nid").alias("pivot")).where("n > 1")
     return written(keys.join(counts, "key"), "buckets")
@@ -157,7 +166,7 @@ def _both(pairs: DataFrame, side: DataFrame, columns: list[str], few: bool) -> D
     return pairs
 
 
-def confirmed(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, tested: list[DataFrame]) -> DataFrame:
+def confirmed(pairs: DataFrame, sets: DataFrame, tested: list[DataFrame]) -> DataFrame:
     """The pairs (a, b), a < b, whose sets are similar enough; pairs of ``tested`` are known and not looked at again."""
     pairs = pairs.distinct()
     if tested:
@@ -175,7 +184,7 @@ def confirmed(pairs: DataFrame, nodes: DataFrame, sets: DataFrame, tested: list[
                 similarity = estimated((a == b).sum(1), (a > b).sum(1), (a < b).sum(1), batch.n_shingles_a.values, batch.n_shingles_b.values)
                 yield batch.loc[similarity >= threshold - margin, ["a", "b"]]
 
-    sized = _both(pairs, nodes, ["n_shingles", "sketch"], few).where(
+    sized = _both(pairs, sets, ["n_shingles", "sketch"], few).where(
         F.least("n_shingles_a", "n_shingles_b") * 100 >= F.greatest("n_shingles_a", "n_shingles_b") * PERCENT)
     left = written(sized.select("a", "b", "n_shingles_a", "n_shingles_b", "sketch_a", "sketch_b").mapInPandas(likely, "a bigint, b bigint"), "likely")
     shared = F.size(F.array_intersect("items_a", "items_b"))
@@ -205,53 +214,87 @@ def components(links: DataFrame) -> DataFrame:
 
 
 def node_sets(docs: DataFrame, nodes: DataFrame, text: str, key: str) -> DataFrame:
-    """(nid, items) of the given nodes, from the text of their first document."""
+    """(nid, n_shingles, sketch, fine, items) of the given nodes, from the text of their first document."""
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = [shingle_set(t) for t in batch["text"]]
             right = [fingerprint(s) == bytes(fp) for s, fp in zip(found, batch.fp)]  # a doc_id may come with other texts too
-            yield pd.DataFrame({"nid": batch.nid.values, "items": [s.view(np.int64) for s in found]})[right]
+            found = [s for s, r in zip(found, right) if r]
+            yield batch.loc[right, ["nid", "n_shingles", "sketch"]].assign(
+                fine=[fine_registers(s) for s in found], items=[s.view(np.int64) for s in found])
 
     texts = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text")).where("doc is not null")
-    found = texts.join(nodes.select("nid", "fp", F.col("doc")), "doc").select("nid", "fp", "text").mapInPandas(
-        sets, "nid bigint, items array<bigint>")
+    found = texts.join(nodes.select("nid", "fp", "doc", "n_shingles", "sketch"), "doc").drop("doc").mapInPandas(
+        sets, "nid bigint, n_shingles bigint, sketch binary, fine binary, items array<bigint>")
     return written(found.dropDuplicates(["nid"]), "sets")
 
 
-def _level(nodes: DataFrame, sets: DataFrame, found: DataFrame, links: list[DataFrame], tested: list[DataFrame], all_pairs: int | None) -> DataFrame | None:
+def _cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+    """The rows of one cell after the other, from batches sorted by cell."""
+    held: list[pd.DataFrame] = []
+    for batch in batches:
+        cells = batch.cell.values
+        edges = [0, *(np.flatnonzero(cells[1:] != cells[:-1]) + 1).tolist(), len(batch)]
+        for start, end in zip(edges, edges[1:]):
+            if start == end:
+                continue
+            if held and held[0].cell.values[0] != cells[start]:
+                yield pd.concat(held) if len(held) > 1 else held[0]
+                held = []
+            held.append(batch.iloc[start:end])
+    if held:
+        yield pd.concat(held) if len(held) > 1 else held[0]
+
+
+def crossing(members: DataFrame, sets: DataFrame, level: int) -> DataFrame:
+    """Pairs (a, b) of a bucket's members with different roots whose registers allow a link."""
+    places, _ = _places(level)
+    threshold, size = PERCENT / 100, REGISTERS + FINE
+    least = int(size * threshold - ESTIMATE_ERRORS * (size * threshold * (1 - threshold)) ** 0.5)
+
+    def compared(cell: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+        nid, root, n, block = (cell[c].values for c in ("nid", "root", "n_shingles", "block"))
+        if (root == root[0]).all():
+            return
+        sketch, fine, band = _matrix(cell.sketch), _matrix(cell.fine, np.uint8), cell.band.values[0]
+        first = int((block == block[0]).sum())  # rows are sorted by block
+        for i in range(first):
+            j = i + 1 if first == len(nid) else first
+            j += np.flatnonzero((root[j:] != root[i]) & (np.minimum(n[j:], n[i]) * 100 >= np.maximum(n[j:], n[i]) * PERCENT))
+            equal = sketch[j] == sketch[i]
+            near = equal.sum(1) + (fine[j] == fine[i]).sum(1) >= least
+            j, equal = j[near], equal[near]
+            if len(j):
+                j = j[~equal[:, places[:band]].all(2).any(1)]  # not those that an earlier band has
+                yield np.minimum(nid[i], nid[j]), np.maximum(nid[i], nid[j])
+
+    def pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        for cell in _cells(batches):
+            if made := list(compared(cell)):
+                yield pd.DataFrame(dict(zip("ab", map(np.concatenate, zip(*made)))))
+
+    blocks = F.ceil(F.col("n") / BLOCK)
+    dealt = (members.where("nid <> pivot").withColumn("blocks", blocks).withColumn("block", F.expr("pmod(xxhash64(nid, key), blocks)"))
+             .join(sets.select("nid", "n_shingles", "sketch", "fine"), "nid")
+             .withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), F.col("blocks") - 1)))
+             .select(F.xxhash64("key", F.least("block", "other"), F.greatest("block", "other")).alias("cell"),
+                     "block", "band", "nid", "root", "n_shingles", "sketch", "fine"))
+    return dealt.repartition("cell").sortWithinPartitions("cell", "block").mapInPandas(pairs, "a bigint, b bigint")
+
+
+def _level(sets: DataFrame, found: DataFrame, level: int, links: list[DataFrame], tested: list[DataFrame], all_pairs: int | None) -> DataFrame | None:
     """Adds the links of the buckets ``found`` to ``links``; returns the nodes whose buckets are too large for all pairs."""
-    spark = nodes.sparkSession
-    links.append(confirmed(found.where("nid > pivot").select(F.col("pivot").alias("a"), F.col("nid").alias("b")), nodes, sets, tested))
+    links.append(confirmed(found.where("nid > pivot").select(F.col("pivot").alias("a"), F.col("nid").alias("b")), sets, tested))
     rooted = components(_union(links))
     open_members = found.where("n > 2").join(rooted, "nid", "left").withColumn("root", F.coalesce("root", "nid"))
     undecided = open_members.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
     open_members = written(open_members.join(undecided, "key"), "open")
     small = open_members if all_pairs is None else open_members.where(F.col("n") <= all_pairs)
-
-    def bits(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
-        for batch in batches:
-            if len(batch):
-                words = _bits(_matrix(batch.sketch))
-                yield pd.DataFrame({"nid": batch.nid.values, "n_shingles": batch.n_shingles.values} | {f"w{i}": words[:, i] for i in range(4)})
-
-    signs = nodes.select("nid", "n_shingles", "sketch").mapInPandas(bits, "nid bigint, n_shingles bigint, w0 bigint, w1 bigint, w2 bigint, w3 bigint")
-    # a pair that shares several buckets is made in the one with the smallest key only
-    shared_keys = small.groupBy("nid").agg(F.array_sort(F.collect_set("key")).alias("keys"))
-    side = written(small.join(signs, "nid").join(shared_keys, "nid"), "signs")
-    # half of the unequal registers differ in their bit
-    p = (1 - PERCENT / 100) / 2
-    most = int(REGISTERS * p + ESTIMATE_ERRORS * (REGISTERS * p * (1 - p)) ** 0.5)
-    a, b = side.alias("x"), side.alias("y")
-    unequal = sum((F.bit_count(F.col(f"x.w{i}").bitwiseXOR(F.col(f"y.w{i}"))) for i in range(4)), F.lit(0))
-    crossing = a.join(b, (F.col("x.key") == F.col("y.key")) & (F.col("x.nid") < F.col("y.nid")) & (F.col("x.root") != F.col("y.root"))
-                      & (F.col("x.nid") != F.col("x.pivot")) & (unequal <= most)
-                      & (F.least("x.n_shingles", "y.n_shingles") * 100 >= F.greatest("x.n_shingles", "y.n_shingles") * PERCENT)
-                      & (F.col("x.key") == F.array_min(F.array_intersect("x.keys", "y.keys"))))
-    links.append(confirmed(crossing.select(F.col("x.nid").alias("a"), F.col("y.nid").alias("b")), nodes, sets, tested))
+    links.append(confirmed(crossing(small, sets, level), sets, tested))
     if all_pairs is None:
         return None
     rest = written(open_members.where(F.col("n") > all_pairs).select("nid").distinct(), "rest")
-    return None if rest.isEmpty() else nodes.join(rest, "nid", "left_semi")
+    return None if rest.isEmpty() else sets.select("nid", "sketch").join(rest, "nid", "left_semi")
 
 
 def _union(links: list[DataFrame]) -> DataFrame:
@@ -272,10 +315,9 @@ def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") ->
     sets = node_sets(docs, nodes.join(shared, "nid", "left_semi"), text, key)
     links: list[DataFrame] = []
     tested: list[DataFrame] = []
-    rest = _level(nodes, sets, found, links, tested, ALL_PAIRS)
+    rest = _level(sets, found, 0, links, tested, ALL_PAIRS)
     if rest is not None:
-        rest = written(rest, "rest-nodes")
-        _level(rest, sets, buckets(rest, 1), links, tested, None)
+        _level(sets, buckets(written(rest, "rest-nodes"), 1), 1, links, tested, None)
     rooted = nodes.select("nid", "fp", "doc").join(components(_union(links)), "nid")
     lowest = rooted.groupBy("root").agg(F.min("doc").alias("component"))
     by_set = nodes.select("fp", "nid", "doc").join(rooted.join(lowest, "root").select("nid", "component"), "nid", "left").select(
