@@ -11,7 +11,8 @@ registers of a union are the maxima of the registers, and equal registers are th
    allow a link (five standard errors), each pair in the first band in which it agrees. Dealing out costs a bucket's size
    over ``BLOCK`` rows a node, so the nodes of buckets beyond ``ALL_PAIRS`` go to a second set of longer bands, where the
    same is done without any limit on size.
-4. Pairs then pass a joint maximum-likelihood estimate from the registers (five too) and are confirmed on the full sets.
+4. Pairs pass a joint maximum-likelihood estimate from the registers (five too), those of step 3 in their cell, and are
+   then confirmed on the full sets.
 5. Components are found by alternating large and small stars, in tables written to the shared folder.
 
 A pair at a similarity of 0.85 misses all bands of a level with a probability of about 5e-6 (level 0) and 4e-5 (level 1).
@@ -166,29 +167,39 @@ def _both(pairs: DataFrame, side: DataFrame, columns: list[str], few: bool) -> D
     return pairs
 
 
-def confirmed(pairs: DataFrame, sets: DataFrame, tested: list[DataFrame]) -> DataFrame:
-    """The pairs (a, b), a < b, whose sets are similar enough; pairs of ``tested`` are known and not looked at again."""
+def _possible(equal: np.ndarray, above: np.ndarray, below: np.ndarray, n_a: np.ndarray, n_b: np.ndarray) -> np.ndarray:
+    """Whether the joint estimate allows a link."""
+    threshold = PERCENT / 100
+    return estimated(equal, above, below, n_a, n_b) >= threshold - ESTIMATE_ERRORS * (threshold * (1 - threshold) / REGISTERS) ** 0.5
+
+
+def untested(pairs: DataFrame, tested: list[DataFrame]) -> DataFrame:
+    """The distinct pairs that are not among ``tested``, and from now on are."""
     pairs = pairs.distinct()
     if tested:
         pairs = pairs.join(_union(tested), ["a", "b"], "left_anti")
-    pairs = written(pairs, "pairs")
-    tested.append(pairs)
-    few = pairs.count() <= BROADCAST_PAIRS
-    threshold = PERCENT / 100
-    margin = ESTIMATE_ERRORS * (threshold * (1 - threshold) / REGISTERS) ** 0.5
+    tested.append(written(pairs, "pairs"))
+    return tested[-1]
 
-    def likely(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+
+def likely(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) that sizes and joint estimate allow to be linked."""
+    def allowed(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             if len(batch):
                 a, b = _matrix(batch.sketch_a), _matrix(batch.sketch_b)
-                similarity = estimated((a == b).sum(1), (a > b).sum(1), (a < b).sum(1), batch.n_shingles_a.values, batch.n_shingles_b.values)
-                yield batch.loc[similarity >= threshold - margin, ["a", "b"]]
+                yield batch.loc[_possible((a == b).sum(1), (a > b).sum(1), (a < b).sum(1), batch.n_shingles_a.values,
+                                          batch.n_shingles_b.values), ["a", "b"]]
 
-    sized = _both(pairs, sets, ["n_shingles", "sketch"], few).where(
+    sized = _both(pairs, sets, ["n_shingles", "sketch"], pairs.count() <= BROADCAST_PAIRS).where(
         F.least("n_shingles_a", "n_shingles_b") * 100 >= F.greatest("n_shingles_a", "n_shingles_b") * PERCENT)
-    left = written(sized.select("a", "b", "n_shingles_a", "n_shingles_b", "sketch_a", "sketch_b").mapInPandas(likely, "a bigint, b bigint"), "likely")
+    return written(sized.select("a", "b", "n_shingles_a", "n_shingles_b", "sketch_a", "sketch_b").mapInPandas(allowed, "a bigint, b bigint"), "likely")
+
+
+def confirmed(pairs: DataFrame, sets: DataFrame) -> DataFrame:
+    """The pairs (a, b) whose sets are similar enough."""
     shared = F.size(F.array_intersect("items_a", "items_b"))
-    full = _both(left, sets, ["items"], left.count() <= BROADCAST_PAIRS).select(
+    full = _both(pairs, sets, ["items"], pairs.count() <= BROADCAST_PAIRS).select(
         "a", "b", shared.alias("both"), (F.size("items_a") + F.size("items_b")).alias("total"))
     return written(full.where(F.col("both") * 100 >= (F.col("total") - F.col("both")) * PERCENT).select("a", "b"), "links")
 
@@ -247,12 +258,12 @@ def _cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
 
 
 def crossing(members: DataFrame, sets: DataFrame, level: int) -> DataFrame:
-    """Pairs (a, b) of a bucket's members with different roots whose registers allow a link."""
+    """Pairs (a, b) of a bucket's members with different roots that sizes, registers and joint estimate allow to be linked."""
     places, _ = _places(level)
     threshold, size = PERCENT / 100, REGISTERS + FINE
     least = int(size * threshold - ESTIMATE_ERRORS * (size * threshold * (1 - threshold)) ** 0.5)
 
-    def compared(cell: pd.DataFrame) -> Iterator[tuple[np.ndarray, np.ndarray]]:
+    def compared(cell: pd.DataFrame) -> Iterator[tuple[np.ndarray, ...]]:
         nid, root, n, block = (cell[c].values for c in ("nid", "root", "n_shingles", "block"))
         if (root == root[0]).all():
             return
@@ -265,13 +276,15 @@ def crossing(members: DataFrame, sets: DataFrame, level: int) -> DataFrame:
             near = equal.sum(1) + (fine[j] == fine[i]).sum(1) >= least
             j, equal = j[near], equal[near]
             if len(j):
-                j = j[~equal[:, places[:band]].all(2).any(1)]  # not those that an earlier band has
-                yield np.minimum(nid[i], nid[j]), np.maximum(nid[i], nid[j])
+                new = ~equal[:, places[:band]].all(2).any(1)  # not those that an earlier band has
+                j, equal, above = j[new], equal[new].sum(1), (sketch[i] > sketch[j[new]]).sum(1)
+                yield np.minimum(nid[i], nid[j]), np.maximum(nid[i], nid[j]), equal, above, REGISTERS - equal - above, np.full(len(j), n[i]), n[j]
 
     def pairs(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for cell in _cells(batches):
             if made := list(compared(cell)):
-                yield pd.DataFrame(dict(zip("ab", map(np.concatenate, zip(*made)))))
+                a, b, *registers_and_sizes = map(np.concatenate, zip(*made))
+                yield pd.DataFrame({"a": a, "b": b})[_possible(*registers_and_sizes)]
 
     blocks = F.ceil(F.col("n") / BLOCK)
     dealt = (members.where("nid <> pivot").withColumn("blocks", blocks).withColumn("block", F.expr("pmod(xxhash64(nid, key), blocks)"))
@@ -284,13 +297,14 @@ def crossing(members: DataFrame, sets: DataFrame, level: int) -> DataFrame:
 
 def _level(sets: DataFrame, found: DataFrame, level: int, links: list[DataFrame], tested: list[DataFrame], all_pairs: int | None) -> DataFrame | None:
     """Adds the links of the buckets ``found`` to ``links``; returns the nodes whose buckets are too large for all pairs."""
-    links.append(confirmed(found.where("nid > pivot").select(F.col("pivot").alias("a"), F.col("nid").alias("b")), sets, tested))
+    first = untested(found.where("nid > pivot").select(F.col("pivot").alias("a"), F.col("nid").alias("b")), tested)
+    links.append(confirmed(likely(first, sets), sets))
     rooted = components(_union(links))
     open_members = found.where("n > 2").join(rooted, "nid", "left").withColumn("root", F.coalesce("root", "nid"))
     undecided = open_members.groupBy("key").agg(F.min("root").alias("low"), F.max("root").alias("high")).where("low < high").select("key")
     open_members = written(open_members.join(undecided, "key"), "open")
     small = open_members if all_pairs is None else open_members.where(F.col("n") <= all_pairs)
-    links.append(confirmed(crossing(small, sets, level), sets, tested))
+    links.append(confirmed(untested(crossing(small, sets, level), tested), sets))
     if all_pairs is None:
         return None
     rest = written(open_members.where(F.col("n") > all_pairs).select("nid").distinct(), "rest")
