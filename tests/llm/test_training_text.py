@@ -258,6 +258,22 @@ def test_large_buckets_lose_no_link(spark, monkeypatch):
     assert got == brute.near_components(rows)
 
 
+def test_all_blocks_of_a_large_bucket_meet(spark, monkeypatch):
+    monkeypatch.setattr(near_dup, "ALL_PAIRS", 2)
+    monkeypatch.setattr(near_dup, "BLOCK", 8)
+    monkeypatch.setattr(near_dup, "LEVELS", [(10, 56), (20, 1)], raising=False)  # no second set of bands makes up for a bucket's pairs
+    r, base, rows = random.Random(11), prose(901, 200).split(), []
+    for group in range(100):  # pairs at 0.86; groups lie at 0.77, so they share buckets and no link
+        words = list(base)
+        words[r.randrange(10, 90)] = f"group{group}"
+        for i in range(2):
+            for at in (110, 140, 170):
+                words[at] = f"own{group}x{i}"
+            rows.append((len(rows), " ".join(words)))
+    got = {row.doc_id: (row.n_shingles, row.component_id) for row in near_dup.near_duplicates(frame(spark, rows)).collect()}
+    assert got == brute.near_components(rows)
+
+
 def test_registers_estimate_similarity():
     import numpy as np
 
