@@ -274,6 +274,22 @@ def test_all_blocks_of_a_large_bucket_meet(spark, monkeypatch):
     assert got == brute.near_components(rows)
 
 
+def test_rows_are_dropped_by_row_not_by_doc_id(spark):
+    copy = prose(51, 60)
+    docs = frame(spark, [(1, copy), (7, copy), (7, prose(52, 60)), (None, copy), (8, prose(53, 60))])
+    expected = [(1, copy), (7, prose(52, 60)), (None, copy), (8, prose(53, 60))]
+    assert in_order(near_dup.without_near_duplicates(docs).select("doc_id", "text")) == sorted(expected, key=str)
+    words = prose(54, 30).split()
+    bench = frame(spark, [(1, " ".join(words)), (None, copy)], "item_id long, text string")
+    # halves of an item at the same place of two documents are no leak, in whichever way their ids agree
+    rows = [(key, text) for key in (None, 5) for text in (" ".join(words[:11] + ["x"] * 19), " ".join(["y"] * 19 + words[19:]))]
+    docs = frame(spark, [*rows, (None, copy), (None, prose(55, 60)), (5, " ".join(words)), (6, prose(56, 60))])
+    kept = decontamination.without_leaks(docs, bench)
+    assert in_order(kept.select("doc_id", "text")) == sorted([*rows, (None, prose(55, 60)), (6, prose(56, 60))], key=str)
+    assert kept.columns == docs.columns
+    assert {(r.doc_id, r.item_id) for r in decontamination.matches(docs, bench).collect()} == {(None, None), (5, 1)}
+
+
 def test_registers_estimate_similarity():
     import numpy as np
 

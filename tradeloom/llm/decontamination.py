@@ -13,15 +13,15 @@ The benchmark's windows are broadcast only if they were counted and are few; bey
 and Spark splits hot hashes. Rows that are shuffled hold hashes and the slot values of one window, never a text.
 
 Null texts have no tokens and match nothing. A text of fewer tokens than a window is one window of its own and matches only
-an equally short text. Repeated documents and items each get their rows; rows that agree in doc_id (null included) are
-judged as one document. Empty tables give no rows. Only the named columns are read.
+an equally short text. Every row of both tables gets a number first and is judged by itself, whatever its doc_id or item_id;
+rows that agree in both ids (null included) are one row of the result. Empty tables give no rows.
 """
 
 from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, functions as F
 
-from tradeloom.llm.shared import text_of
+from tradeloom.llm.shared import ROW, numbered, text_of
 
 WINDOW = 8
 MOST_SLOTS = 4  # a window with more placeholders says too little
@@ -81,9 +81,11 @@ def template_windows(df: DataFrame, key: str, text: str = "text", step: int = 1,
     return (windows.select(key, F.explode_outer("windows").alias("w")).select(key, "w.*").where(F.col("h").isNotNull()))
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "doc_id", item: str = "item_id") -> DataFrame:
-    """One row per document and item that it leaks: key, item, ``matched_windows`` of the best alignment, ``item_windows``
-    and ``same_values`` (false where the question comes with other parameters)."""
+def leaking_rows(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
+    """One row per numbered document and item that it leaks: ``ROW``, ``item`` (the number of the item's row),
+    ``matched_windows`` of the best alignment, ``item_windows`` and ``same_values``."""
+    key, item = ROW, "item"
+    benchmark = benchmark.select(F.col(ROW).alias(item), text)
     item_windows = template_windows(benchmark, item, text).withColumnRenamed("slots", "item_slots")
     needed = F.least(F.lit(WINDOWS_IN_A_ROW), F.ceil(F.col("item_windows") / 2).cast("int"))
     sizes = item_windows.groupBy(item).agg(F.count(F.lit(1)).alias("item_windows")).withColumn("needed", needed)
@@ -95,8 +97,8 @@ def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str
 
     found = template_windows(docs, key, text, step=fewest or 1, slots=False)
     hashes = side.select("h").distinct()
-    suspects = found.join(F.broadcast(hashes) if small else hashes, "h", "left_semi").select(F.col(key).alias("_suspect")).distinct()
-    again = docs.select(key, text).join(suspects, F.col(key).eqNullSafe(F.col("_suspect")), "left_semi")
+    suspects = found.join(F.broadcast(hashes) if small else hashes, "h", "left_semi").select(key).distinct()
+    again = docs.select(key, text).join(suspects, key, "left_semi")
 
     hits = template_windows(again, key, text).join(side, "h")
     aligned = (hits.groupBy(F.col(key), F.col(item), "item_windows", "needed", (F.col("at") - F.col("item_at")).alias("shift"))
@@ -109,7 +111,19 @@ def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str
                  F.max(same).alias("same_values")))
 
 
+def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "doc_id", item: str = "item_id") -> DataFrame:
+    """One row per document and item that it leaks: key, item, ``matched_windows`` of the best alignment, ``item_windows``
+    and ``same_values`` (false where the question comes with other parameters)."""
+    docs, benchmark = numbered(docs.select(key, text)), numbered(benchmark.select(item, text))
+    found = leaking_rows(docs, benchmark, text)
+    names = benchmark.select(F.col(ROW).alias("item"), F.col(item).alias("_item"))
+    return (docs.select(ROW, key).join(found, ROW).join(names, "item").groupBy(F.col(key), F.col("_item").alias(item))
+            .agg(F.max("matched_windows").alias("matched_windows"), F.max("item_windows").alias("item_windows"),
+                 F.max("same_values").alias("same_values")))
+
+
 def without_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """The documents that leak no item, with all their columns."""
-    leaking = matches(docs, benchmark, text, key).select(F.col(key).alias("_leaking")).distinct()
-    return docs.join(leaking, F.col(key).eqNullSafe(F.col("_leaking")), "left_anti")
+    """The rows that leak no item, with all their columns."""
+    docs = numbered(docs)
+    leaking = leaking_rows(docs, numbered(benchmark.select(text)), text).select(ROW).distinct()
+    return docs.join(leaking, ROW, "left_anti").drop(ROW)

@@ -19,6 +19,7 @@ registers of a union are the maxima of the registers, and equal registers are th
 A pair whose registers are equal with a probability of 0.85 misses all bands with one of 1.7e-4: 1,736 of 10 million simulated
 pairs with this file's bands, which share registers and so do not miss independently.
 
+Every row gets a number first, and rows are joined and dropped by it; a doc_id may be null or come with several texts.
 Null text and text without words have an empty set and are linked with nothing. Rows without doc_id are linked with nothing
 and kept; their component is null. Repeated rows and equal texts form one component. Columns other than the two named are
 never read. An empty table gives no rows. No links, components or fingerprints reach the driver, only counts.
@@ -33,6 +34,7 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
+from tradeloom.llm.shared import ROW, numbered
 from tradeloom.session import written
 
 SHINGLE = 5
@@ -109,15 +111,16 @@ def estimated(equal: np.ndarray, above: np.ndarray, below: np.ndarray, n_a: np.n
 
 
 def sketches(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """Key, ``fp``, ``n_shingles`` and ``sketch`` of every row."""
+    """Number, key, ``fp``, ``n_shingles`` and ``sketch`` of every numbered row."""
     def sketch(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             sets = [shingle_set(t) for t in batch[text]]
-            yield pd.DataFrame({key: batch[key], "fp": [fingerprint(s) for s in sets], "n_shingles": [len(s) for s in sets],
+            yield pd.DataFrame({ROW: batch[ROW], key: batch[key], "fp": [fingerprint(s) for s in sets], "n_shingles": [len(s) for s in sets],
                                 "sketch": [registers(s).tobytes() if len(s) else b"" for s in sets]})
 
     # the key as text and back: a column of numbers with nulls would reach pandas as floating point
-    found = docs.select(F.col(key).cast("string"), text).mapInPandas(sketch, f"`{key}` string, fp binary, n_shingles bigint, sketch binary")
+    found = docs.select(ROW, F.col(key).cast("string"), text).mapInPandas(
+        sketch, f"{ROW} bigint, `{key}` string, fp binary, n_shingles bigint, sketch binary")
     return found.withColumn(key, F.col(key).cast("long"))
 
 
@@ -216,20 +219,18 @@ def components(links: DataFrame) -> DataFrame:
         last = state
 
 
-def node_sets(docs: DataFrame, nodes: DataFrame, text: str, key: str) -> DataFrame:
-    """(nid, n_shingles, sketch, fine, items) of the given nodes, from the text of their first document."""
+def node_sets(docs: DataFrame, nodes: DataFrame, text: str) -> DataFrame:
+    """(nid, n_shingles, sketch, fine, items) of the given nodes, from the text of their first row."""
     def sets(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             found = [shingle_set(t) for t in batch["text"]]
-            right = [fingerprint(s) == bytes(fp) for s, fp in zip(found, batch.fp)]  # a doc_id may come with other texts too
-            found = [s for s, r in zip(found, right) if r]
-            yield batch.loc[right, ["nid", "n_shingles", "sketch"]].assign(
+            yield batch[["nid", "n_shingles", "sketch"]].assign(
                 fine=[fine_registers(s) for s in found], items=[s.view(np.int64) for s in found])
 
-    texts = docs.select(F.col(key).cast("long").alias("doc"), F.col(text).alias("text")).where("doc is not null")
-    found = texts.join(nodes.select("nid", "fp", "doc", "n_shingles", "sketch"), "doc").drop("doc").mapInPandas(
+    texts = docs.select(ROW, F.col(text).alias("text"))
+    found = texts.join(nodes.select("nid", ROW, "n_shingles", "sketch"), ROW).drop(ROW).mapInPandas(
         sets, "nid bigint, n_shingles bigint, sketch binary, fine binary, items array<bigint>")
-    return written(found.dropDuplicates(["nid"]), "sets")
+    return written(found, "sets")
 
 
 def _cells(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -324,27 +325,33 @@ def _union(links: list[DataFrame]) -> DataFrame:
     return whole
 
 
-def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """Key, ``n_shingles``, ``component_id`` (the smallest key of the component) and ``kept`` of every row."""
+def judged(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """Number, key, ``n_shingles``, ``component_id`` (the smallest key of the component) and ``kept`` of every numbered row."""
     rows = written(sketches(docs, text, key), "sketches")
     nodes = (rows.where((F.col("n_shingles") > 0) & F.col(key).isNotNull()).groupBy("fp")
-             .agg(F.min(key).alias("doc"), F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch")))
+             .agg(F.min(F.struct(F.col(key).alias("doc"), ROW)).alias("first"), F.first("n_shingles").alias("n_shingles"),
+                  F.first("sketch").alias("sketch")).select("fp", "first.*", "n_shingles", "sketch"))
     nodes = written(nodes.withColumn("nid", F.monotonically_increasing_id()), "nodes")
     found = buckets(nodes)
     shared = found.select("nid").distinct()
-    sets = node_sets(docs, nodes.join(shared, "nid", "left_semi"), text, key)
+    sets = node_sets(docs, nodes.join(shared, "nid", "left_semi"), text)
     rooted = nodes.select("nid", "fp", "doc").join(components(linked(sets, found)), "nid")
     lowest = rooted.groupBy("root").agg(F.min("doc").alias("component"))
     by_set = nodes.select("fp", "nid", "doc").join(rooted.join(lowest, "root").select("nid", "component"), "nid", "left").select(
         "fp", F.coalesce("component", "doc").alias("component"))
     by_set = written(by_set, "components")
     component = F.when(F.col(key).isNotNull(), F.coalesce("component", F.col(key)))
-    return (rows.select(key, "fp", "n_shingles").join(by_set, "fp", "left")
-            .select(key, "n_shingles", component.alias("component_id"),
+    return (rows.select(ROW, key, "fp", "n_shingles").join(by_set, "fp", "left")
+            .select(ROW, key, "n_shingles", component.alias("component_id"),
                     F.coalesce(F.col(key) == component, F.lit(True)).alias("kept")))
 
 
+def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+    """Key, ``n_shingles``, ``component_id`` (the smallest key of the component) and ``kept`` of every row."""
+    return judged(numbered(docs.select(key, text)), text, key).drop(ROW)
+
+
 def without_near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """One document of each component, with all its columns."""
-    gone = near_duplicates(docs, text, key).where("not kept").select(F.col(key).alias("_gone")).distinct()
-    return docs.join(gone, F.col(key) == F.col("_gone"), "left_anti")
+    """The rows that ``near_duplicates`` keeps, with all their columns."""
+    docs = numbered(docs)
+    return docs.join(judged(docs, text, key).where("not kept").select(ROW), ROW, "left_anti").drop(ROW)

@@ -4,6 +4,9 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
+from tradeloom.session import written
+
+ROW = "_row"
 WORD_BREAKS = " \t\n\x0b\f\r"  # a word is a run of any other characters
 
 
@@ -11,6 +14,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def numbered(df: DataFrame) -> DataFrame:
+    """The rows with a number of their own in ``ROW``, written once so that every reader sees the same numbers."""
+    return written(df.withColumn(ROW, F.monotonically_increasing_id()), "numbered")
+
+
 def text_of(column: str | Column) -> Column:
     """The text; null counts as empty."""
     return F.coalesce(F.col(column) if isinstance(column, str) else column, F.lit(""))
