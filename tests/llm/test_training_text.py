@@ -199,6 +199,14 @@ def test_shuffled_and_broadcast_searches_agree(spark, monkeypatch):
     assert expected and in_order(decontamination.matches(docs, bench)) == expected
 
 
+def test_windows_in_short_runs_are_found_at_any_offset(spark):
+    words = [f"w{chr(97 + i)}" for i in range(21)]
+    changed = " ".join(words[:10] + ["other"] + words[11:])  # six of six needed windows, in two runs
+    bench = spark.createDataFrame([(1, " ".join(words))], "item_id long, text string")
+    docs = spark.createDataFrame([(k, " ".join(["x"] * k + [changed] + ["y"] * 9)) for k in range(8)], "doc_id long, text string")
+    assert sorted((r.doc_id, r.matched_windows) for r in decontamination.matches(docs, bench).collect()) == [(k, 6) for k in range(8)]
+
+
 def test_substring_removals_equal_brute_force(spark, odd, none):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
     got = in_order(substring_dedup.removals(docs).select("doc_id", "start", "end", "first_doc_id", "first_start"))

@@ -5,9 +5,8 @@ Numbers, names and units become typed placeholders, so that a question with othe
 one alignment of a document with an item; it counts if enough of its windows agree and if its slots are consistent: every
 value of the item stands for one and the same value of the document.
 
-The search has two passes with one result. An item needs r windows in a row, and any r windows in a row hold one whose place
-is a multiple of r. So the first pass takes every document's windows at multiples of the smallest r of all items, which finds
-all documents that can match; the second takes all windows of those documents.
+The search has two passes with one result: the first takes the hashes of all windows of every document and finds the rows that
+share any with an item, the second takes the slots as well, of those rows only.
 
 The benchmark's windows are broadcast only if they were counted and are few; beyond that both sides are shuffled by the hash
 and Spark splits hot hashes. Rows that are shuffled hold hashes and the slot values of one window, never a text.
@@ -25,7 +24,7 @@ from tradeloom.llm.shared import ROW, numbered, text_of
 
 WINDOW = 8
 MOST_SLOTS = 4  # a window with more placeholders says too little
-WINDOWS_IN_A_ROW = 6  # 13 tokens; half of the windows for shorter items
+WINDOWS_IN_A_ROW = 6  # 13 tokens if in a row; half of the windows for shorter items
 BROADCAST_WINDOWS = 500_000  # some 30 MB
 
 # White space and punctuation end a token.
@@ -58,8 +57,8 @@ def with_templates(df: DataFrame, key: str, text: str) -> DataFrame:
             .withColumn("template", F.when(F.col("marked").contains(MARK), F.transform("tokens", _template_token))))
 
 
-def template_windows(df: DataFrame, key: str, text: str = "text", step: int = 1, slots: bool = True) -> DataFrame:
-    """One row per window at a multiple of ``step``: key, ``at``, the hash ``h`` of its template, the values of its ``slots``."""
+def template_windows(df: DataFrame, key: str, text: str = "text", slots: bool = True) -> DataFrame:
+    """One row per window: key, ``at``, the hash ``h`` of its template, the values of its ``slots``; without ``slots`` key and ``h``."""
     templates = with_templates(df, key, text)
     if slots:
         templates = templates.withColumn("values", F.when(F.col("template").isNotNull(), F.zip_with(
@@ -71,11 +70,11 @@ def template_windows(df: DataFrame, key: str, text: str = "text", step: int = 1,
     def window(i: Column) -> Column:
         h = F.xxhash64(*[F.get(F.col("hashes"), i + k) for k in range(WINDOW)])
         if not slots:
-            return F.struct(i.alias("at"), h.alias("h"))
+            return F.struct(h.alias("h"))
         inside = F.coalesce(F.array_compact(F.slice("values", i + 1, WINDOW)), F.array().cast("array<string>"))
         return F.struct(i.alias("at"), h.alias("h"), inside.alias("slots"))
 
-    places = F.sequence(F.lit(0), F.greatest(size - WINDOW, F.lit(0)), F.lit(step))
+    places = F.sequence(F.lit(0), F.greatest(size - WINDOW, F.lit(0)))
     windows = hashed.select(key, F.when(size > 0, F.transform(places, window)).alias("windows"))
     # the outer form: for the inner one a filter on the whole expression is pushed to the scan, and it is computed twice
     return (windows.select(key, F.explode_outer("windows").alias("w")).select(key, "w.*").where(F.col("h").isNotNull()))
@@ -91,13 +90,13 @@ def leaking_rows(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> D
     sizes = item_windows.groupBy(item).agg(F.count(F.lit(1)).alias("item_windows")).withColumn("needed", needed)
     side = (item_windows.where(F.size("item_slots") <= MOST_SLOTS)
             .select(F.col(item), F.col("at").alias("item_at"), "h", "item_slots").join(sizes, item))
-    count, fewest = side.agg(F.count(F.lit(1)), F.min("needed")).first()
-    small = count <= BROADCAST_WINDOWS
+    small = side.count() <= BROADCAST_WINDOWS
     side = F.broadcast(side) if small else side
 
-    found = template_windows(docs, key, text, step=fewest or 1, slots=False)
+    found = template_windows(docs, key, text, slots=False)
     hashes = side.select("h").distinct()
-    suspects = found.join(F.broadcast(hashes) if small else hashes, "h", "left_semi").select(key).distinct()
+    # shuffled, a window that a row repeats goes once
+    suspects = (found if small else found.distinct()).join(F.broadcast(hashes) if small else hashes, "h", "left_semi").select(key).distinct()
     again = docs.select(key, text).join(suspects, key, "left_semi")
 
     hits = template_windows(again, key, text).join(side, "h")
