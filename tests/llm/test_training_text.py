@@ -207,6 +207,15 @@ def test_windows_in_short_runs_are_found_at_any_offset(spark):
     assert sorted((r.doc_id, r.matched_windows) for r in decontamination.matches(docs, bench).collect()) == [(k, 6) for k in range(8)]
 
 
+def test_items_of_numbers_and_short_items_are_found(spark):
+    numbers = " ".join(str(i * i) for i in range(30))
+    bench = spark.createDataFrame([(1, numbers), (2, "Which river is longest"), (3, "What is 12 times 14")], "item_id long, text string")
+    docs = spark.createDataFrame([(1, f"so {numbers} end"), (2, numbers.replace("4", "5")), (3, prose(5, 20) + " which river is longest? " + prose(6, 20)),
+                                  (4, "say what is 17 times 3 of it"), (5, "what is the longest river")], "doc_id long, text string")
+    got = {(r.doc_id, r.item_id): r.same_values for r in decontamination.matches(docs, bench).collect()}
+    assert got == {(1, 1): True, (3, 2): True, (4, 3): False}
+
+
 def test_substring_removals_equal_brute_force(spark, odd, none):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
     got = in_order(substring_dedup.removals(docs).select("doc_id", "start", "end", "first_doc_id", "first_start"))

@@ -1,7 +1,8 @@
 """Benchmark decontamination by template canonicalisation, in DataFrame operations only.
 
 Numbers, names and units become typed placeholders, so that a question with other parameters keeps its template. Windows of
-``WINDOW`` template tokens of all documents are hash-joined with those of the benchmark. Windows at the same distance form
+``WINDOW`` tokens of all documents are hash-joined with those of the benchmark twice: by their plain lower-case tokens, and by
+their template if it has placeholders, up to ``MOST_SLOTS``. Windows at the same distance form
 one alignment of a document with an item; it counts if enough of its windows agree and if its slots are consistent: every
 value of the item stands for one and the same value of the document.
 
@@ -11,8 +12,9 @@ share any with an item, the second takes the slots as well, of those rows only.
 The benchmark's windows are broadcast only if they were counted and are few; beyond that both sides are shuffled by the hash
 and Spark splits hot hashes. Rows that are shuffled hold hashes and the slot values of one window, never a text.
 
-Null texts have no tokens and match nothing. A text of fewer tokens than a window is one window of its own and matches only
-an equally short text. Every row of both tables gets a number first and is judged by itself, whatever its doc_id or item_id;
+Null texts have no tokens and match nothing. An item of fewer tokens than a window is one window of its own length, which is
+looked for in all documents (lengths that no item has are not); its template counts inside longer texts only if at most half
+of it are placeholders. Every row of both tables gets a number first and is judged by itself, whatever its doc_id or item_id;
 rows that agree in both ids (null included) are one row of the result. Empty tables give no rows.
 """
 
@@ -23,7 +25,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tradeloom.llm.shared import ROW, numbered, text_of
 
 WINDOW = 8
-MOST_SLOTS = 4  # a window with more placeholders says too little
+MOST_SLOTS = 4  # a template with more placeholders says too little; such windows are found by their plain tokens
 WINDOWS_IN_A_ROW = 6  # 13 tokens if in a row; half of the windows for shorter items
 BROADCAST_WINDOWS = 500_000  # some 30 MB
 
@@ -50,34 +52,63 @@ def _template_token(token: Column, i: Column) -> Column:
 
 
 def with_templates(df: DataFrame, key: str, text: str) -> DataFrame:
-    """Key, lower-case ``tokens`` and, where any is a slot, the ``template`` with placeholders."""
+    """Key, lower-case ``tokens``, these without marks as ``plain`` and, where any is a slot, the ``template`` with placeholders."""
     marked = F.lower(F.regexp_replace(text_of(text), SLOT_BEGINS, f"{MARK}$0"))
     return (df.select(F.col(key), marked.alias("marked"))
             .withColumn("tokens", F.filter(F.split("marked", BREAKS), lambda token: token != ""))
-            .withColumn("template", F.when(F.col("marked").contains(MARK), F.transform("tokens", _template_token))))
-
-
-def template_windows(df: DataFrame, key: str, text: str = "text", slots: bool = True) -> DataFrame:
-    """One row per window: key, ``at``, the hash ``h`` of its template, the values of its ``slots``; without ``slots`` key and ``h``."""
-    templates = with_templates(df, key, text)
-    if slots:
-        templates = templates.withColumn("values", F.when(F.col("template").isNotNull(), F.zip_with(
-            "template", "tokens", lambda t, token: F.when(t.isin(NUMBER, NAME, UNIT), F.concat(t, token)))))
-    hashes = F.transform(F.coalesce("template", "tokens"), lambda t: F.xxhash64(t))
-    hashed = templates.select(key, *(["values"] if slots else []), hashes.alias("hashes"))
-    size = F.size("hashes")
-
-    def window(i: Column) -> Column:
-        h = F.xxhash64(*[F.get(F.col("hashes"), i + k) for k in range(WINDOW)])
-        if not slots:
-            return F.struct(h.alias("h"))
-        inside = F.coalesce(F.array_compact(F.slice("values", i + 1, WINDOW)), F.array().cast("array<string>"))
-        return F.struct(i.alias("at"), h.alias("h"), inside.alias("slots"))
-
-    places = F.sequence(F.lit(0), F.greatest(size - WINDOW, F.lit(0)))
-    windows = hashed.select(key, F.when(size > 0, F.transform(places, window)).alias("windows"))
+            .withColumn("template", F.when(F.col("marked").contains(MARK), F.transform("tokens", _template_token)))
+            .withColumn("plain", F.when(F.col("marked").contains(MARK), F.transform("tokens", lambda t: F.translate(t, MARK, "")))
+                        .otherwise(F.col("tokens"))))
+
+
+def _hash(hashes: str, i: Column, length: int) -> Column:
+    return F.xxhash64(*[F.get(F.col(hashes), i + k) for k in range(length)])
+
+
+def _hashed(df: DataFrame, key: str, text: str) -> DataFrame:
+    """Key, token hashes ``plain`` and ``template`` (null without slots), the ``values`` of the slots at their places."""
+    values = F.when(F.col("template").isNotNull(), F.zip_with(
+        "template", "tokens", lambda t, token: F.when(t.isin(NUMBER, NAME, UNIT), F.concat(t, token))))
+    hashes = [F.transform(c, lambda t: F.xxhash64(t)).alias(c) for c in ("plain", "template")]
+    return with_templates(df, key, text).select(key, *hashes, values.alias("values"))
+
+
+def _exploded(hashed: DataFrame, key: str, windows: list[Column]) -> DataFrame:
+    whole = hashed.select(key, F.concat(*[F.coalesce(w, F.array()) for w in windows]).alias("windows"))
     # the outer form: for the inner one a filter on the whole expression is pushed to the scan, and it is computed twice
-    return (windows.select(key, F.explode_outer("windows").alias("w")).select(key, "w.*").where(F.col("h").isNotNull()))
+    return whole.select(key, F.explode_outer("windows").alias("w")).where(F.col("w").isNotNull())
+
+
+def _places(length: int) -> Column:
+    return F.sequence(F.lit(0), F.size("plain") - length)
+
+
+def window_hashes(df: DataFrame, key: str, text: str, lengths: list[int]) -> DataFrame:
+    """Key and ``h`` of every window of these lengths, by plain tokens and, in texts with slots, by template."""
+    windows = [F.when((F.size("plain") >= k) & F.col(c).isNotNull(), F.transform(_places(k), lambda i: _hash(c, i, k)))
+               for k in lengths for c in ("plain", "template")]
+    return _exploded(_hashed(df, key, text), key, windows).select(key, F.col("w").alias("h"))
+
+
+def windows(df: DataFrame, key: str, text: str, lengths: list[int], items: bool = False) -> DataFrame:
+    """One row per window and kind of hash: key, ``at``, ``h``, ``literal`` (by plain tokens), the values of its ``slots``.
+
+    For ``items``, texts shorter than a window are one window only."""
+    def window(i: Column, k: int, c: str) -> Column:
+        inside = F.coalesce(F.array_compact(F.slice("values", i + 1, k)), F.array().cast("array<string>"))
+        return F.struct(i.alias("at"), _hash(c, i, k).alias("h"), F.lit(c == "plain").alias("literal"), inside.alias("slots"))
+
+    size = F.size("plain")
+    made = []
+    for k in lengths:
+        fits = (size == k) if items and k < WINDOW else (size >= k)
+        n_slots = lambda w: F.size(w["slots"])
+        most = F.when((size == k) | F.lit(items), MOST_SLOTS).otherwise(MOST_SLOTS * k // WINDOW)
+        made.append(F.when(fits, F.transform(_places(k), lambda i: window(i, k, "plain"))))
+        made.append(F.when(fits & F.col("template").isNotNull(), F.filter(
+            F.transform(_places(k), lambda i: window(i, k, "template")), lambda w: (n_slots(w) > 0) & (n_slots(w) <= most))))
+    empty = F.array().cast("array<struct<at:int,h:bigint,literal:boolean,slots:array<string>>>")
+    return _exploded(_hashed(df, key, text), key, [F.coalesce(m, empty) for m in made]).select(key, "w.*")
 
 
 def leaking_rows(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> DataFrame:
@@ -85,24 +116,29 @@ def leaking_rows(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> D
     ``matched_windows`` of the best alignment, ``item_windows`` and ``same_values``."""
     key, item = ROW, "item"
     benchmark = benchmark.select(F.col(ROW).alias(item), text)
-    item_windows = template_windows(benchmark, item, text).withColumnRenamed("slots", "item_slots")
+    found = windows(benchmark, item, text, list(range(1, WINDOW + 1)), items=True).withColumnRenamed("slots", "item_slots")
     needed = F.least(F.lit(WINDOWS_IN_A_ROW), F.ceil(F.col("item_windows") / 2).cast("int"))
-    sizes = item_windows.groupBy(item).agg(F.count(F.lit(1)).alias("item_windows")).withColumn("needed", needed)
-    side = (item_windows.where(F.size("item_slots") <= MOST_SLOTS)
-            .select(F.col(item), F.col("at").alias("item_at"), "h", "item_slots").join(sizes, item))
+    sizes = found.where("literal").groupBy(item).agg(F.count(F.lit(1)).alias("item_windows")).withColumn("needed", needed)
+    side = found.select(item, F.col("at").alias("item_at"), "h", "literal", "item_slots").join(sizes, item)
     small = side.count() <= BROADCAST_WINDOWS
     side = F.broadcast(side) if small else side
+    length = F.least(F.size("plain"), F.lit(WINDOW))
+    lengths = sorted(r[0] for r in with_templates(benchmark, item, text).select(length).distinct().collect() if r[0])
+    if not lengths:
+        lengths = [WINDOW]
 
-    found = template_windows(docs, key, text, slots=False)
+    every = window_hashes(docs, key, text, lengths)
     hashes = side.select("h").distinct()
     # shuffled, a window that a row repeats goes once
-    suspects = (found if small else found.distinct()).join(F.broadcast(hashes) if small else hashes, "h", "left_semi").select(key).distinct()
+    suspects = (every if small else every.distinct()).join(F.broadcast(hashes) if small else hashes, "h", "left_semi").select(key).distinct()
     again = docs.select(key, text).join(suspects, key, "left_semi")
 
-    hits = template_windows(again, key, text).join(side, "h")
+    # plain tokens that agree stand for themselves, whether or not they are slots in the document
+    hits = windows(again, key, text, lengths).drop("literal").join(side, "h").withColumn(
+        "pairs", F.zip_with("item_slots", F.when(F.col("literal"), F.col("item_slots")).otherwise(F.col("slots")),
+                            lambda a, b: F.struct(a.alias("item_slots"), b.alias("slots"))))
     aligned = (hits.groupBy(F.col(key), F.col(item), "item_windows", "needed", (F.col("at") - F.col("item_at")).alias("shift"))
-               .agg(F.count_distinct("item_at").alias("matched"),
-                    F.array_distinct(F.flatten(F.collect_set(F.arrays_zip("item_slots", "slots")))).alias("pairs")))
+               .agg(F.count_distinct("item_at").alias("matched"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs")))
     consistent = F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda p: p["item_slots"])))
     same = F.forall("pairs", lambda p: p["item_slots"] == p["slots"])
     return (aligned.where(consistent & (F.col("matched") >= F.col("needed"))).groupBy(F.col(key), F.col(item))
