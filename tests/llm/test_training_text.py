@@ -216,6 +216,16 @@ def test_items_of_numbers_and_short_items_are_found(spark):
     assert got == {(1, 1): True, (3, 2): True, (4, 3): False}
 
 
+def test_word_for_word_passages_need_no_slots(spark):
+    words = [f"w{chr(97 + i)}{chr(97 + i // 2)}" for i in range(26)]
+    item = "take 5 and 5 " + " ".join(words) + " so 5 is Anna of Rome, Berta of Oslo"
+    bench = spark.createDataFrame([(1, item)], "item_id long, text string")
+    docs = spark.createDataFrame([(1, item.upper()), (2, item.replace("5", "9", 1)), (3, item.replace("5", "9")),
+                                  (4, "take 9 and 5 " + " ".join(words[:8]))], "doc_id long, text string")
+    got = {r.doc_id: r.same_values for r in decontamination.matches(docs, bench).collect()}
+    assert got == {1: True, 2: False, 3: False}
+
+
 def test_substring_removals_equal_brute_force(spark, odd, none):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
     got = in_order(substring_dedup.removals(docs).select("doc_id", "start", "end", "first_doc_id", "first_start"))

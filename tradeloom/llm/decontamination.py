@@ -3,8 +3,9 @@
 Numbers, names and units become typed placeholders, so that a question with other parameters keeps its template. Windows of
 ``WINDOW`` tokens of all documents are hash-joined with those of the benchmark twice: by their plain lower-case tokens, and by
 their template if it has placeholders, up to ``MOST_SLOTS``. Windows at the same distance form
-one alignment of a document with an item; it counts if enough of its windows agree and if its slots are consistent: every
-value of the item stands for one and the same value of the document.
+one alignment of a document with an item, and windows in a row one run of it. A run's slots must be consistent: every value
+of the item stands for one and the same value of the document. Of other runs only windows count that agree word for word and
+have no slot or lie in a literal run of more than ``WINDOWS_IN_A_ROW`` windows. An alignment counts if enough windows do.
 
 The search has two passes with one result: the first takes the hashes of all windows of every document and finds the rows that
 share any with an item, the second takes the slots as well, of those rows only.
@@ -20,7 +21,7 @@ rows that agree in both ids (null included) are one row of the result. Empty tab
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, functions as F
+from pyspark.sql import Column, DataFrame, Window, functions as F
 
 from tradeloom.llm.shared import ROW, numbered, text_of
 
@@ -137,13 +138,22 @@ def leaking_rows(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> D
     hits = windows(again, key, text, lengths).drop("literal").join(side, "h").withColumn(
         "pairs", F.zip_with("item_slots", F.when(F.col("literal"), F.col("item_slots")).otherwise(F.col("slots")),
                             lambda a, b: F.struct(a.alias("item_slots"), b.alias("slots"))))
-    aligned = (hits.groupBy(F.col(key), F.col(item), "item_windows", "needed", (F.col("at") - F.col("item_at")).alias("shift"))
-               .agg(F.count_distinct("item_at").alias("matched"), F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs")))
+    place = [key, item, "item_windows", "needed", "shift"]
+    hits = hits.withColumn("shift", F.col("at") - F.col("item_at"))
+    in_order = lambda *more: Window.partitionBy(*place, *more).orderBy("item_at")
+    hits = (hits.withColumn("run", F.col("item_at") - F.dense_rank().over(in_order()))
+            .withColumn("literal_run", F.col("item_at") - F.dense_rank().over(in_order("literal")))
+            .withColumn("literal_windows", F.count(F.lit(1)).over(Window.partitionBy(*place, "literal", "literal_run"))))
+    certain = F.col("literal") & ((F.size("item_slots") == 0) | (F.col("literal_windows") > WINDOWS_IN_A_ROW))
+    runs = (hits.groupBy(*place, "run")
+            .agg(F.size(F.collect_set("item_at")).alias("all"), F.size(F.collect_set(F.when(certain, F.col("item_at")))).alias("certain"),
+                 F.array_distinct(F.flatten(F.collect_set("pairs"))).alias("pairs")))
     consistent = F.size("pairs") == F.size(F.array_distinct(F.transform("pairs", lambda p: p["item_slots"])))
     same = F.forall("pairs", lambda p: p["item_slots"] == p["slots"])
-    return (aligned.where(consistent & (F.col("matched") >= F.col("needed"))).groupBy(F.col(key), F.col(item))
-            .agg(F.max("matched").alias("matched_windows"), F.max("item_windows").alias("item_windows"),
-                 F.max(same).alias("same_values")))
+    aligned = (runs.withColumn("counted", F.when(consistent, F.col("all")).otherwise(F.col("certain"))).where("counted > 0")
+               .groupBy(*place).agg(F.sum("counted").alias("matched"), F.min(same).alias("same")))
+    return (aligned.where(F.col("matched") >= F.col("needed")).groupBy(F.col(key), F.col(item))
+            .agg(F.max("matched").alias("matched_windows"), F.max("item_windows").alias("item_windows"), F.max("same").alias("same_values")))
 
 
 def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "doc_id", item: str = "item_id") -> DataFrame:
