@@ -1,7 +1,9 @@
 """Plain versions of the operators, as slow and as simple as they can be."""
 
 import html
+import math
 import re
+import zlib
 from collections import Counter
 
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
@@ -81,3 +83,43 @@ def near_components(rows):
                 low, high = sorted((root(a), root(b)))
                 component[high] = low
     return {key: (len(sets[key]), root(key)) for key in keys}
+
+
+def hard_negatives(rows, every, positives=5, negatives=10):
+    """Every anchor with every other row."""
+    rows = [(i, [math.floor(256 * x) for x in v], label) for i, v, label in rows]
+    found = []
+    for anchor, v, label in rows:
+        if anchor % every:
+            continue
+        scored = sorted((-sum(a * b for a, b in zip(v, w)), i, other) for i, w, other in rows if i != anchor)
+        for score, positive, _ in [s for s in scored if s[2] == label][:positives]:
+            fit = [s for s in scored if s[2] != label and 30 * -score <= 100 * -s[0] <= 90 * -score][:negatives]
+            found += [(anchor, positive, rank, i, -score, -s) for rank, (s, i, _) in enumerate(fit, 1)]
+    return sorted(found)
+
+
+def one_edit(a, b):
+    """Whether one inserted, deleted or replaced code point makes a into b."""
+    if len(a) == len(b):
+        return sum(x != y for x, y in zip(a, b)) == 1
+    a, b = sorted((a, b), key=len)
+    return len(b) == len(a) + 1 and any(b[:i] + b[i + 1:] == a for i in range(len(b)))
+
+
+def spelling_variants(rows, min_length=6, min_times=5):
+    """{word: (form, root, n, n_near, form_n)}."""
+    n = Counter()
+    for doc_id, text in rows:
+        for run in re.findall("[A-Za-zÀ-ÿ]+", re.sub("[A-Z]", lambda m: m[0].lower(), text or "")):
+            h = zlib.crc32(f"{'' if doc_id is None else doc_id}:{run}".encode())
+            n[run[:h % len(run)] + run[h % len(run) + 1:] if h % 199 == 0 else run] += 1
+    words = sorted(w for w in n if len(w) >= min_length and n[w] >= min_times)
+    near = {w: [v for v in words if one_edit(w, v)] for w in words}
+    best = {w: min(near[w], key=lambda v: (-n[v], v)) for w in words if near[w]}
+    form = {w: v for w, v in best.items() if n[v] >= 5 * n[w]}
+
+    def root(w):
+        return root(form[w]) if w in form else w
+
+    return {w: (form.get(w), root(w), n[w], len(near[w]), n[form[w]] if w in form else None) for w in words}

@@ -6,8 +6,8 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
 
-from tradeloom.llm import (chat_format, decontamination, main_text, near_dup, personal_data, quality_model, quality_rules,
-                           substring_dedup, tree_bpe, web_archive)
+from tradeloom.llm import (chat_format, decontamination, hard_negatives, language_id, main_text, near_dup, personal_data, quality_model,
+                           quality_rules, spelling_variants, substring_dedup, tree_bpe, web_archive)
 from tradeloom.llm.shared import table
 from tradeloom.session import tune, written
 
@@ -168,3 +168,73 @@ def op10_chat_format(spark: SparkSession, sf_dir: str) -> DataFrame:
     return back.select("conv_id", F.size("turns").cast("long").alias("n_turns"), F.sha2(turns, 256).alias("turns_sha256"),
                        F.length("loss_text").cast("long").alias("loss_chars"), F.sha2("loss_text", 256).alias("loss_sha256"),
                        F.length("formatted").cast("long").alias("formatted_chars"))
+
+
+@register("""
+WITH clean AS (
+  SELECT vec_id AS id, CASE WHEN vec_id % 7 = 0 THEN (label + 1) % 10 ELSE label END AS label,
+         list_transform(embedding, lambda x: floor(256 * x::DOUBLE)) AS vector
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND label IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+scored AS (
+  SELECT a.id AS anchor_id, c.id, a.label = c.label AS same, list_inner_product(a.vector, c.vector)::BIGINT AS score
+  FROM clean a JOIN clean c ON a.id <> c.id WHERE a.id % 100 = 0),
+positives AS (
+  SELECT anchor_id, id AS positive_id, score AS positive_score FROM scored WHERE same
+  QUALIFY row_number() OVER (PARTITION BY anchor_id ORDER BY score DESC, id) <= 5)
+SELECT anchor_id, positive_id, row_number() OVER (PARTITION BY anchor_id, positive_id ORDER BY score DESC, id)::INTEGER AS rank,
+       id AS negative_id, positive_score, score AS negative_score
+FROM positives JOIN scored USING (anchor_id)
+WHERE NOT same AND 30 * positive_score <= 100 * score AND 100 * score <= 90 * positive_score
+QUALIFY rank <= 10""")
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Hard negatives of every anchor and positive."""
+    rows = hard_negatives.usable(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", "label")
+    rows = rows.withColumn("label", F.when(F.col("id") % 7 == 0, (F.col("label") + 1) % 10).otherwise(F.col("label")))
+    return hard_negatives.mine(rows, F.col("id") % 100 == 0)
+
+
+@register(r"""
+WITH RECURSIVE crc AS (
+  SELECT list(list_reduce([i, 1, 2, 3, 4, 5, 6, 7, 8], lambda a, step: CASE WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END) ORDER BY i) AS steps
+  FROM (SELECT unnest(range(0, 256)) AS i)),
+runs AS (
+  SELECT concat(doc_id, ':') AS before, unnest(regexp_extract_all(
+           translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[A-Za-z\x{00C0}-\x{00FF}]+')) AS run
+  FROM documents),
+distinct_runs AS (SELECT before, run, count(*) AS times FROM runs GROUP BY ALL),
+checked AS (
+  SELECT run, times, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(before || run, ''),
+           lambda ch: CASE WHEN unicode(ch) < 128 THEN [unicode(ch)::BIGINT] ELSE [195::BIGINT, unicode(ch)::BIGINT - 64] END))),
+           lambda c, b: xor(c >> 8, steps[(xor(c, b) & 255) + 1]))) AS h
+  FROM distinct_runs, crc),
+words AS (
+  SELECT CASE WHEN h % 199 = 0 THEN substr(run, 1, h % length(run)) || substr(run, h % length(run) + 2) ELSE run END AS word,
+         sum(times)::BIGINT AS n
+  FROM checked GROUP BY 1 HAVING length(word) >= 6 AND sum(times) >= 5),
+places AS (SELECT word, n, unnest(range(0, length(word))) AS i FROM words),
+cut AS (SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS rest FROM places),
+near AS (
+  SELECT a.word, b.word AS near, b.n FROM cut a JOIN cut b ON a.rest = b.rest AND a.i = b.i AND a.word <> b.word
+  UNION SELECT c.word, w.word, w.n FROM cut c JOIN words w ON c.rest = w.word
+  UNION SELECT w.word, c.word, c.n FROM cut c JOIN words w ON c.rest = w.word),
+best AS (
+  SELECT word, count(*) AS n_near, arg_min(near, (-n, near)) AS near, max(n) AS near_n FROM near GROUP BY word),
+judged AS (
+  SELECT word, n, coalesce(n_near, 0) AS n_near, CASE WHEN near_n >= 5 * n THEN near END AS form, CASE WHEN near_n >= 5 * n THEN near_n END AS form_n
+  FROM words LEFT JOIN best USING (word)),
+chain AS (
+  SELECT word, word AS root FROM judged
+  UNION ALL SELECT chain.word, judged.form FROM chain JOIN judged ON chain.root = judged.word WHERE judged.form IS NOT NULL),
+ends AS (SELECT chain.word, chain.root FROM chain JOIN judged ON chain.root = judged.word WHERE judged.form IS NULL)
+SELECT word, form, root, n, n_near, form_n FROM judged JOIN ends USING (word)""")
+def op12_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Frequent words of all documents with the near word that is their form, and the end of the chain of forms."""
+    return spelling_variants.grouped(table(spark, sf_dir, "documents"))
+
+
+@register()
+def op13_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Predicted language of every document."""
+    return language_id.identify(table(spark, sf_dir, "documents"))
