@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Callable
+from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -21,6 +23,9 @@ SQL_SETTINGS = {
 }
 
 
+_steps: ContextVar[str | None] = ContextVar("steps", default=None)  # folder of the tables that go when a step is done
+
+
 def build_session(app_name: str, master: str | None = None, shuffle_partitions: int | None = None,
                   extra: dict[str, str] | None = None) -> SparkSession:
     """A session with the library's settings.
@@ -74,7 +79,7 @@ def clear_scratch(spark: SparkSession) -> None:
 
 def scratch_path(spark: SparkSession, label: str) -> str:
     """A new, unused path for an intermediate table."""
-    return f"{scratch_folder(spark)}/{label}-{uuid.uuid4().hex}"
+    return f"{_steps.get() or scratch_folder(spark)}/{label}-{uuid.uuid4().hex}"
 
 
 def written(df: DataFrame, label: str = "cut") -> DataFrame:
@@ -87,3 +92,19 @@ def written(df: DataFrame, label: str = "cut") -> DataFrame:
     path = scratch_path(spark, label)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
+
+
+def written_alone(spark: SparkSession, make: Callable[[], DataFrame], label: str = "cut") -> DataFrame:
+    """Write what ``make()`` returns and return the written table; the tables that ``make`` wrote on its way are removed.
+
+    For steps that need many or large tables to find a smaller result.
+    """
+    path, folder = scratch_path(spark, label), scratch_path(spark, f"{label}-steps")
+    outer = _steps.set(folder)
+    try:
+        result = make()
+        result.write.parquet(path)
+    finally:
+        _steps.reset(outer)
+        paths.remove(spark, folder)
+    return spark.read.schema(result.schema).parquet(path)
