@@ -19,12 +19,13 @@ from pyspark.sql import functions as F  # noqa: E402
 
 from tests.llm import brute  # noqa: E402
 from tradeloom.llm import (chat_format, decontamination, main_text, near_dup, personal_data, quality_model,  # noqa: E402
-                           quality_rules, queries, substring_dedup, tree_bpe, web_archive)
+                           quality_rules, queries, shared, substring_dedup, tree_bpe, web_archive)
 
 SF = "/root/testdata/sf0.001"
 WORDS = "alpha beta gamma delta epsilon zeta eta theta iota kappa lambda mu nu xi omicron pi rho sigma tau upsilon".split()
 # columns whose names the operators use inside
-CLASH = {"words": "x", "h": 1, "key": 2, "nid": 3, "digest": "y", "tokens": "z", "n": 4, "start": 5, "fp": "q", "raw": "r"}
+CLASH = {"words": "x", "h": 1, "key": 2, "nid": 3, "digest": "y", "tokens": "z", "n": 4, "start": 5, "fp": "q", "raw": "r",
+         "_row": "s", "_file": "t", "_place": "u", "first": "v", "lowest": "w"}
 
 
 def prose(seed, n):
@@ -288,7 +289,6 @@ def test_large_buckets_lose_no_link(spark, monkeypatch):
 def test_all_blocks_of_a_large_bucket_meet(spark, monkeypatch):
     monkeypatch.setattr(near_dup, "ALL_PAIRS", 2)
     monkeypatch.setattr(near_dup, "BLOCK", 8)
-    monkeypatch.setattr(near_dup, "LEVELS", [(10, 56), (20, 1)], raising=False)  # no second set of bands makes up for a bucket's pairs
     r, base, rows = random.Random(11), prose(901, 200).split(), []
     for group in range(100):  # pairs at 0.86; groups lie at 0.77, so they share buckets and no link
         words = list(base)
@@ -304,8 +304,10 @@ def test_all_blocks_of_a_large_bucket_meet(spark, monkeypatch):
 def test_rows_are_dropped_by_row_not_by_doc_id(spark):
     copy = prose(51, 60)
     docs = frame(spark, [(1, copy), (7, copy), (7, prose(52, 60)), (None, copy), (8, prose(53, 60))])
-    expected = [(1, copy), (7, prose(52, 60)), (None, copy), (8, prose(53, 60))]
-    assert in_order(near_dup.without_near_duplicates(docs).select("doc_id", "text")) == sorted(expected, key=str)
+    expected = [(1, copy), (7, prose(52, 60)), (8, prose(53, 60))]
+    kept = near_dup.without_near_duplicates(docs)
+    assert in_order(kept.select("doc_id", "text")) == sorted(expected, key=str) and kept.columns == docs.columns
+    assert {r["_row"] for r in kept.collect()} == {"s"}
     words = prose(54, 30).split()
     bench = frame(spark, [(1, " ".join(words)), (None, copy)], "item_id long, text string")
     # halves of an item at the same place of two documents are no leak, in whichever way their ids agree
@@ -317,6 +319,44 @@ def test_rows_are_dropped_by_row_not_by_doc_id(spark):
     assert {(r.doc_id, r.item_id) for r in decontamination.matches(docs, bench).collect()} == {(None, None), (5, 1)}
 
 
+def test_one_of_equal_rows_stays_whatever_their_ids(spark):
+    copy = prose(57, 40)
+    docs = frame(spark, [(7, copy), (7, copy), (7, copy), (None, copy), (None, copy)])
+    assert [r.doc_id for r in near_dup.without_near_duplicates(docs).collect()] == [7]
+    assert in_order(near_dup.near_duplicates(docs).select("doc_id", "component_id", "kept")) == [
+        (7, 7, True)] * 3 + [(None, 7, False)] * 2
+    nameless = frame(spark, [(None, copy), (None, copy), (None, "")])
+    assert sorted(near_dup.near_duplicates(nameless).select("component_id", "kept").collect()) == [(None, False), (None, True), (None, True)]
+    named = spark.createDataFrame([("b", copy), ("a", copy), ("c", prose(58, 40))], "doc_id string, text string")
+    assert in_order(near_dup.near_duplicates(named).select("doc_id", "component_id", "kept")) == [
+        ("a", "a", True), ("b", "a", False), ("c", "c", True)]
+
+
+def test_stored_tables_are_numbered_without_a_copy(spark, tmp_path):
+    copy = prose(59, 60)
+    rows = [(1, copy), (7, copy), (7, prose(60, 60)), (None, copy), (8, None)]
+    frame(spark, rows).repartition(3).write.parquet(f"{tmp_path}/docs")
+    docs = spark.read.parquet(f"{tmp_path}/docs")
+    by_place, number = shared.numbered(docs, stored=True)
+    assert by_place.columns == [*docs.columns, number] and number not in docs.columns
+    assert by_place.select(number).distinct().count() == 5
+    expected = in_order(near_dup.without_near_duplicates(docs))
+    assert in_order(near_dup.without_near_duplicates(docs, stored=True)) == expected and len(expected) == 3
+    bench = frame(spark, [(1, copy)], "item_id long, text string")
+    clean = decontamination.without_leaks(docs, bench, stored=True)
+    assert in_order(clean) == in_order(decontamination.without_leaks(docs, bench)) and clean.columns == docs.columns
+    # what is no table of files is written, even if it is called one
+    assert in_order(near_dup.without_near_duplicates(frame(spark, rows), stored=True).select("doc_id")) == in_order(
+        spark.createDataFrame([(1,), (7,), (8,)], "doc_id long"))
+
+
+def test_many_numbers_are_shuffled(spark, monkeypatch):
+    monkeypatch.setattr(shared, "BROADCAST_NUMBERS", 0)
+    df, number = shared.numbered(frame(spark, [(i, "") for i in range(9)]))
+    some = df.where("doc_id % 3 = 0").select(number)
+    assert shared.only_rows(df, number, some).count() == 3 and shared.without_rows(df, number, some).count() == 6
+
+
 def test_registers_estimate_similarity():
     import numpy as np
 

@@ -23,7 +23,8 @@ from __future__ import annotations
 
 from pyspark.sql import Column, DataFrame, Window, functions as F
 
-from tradeloom.llm.shared import ROW, numbered, text_of
+from tradeloom.llm.shared import BROADCAST_NUMBERS, ROW, numbered, only_rows, text_of, without_rows
+from tradeloom.session import written, written_alone
 
 WINDOW = 8
 MOST_SLOTS = 4  # a template with more placeholders says too little; such windows are found by their plain tokens
@@ -132,7 +133,7 @@ def leaking_rows(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> D
     hashes = side.select("h").distinct()
     # shuffled, a window that a row repeats goes once
     suspects = (every if small else every.distinct()).join(F.broadcast(hashes) if small else hashes, "h", "left_semi").select(key).distinct()
-    again = docs.select(key, text).join(suspects, key, "left_semi")
+    again = only_rows(docs.select(key, text), key, written(suspects, "suspects"))
 
     # plain tokens that agree stand for themselves, whether or not they are slots in the document
     hits = windows(again, key, text, lengths).drop("literal").join(side, "h").withColumn(
@@ -156,19 +157,30 @@ def leaking_rows(docs: DataFrame, benchmark: DataFrame, text: str = "text") -> D
             .agg(F.max("matched").alias("matched_windows"), F.max("item_windows").alias("item_windows"), F.max("same").alias("same_values")))
 
 
-def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "doc_id", item: str = "item_id") -> DataFrame:
+def _items(benchmark: DataFrame, *columns: str) -> DataFrame:
+    rows, number = numbered(benchmark.select(*columns))
+    return rows.select(F.col(number).alias(ROW), *columns)
+
+
+def matches(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "doc_id", item: str = "item_id",
+            stored: bool = False) -> DataFrame:
     """One row per document and item that it leaks: key, item, ``matched_windows`` of the best alignment, ``item_windows``
-    and ``same_values`` (false where the question comes with other parameters)."""
-    docs, benchmark = numbered(docs.select(key, text)), numbered(benchmark.select(item, text))
-    found = leaking_rows(docs, benchmark, text)
+    and ``same_values`` (false where the question comes with other parameters). For ``stored`` see
+    :func:`tradeloom.llm.shared.numbered`."""
+    rows, number = numbered(docs.select(key, text), stored)
+    docs, benchmark = rows.select(F.col(number).alias(ROW), key, text), _items(benchmark, item, text)
+    found = written(leaking_rows(docs, benchmark, text), "leaks")
     names = benchmark.select(F.col(ROW).alias("item"), F.col(item).alias("_item"))
-    return (docs.select(ROW, key).join(found, ROW).join(names, "item").groupBy(F.col(key), F.col("_item").alias(item))
+    # the leaks are looked up in the rows, which stay where they are
+    few = F.broadcast(found) if found.count() <= BROADCAST_NUMBERS // 4 else found
+    return (docs.select(ROW, key).join(few, ROW).join(names, "item").groupBy(F.col(key), F.col("_item").alias(item))
             .agg(F.max("matched_windows").alias("matched_windows"), F.max("item_windows").alias("item_windows"),
                  F.max("same_values").alias("same_values")))
 
 
-def without_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
+def without_leaks(docs: DataFrame, benchmark: DataFrame, text: str = "text", key: str = "doc_id", stored: bool = False) -> DataFrame:
     """The rows that leak no item, with all their columns."""
-    docs = numbered(docs)
-    leaking = leaking_rows(docs, numbered(benchmark.select(text)), text).select(ROW).distinct()
-    return docs.join(leaking, ROW, "left_anti").drop(ROW)
+    rows, number = numbered(docs, stored)
+    narrow = rows.select(F.col(number).alias(ROW), text)
+    leaking = written_alone(docs.sparkSession, lambda: leaking_rows(narrow, _items(benchmark, text), text).select(ROW).distinct(), "leaking")
+    return without_rows(rows, number, leaking)

@@ -19,10 +19,12 @@ registers of a union are the maxima of the registers, and equal registers are th
 A pair whose registers are equal with a probability of 0.85 misses all bands with one of 1.7e-4: 1,736 of 10 million simulated
 pairs with this file's bands, which share registers and so do not miss independently.
 
-Every row gets a number first, and rows are joined and dropped by it; a doc_id may be null or come with several texts.
-Null text and text without words have an empty set and are linked with nothing. Rows without doc_id are linked with nothing
-and kept; their component is null. Repeated rows and equal texts form one component. Columns other than the two named are
-never read. An empty table gives no rows. No links, components or fingerprints reach the driver, only counts.
+Every row gets a number first, and rows are joined and dropped by it; a doc_id may be null, of any type, or come with several
+texts. Null text and text without words have an empty set and are linked with nothing. Repeated rows and equal texts form one
+component. Rows without doc_id are linked like others and rank after them: their component is the smallest doc_id in reach, null
+if there is none. ``near_duplicates`` keeps all rows of the smallest doc_id, ``without_near_duplicates`` the first row of each
+component and all rows with an empty set. Columns other than the two named are never read, and any names may be among them.
+An empty table gives no rows. No links, components or fingerprints reach the driver, only counts.
 """
 
 from __future__ import annotations
@@ -34,8 +36,8 @@ import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-from tradeloom.llm.shared import ROW, numbered
-from tradeloom.session import written
+from tradeloom.llm.shared import ROW, numbered, only_rows, without_rows
+from tradeloom.session import written, written_alone
 
 SHINGLE = 5
 PERCENT = 85  # 100 * intersection >= PERCENT * union
@@ -118,10 +120,11 @@ def sketches(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFr
             yield pd.DataFrame({ROW: batch[ROW], key: batch[key], "fp": [fingerprint(s) for s in sets], "n_shingles": [len(s) for s in sets],
                                 "sketch": [registers(s).tobytes() if len(s) else b"" for s in sets]})
 
+    key_type = docs.schema[key].dataType
     # the key as text and back: a column of numbers with nulls would reach pandas as floating point
     found = docs.select(ROW, F.col(key).cast("string"), text).mapInPandas(
         sketch, f"{ROW} bigint, `{key}` string, fp binary, n_shingles bigint, sketch binary")
-    return found.withColumn(key, F.col(key).cast("long"))
+    return found.withColumn(key, F.col(key).cast(key_type))
 
 
 def fine_registers(items: np.ndarray) -> bytes:
@@ -227,7 +230,7 @@ def node_sets(docs: DataFrame, nodes: DataFrame, text: str) -> DataFrame:
             yield batch[["nid", "n_shingles", "sketch"]].assign(
                 fine=[fine_registers(s) for s in found], items=[s.view(np.int64) for s in found])
 
-    texts = docs.select(ROW, F.col(text).alias("text"))
+    texts = only_rows(docs.select(ROW, F.col(text).alias("text")), ROW, written(nodes.select(ROW), "read-again"))
     found = texts.join(nodes.select("nid", ROW, "n_shingles", "sketch"), ROW).drop(ROW).mapInPandas(
         sets, "nid bigint, n_shingles bigint, sketch binary, fine binary, items array<bigint>")
     return written(found, "sets")
@@ -326,32 +329,39 @@ def _union(links: list[DataFrame]) -> DataFrame:
 
 
 def judged(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """Number, key, ``n_shingles``, ``component_id`` (the smallest key of the component) and ``kept`` of every numbered row."""
+    """Number, key, ``n_shingles``, ``component_id`` (the smallest key of the component), ``kept`` and ``first`` (whether it is the
+    first row of its component) of every numbered row."""
     rows = written(sketches(docs, text, key), "sketches")
-    nodes = (rows.where((F.col("n_shingles") > 0) & F.col(key).isNotNull()).groupBy("fp")
-             .agg(F.min(F.struct(F.col(key).alias("doc"), ROW)).alias("first"), F.first("n_shingles").alias("n_shingles"),
-                  F.first("sketch").alias("sketch")).select("fp", "first.*", "n_shingles", "sketch"))
+    nodes = (rows.where("n_shingles > 0").groupBy("fp")
+             .agg(F.min(F.struct(F.col(key).isNull().alias("unknown"), F.col(key).alias("doc"), ROW)).alias("first"),
+                  F.first("n_shingles").alias("n_shingles"), F.first("sketch").alias("sketch"))
+             .select("fp", "first", F.col(f"first.{ROW}").alias(ROW), "n_shingles", "sketch"))
     nodes = written(nodes.withColumn("nid", F.monotonically_increasing_id()), "nodes")
     found = buckets(nodes)
     shared = found.select("nid").distinct()
     sets = node_sets(docs, nodes.join(shared, "nid", "left_semi"), text)
-    rooted = nodes.select("nid", "fp", "doc").join(components(linked(sets, found)), "nid")
-    lowest = rooted.groupBy("root").agg(F.min("doc").alias("component"))
-    by_set = nodes.select("fp", "nid", "doc").join(rooted.join(lowest, "root").select("nid", "component"), "nid", "left").select(
-        "fp", F.coalesce("component", "doc").alias("component"))
+    rooted = nodes.select("nid", "first").join(components(linked(sets, found)), "nid")
+    lowest = rooted.groupBy("root").agg(F.min("first").alias("lowest"))
+    by_set = nodes.select("fp", "nid", "first").join(rooted.join(lowest, "root").select("nid", "lowest"), "nid", "left").select(
+        "fp", F.coalesce("lowest", "first").alias("lowest"))
     by_set = written(by_set, "components")
-    component = F.when(F.col(key).isNotNull(), F.coalesce("component", F.col(key)))
+    first = F.col("lowest").isNull() | (F.col(f"lowest.{ROW}") == F.col(ROW))
+    component = F.when(F.col("lowest").isNull(), F.col(key)).otherwise(F.col("lowest.doc"))
     return (rows.select(ROW, key, "fp", "n_shingles").join(by_set, "fp", "left")
             .select(ROW, key, "n_shingles", component.alias("component_id"),
-                    F.coalesce(F.col(key) == component, F.lit(True)).alias("kept")))
+                    F.coalesce(F.col(key) == component, first).alias("kept"), first.alias("first")))
 
 
-def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """Key, ``n_shingles``, ``component_id`` (the smallest key of the component) and ``kept`` of every row."""
-    return judged(numbered(docs.select(key, text)), text, key).drop(ROW)
+def near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", stored: bool = False) -> DataFrame:
+    """Key, ``n_shingles``, ``component_id`` (the smallest key of the component) and ``kept`` of every row; for ``stored`` see
+    :func:`tradeloom.llm.shared.numbered`."""
+    rows, number = numbered(docs.select(key, text), stored)
+    return judged(rows.select(F.col(number).alias(ROW), key, text), text, key).drop(ROW, "first")
 
 
-def without_near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id") -> DataFrame:
-    """The rows that ``near_duplicates`` keeps, with all their columns."""
-    docs = numbered(docs)
-    return docs.join(judged(docs, text, key).where("not kept").select(ROW), ROW, "left_anti").drop(ROW)
+def without_near_duplicates(docs: DataFrame, text: str = "text", key: str = "doc_id", stored: bool = False) -> DataFrame:
+    """The first row of every component, with all its columns."""
+    rows, number = numbered(docs, stored)
+    narrow = rows.select(F.col(number).alias(ROW), key, text)
+    gone = written_alone(docs.sparkSession, lambda: judged(narrow, text, key).where("not first").select(ROW), "copies")
+    return without_rows(rows, number, gone)

@@ -111,7 +111,7 @@ def op4_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register()
 def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Documents and the benchmark items they leak."""
-    return decontamination.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+    return decontamination.matches(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"), stored=True)
 
 
 @register()
@@ -129,7 +129,7 @@ def op7_quality_model(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register()
 def op8_near_dup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Near-duplicate component of every document."""
-    return near_dup.near_duplicates(table(spark, sf_dir, "documents"))
+    return near_dup.near_duplicates(table(spark, sf_dir, "documents"), stored=True)
 
 
 @register()
