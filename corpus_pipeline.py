@@ -1,7 +1,8 @@
 """From raw documents to token ids: five stages, each written as Parquet and read again by the next.
 
 Stages work on all rows that the stage before kept. All but the last return the columns of ``documents``; a stage that drops
-documents drops whole rows, the redaction replaces text and brings n_chars in line with it.
+documents drops whole rows, the redaction replaces text and brings n_chars in line with it. The filtering stages take their documents
+as the table of Parquet files that they are, so rows are numbered and dropped without a copy of the texts.
 """
 
 from __future__ import annotations
@@ -11,7 +12,7 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 from tradeloom.llm import decontamination, near_dup, personal_data, quality_model, tree_bpe
 from tradeloom.llm.queries import tokenizer_path
 from tradeloom.llm.shared import table
-from tradeloom.session import tune, written
+from tradeloom.session import tune, written_alone
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -21,12 +22,12 @@ def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
-    return near_dup.without_near_duplicates(docs)
+    return near_dup.without_near_duplicates(docs, stored=True)
 
 
 def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that leak no benchmark item."""
-    return decontamination.without_leaks(docs, table(spark, sf_dir, "benchmark"))
+    return decontamination.without_leaks(docs, table(spark, sf_dir, "benchmark"), stored=True)
 
 
 def privacy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -51,5 +52,6 @@ def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to ``documents``."""
     docs = table(tune(spark), sf_dir, "documents")
     for name, stage in STAGES:
-        docs = written(stage(spark, docs, sf_dir), name.replace(" ", "-"))
+        # what a stage wrote on its way goes when its result is written
+        docs = written_alone(spark, lambda stage=stage, docs=docs: stage(spark, docs, sf_dir), name.replace(" ", "-"))
     return docs
