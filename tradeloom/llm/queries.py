@@ -8,8 +8,8 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tradeloom.llm import (chat_format, decontamination, hard_negatives, language_id, main_text, near_dup, personal_data, quality_model,
                            quality_rules, spelling_variants, substring_dedup, tree_bpe, web_archive)
-from tradeloom.llm.shared import table
-from tradeloom.session import tune, written
+from tradeloom.llm.shared import lean, table
+from tradeloom.session import written
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
 ORACLES: dict[str, str] = {}
@@ -28,7 +28,7 @@ def register(sql: str | None = None):
     """Register a function under its own name, with the SQL that gives the same rows."""
     def add(query):
         def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-            return query(tune(spark), sf_dir)
+            return query(lean(spark), sf_dir)
 
         QUERIES[query.__name__] = run
         if sql is not None:

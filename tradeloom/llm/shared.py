@@ -5,8 +5,9 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession, Window, functions as F
 
-from tradeloom.session import written
+from tradeloom.session import tune, written
 
+TEXT_ROWS = 2_000
 ROW = "_row"  # the number of a row, in tables of the operators' own
 FILE_ROWS = 1 << 40  # more than any file has
 BROADCAST_FILES = 500_000  # counted; some 60 MB
@@ -14,6 +15,12 @@ BROADCAST_NUMBERS = 2_000_000  # counted; some 32 MB
 WORD_BREAKS = " \t\n\x0b\f\r"  # a word is a run of any other characters
 
 
+def lean(spark: SparkSession) -> SparkSession:
+    """The session, set to hand a bounded number of rows to Python at once: they hold whole texts."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", str(TEXT_ROWS))
+    return tune(spark)
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame, functions as F
 
 PIECE_CHARS = 65_536  # longer texts are encoded in pieces
 WINDOW_CHARS, AGREEING = 64, 4
-KNOWN_WORDS = 1_000_000  # words a task remembers, some 200 MB
+KNOWN_WORDS = 250_000  # words a task remembers, some 55 MB
 TOGETHER = 200  # new words encoded in one call
 
 _loaded: dict = {}
