@@ -11,27 +11,29 @@ from pyspark.sql import DataFrame, SparkSession, functions as F
 
 from tradeloom.llm import decontamination, near_dup, personal_data, quality_model, tree_bpe
 from tradeloom.llm.queries import tokenizer_path
-from tradeloom.llm.shared import table
-from tradeloom.session import tune, written_alone
+from tradeloom.llm.shared import lean, table
+from tradeloom.session import written_alone
 
 
 def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the quality classifier accepts."""
-    return quality_model.of_good_quality(docs, table(spark, sf_dir, "labels"))
+    return quality_model.of_good_quality(docs, table(lean(spark), sf_dir, "labels"))
 
 
 def deduplication(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document of each group of near duplicates."""
+    lean(spark)
     return near_dup.without_near_duplicates(docs, stored=True)
 
 
 def leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that leak no benchmark item."""
-    return decontamination.without_leaks(docs, table(spark, sf_dir, "benchmark"), stored=True)
+    return decontamination.without_leaks(docs, table(lean(spark), sf_dir, "benchmark"), stored=True)
 
 
 def privacy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents with personal data replaced by tags."""
+    lean(spark)
     redacted = docs.withColumn("text", personal_data.redacted_text(F.col("text")))
     if "n_chars" in docs.columns:
         redacted = redacted.withColumn("n_chars", F.coalesce(F.length("text"), F.lit(0)).cast(docs.schema["n_chars"].dataType))
@@ -40,6 +42,7 @@ def privacy(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 def tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and digests of every document that is left."""
+    lean(spark)
     return tree_bpe.digest(docs, tokenizer_path())
 
 
@@ -50,7 +53,7 @@ ORACLE_SQL = None  # the classifier and the encoder can't be written in SQL; tes
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Apply the stages to ``documents``."""
-    docs = table(tune(spark), sf_dir, "documents")
+    docs = table(spark, sf_dir, "documents")
     for name, stage in STAGES:
         # what a stage wrote on its way goes when its result is written
         docs = written_alone(spark, lambda stage=stage, docs=docs: stage(spark, docs, sf_dir), name.replace(" ", "-"))
