@@ -10,6 +10,7 @@ from __future__ import annotations
 
 import argparse
 from concurrent.futures import ThreadPoolExecutor
+from contextvars import copy_context
 from urllib.parse import quote
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
@@ -17,15 +18,15 @@ from pyspark.sql import types as T
 
 from tradeloom import schemas
 from tradeloom.operators import quality
-from tradeloom.plans import leakage, rfm, rollups, segments, sessions, silver
-from tradeloom.session import build_session, clear_scratch
+from tradeloom.plans import increments, leakage, rfm, rollups, segments, sessions, silver
+from tradeloom.session import build_session, passing_tables
 from tradeloom.sources import files
 from tradeloom.sources.versioned import VersionedTable
 
 RAW = {"users": schemas.USERS_RAW, "products": schemas.PRODUCTS_RAW, "orders": schemas.ORDERS_RAW,
        "clickstream": schemas.CLICKS_RAW}
 DIMENSIONS = {"users": silver.users, "products": silver.products}
-FACTS = {"orders": silver.orders, "clickstream": silver.clickstream}
+FACTS = {"orders": (silver.orders, "order_id", "order_timestamp"), "clickstream": (silver.clickstream, "event_id", "event_timestamp")}
 GOLD = ("customer_360", "daily_category_rollup", "revenue_leakage_daily", "customer_segments_kmeans")
 
 
@@ -56,12 +57,13 @@ class Tables:
         return self.read("silver", f"{name}_current")
 
     def fact(self, name: str) -> DataFrame:
-        return quality.read_split(self.spark, self.path("silver", name))[0]
+        return increments.read_sides(self.spark, self.path("silver", name))[0].drop(*silver.ORIGIN)
 
     def rejects(self, name: str) -> DataFrame:
         """Rejected rows with their reasons, for users and products of all batches."""
-        layer = "silver_checked" if name in DIMENSIONS else "silver"
-        return quality.read_split(self.spark, self.path(layer, name))[1]
+        if name in DIMENSIONS:
+            return quality.read_split(self.spark, self.path("silver_checked", name))[1]
+        return increments.read_sides(self.spark, self.path("silver", name))[1]
 
 
 def to_bronze(tables: Tables, batch_id: str) -> dict[str, int]:
@@ -75,7 +77,7 @@ def to_bronze(tables: Tables, batch_id: str) -> dict[str, int]:
 
 
 def to_silver(tables: Tables, batch_id: str) -> None:
-    """Upsert the batch's users and products; rebuild facts and sessions from all batches."""
+    """Upsert the batch's users and products, clean its facts and merge them into the days they touch; stitch the sessions."""
     for name, clean in DIMENSIONS.items():
         # the folder name escapes what a path can't hold, as Spark does for its own partitions
         good, _ = quality.land_split(clean(tables.arrived(name, batch_id)),
@@ -84,8 +86,9 @@ def to_silver(tables: Tables, batch_id: str) -> None:
         tables.dimension(name).upsert(good, [key], [c for c in good.columns if c != key])
         files.write_results(tables.dimension(name).read(), tables.path("silver", f"{name}_current"))
     users, products = tables.current("users"), tables.current("products")
-    for name, clean in FACTS.items():
-        quality.land_split(clean(tables.read("bronze", name), users, products), tables.path("silver", name))
+    for name, (clean, key, moment) in FACTS.items():
+        increments.apply_batch(tables.spark, tables.path("silver", name), clean(tables.arrived(name, batch_id), users, products),
+                               [key], F.col(moment), batch_id, lambda rows: silver.tag_known(rows, users, products))
     files.write_results(sessions.stitch_sessions(tables.fact("clickstream")), tables.path("silver", "sessions"))
 
 
@@ -123,14 +126,15 @@ def run(spark: SparkSession, base: str, batch_id: str) -> dict[str, int]:
     Gold tables that don't need each other run at the same time in one session.
     """
     tables = Tables(spark, base)
-    to_bronze(tables, batch_id)
-    to_silver(tables, batch_id)
-    with ThreadPoolExecutor(max_workers=3) as side_by_side:
-        for step in [side_by_side.submit(job, tables)
-                     for job in (to_customer_360, to_category_rollup, to_leakage)]:
-            step.result()
-    to_segments(tables)
-    return to_exports(tables)
+    with passing_tables(spark, "daily-run"):
+        to_bronze(tables, batch_id)
+        to_silver(tables, batch_id)
+        with ThreadPoolExecutor(max_workers=3) as side_by_side:
+            for step in [side_by_side.submit(copy_context().run, job, tables)
+                         for job in (to_customer_360, to_category_rollup, to_leakage)]:
+                step.result()
+        to_segments(tables)
+        return to_exports(tables)
 
 
 def main(argv: list[str] | None = None) -> None:
@@ -140,7 +144,6 @@ def main(argv: list[str] | None = None) -> None:
     given = arguments.parse_args(argv)
     spark = build_session("daily-run")
     run(spark, given.base, given.batch)
-    clear_scratch(spark)
 
 
 if __name__ == "__main__":

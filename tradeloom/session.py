@@ -4,7 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
+from contextlib import contextmanager
 from contextvars import ContextVar
 
 from pyspark.sql import DataFrame, SparkSession
@@ -94,17 +95,25 @@ def written(df: DataFrame, label: str = "cut") -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def passing_tables(spark: SparkSession, label: str = "steps") -> Iterator[None]:
+    """Intermediate tables that are written inside are removed at the end, and no others of the application."""
+    folder = scratch_path(spark, label)
+    outer = _steps.set(folder)
+    try:
+        yield
+    finally:
+        _steps.reset(outer)
+        paths.remove(spark, folder)
+
+
 def written_alone(spark: SparkSession, make: Callable[[], DataFrame], label: str = "cut") -> DataFrame:
     """Write what ``make()`` returns and return the written table; the tables that ``make`` wrote on its way are removed.
 
     For steps that need many or large tables to find a smaller result.
     """
-    path, folder = scratch_path(spark, label), scratch_path(spark, f"{label}-steps")
-    outer = _steps.set(folder)
-    try:
+    path = scratch_path(spark, label)
+    with passing_tables(spark, f"{label}-steps"):
         result = make()
         result.write.parquet(path)
-    finally:
-        _steps.reset(outer)
-        paths.remove(spark, folder)
     return spark.read.schema(result.schema).parquet(path)
