@@ -26,14 +26,14 @@ from pyspark.sql import DataFrame, functions as F
 
 PIECE_CHARS = 65_536  # longer texts are encoded in pieces
 WINDOW_CHARS, AGREEING = 64, 4
-KNOWN_WORDS = 250_000  # words a task remembers, some 55 MB
+KNOWN_WORDS = 300_000  # words of a generation; a task remembers two, some 130 MB
 TOGETHER = 200  # new words encoded in one call
 
 _loaded: dict = {}
 
 
 def tokenizer_of(path: str):
-    """The tokenizer of a file, the words encoded so far and its tokens by id, loaded once per process."""
+    """The tokenizer of a file, two generations of encoded words and its tokens by id, loaded once per process."""
     if path not in _loaded:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks use the cores
         from tokenizers import Tokenizer
@@ -42,7 +42,7 @@ def tokenizer_of(path: str):
         tokenizer.no_truncation()
         tokenizer.no_padding()
         most = max(tokenizer.get_vocab().values(), default=-1)
-        _loaded[path] = (tokenizer, {}, [tokenizer.id_to_token(i) for i in range(most + 1)])
+        _loaded[path] = (tokenizer, ({}, {}), [tokenizer.id_to_token(i) for i in range(most + 1)])
     return _loaded[path]
 
 
@@ -65,11 +65,15 @@ def _learn_words(tokenizer, known: dict, new: list[str]) -> None:
 
 def encode_texts(path: str, texts: list[str]) -> list[bytes]:
     """The ids of each text as 32-bit numbers, encoding each different word once."""
-    tokenizer, known, _ = tokenizer_of(path)
+    tokenizer, (known, earlier), _ = tokenizer_of(path)
     split = [[w for w in t.replace("\n", " ").split(" ") if w] for t in texts]
-    if len(known) > KNOWN_WORDS:
+    if len(known) > KNOWN_WORDS:  # words that were used since the last time stay known
+        earlier.clear()
+        earlier.update(known)
         known.clear()
-    _learn_words(tokenizer, known, list({w for words in split for w in words if w not in known}))
+    missing = {w for words in split for w in words if w not in known}
+    known.update({w: earlier[w] for w in missing if w in earlier})
+    _learn_words(tokenizer, known, [w for w in missing if w not in earlier])
     return [b"".join([known[w] for w in words]) for words in split]
 
 
