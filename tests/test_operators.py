@@ -89,6 +89,20 @@ def test_salts_spread_equal_rows(spark):
     assert numbered.select(skew._salt(["_row"], F.lit(8)).alias("s")).distinct().count() == 8
 
 
+def test_salted_join_copies_nothing_without_hot_keys(spark, rows, monkeypatch):
+    kept = []
+    monkeypatch.setattr(skew, "written", lambda df, label: kept.append(label) or written(df, label))
+    fact = spark.range(200).select(F.col("id").alias("k"), F.lit(1).alias("_row"), F.lit(2).alias("_salt"), F.lit(3).alias("_salts"))
+    dim = spark.range(100).select(F.col("id").alias("k"), F.lit("x").alias("name"))
+    got = skew.salted_join(fact, dim, ["k"], min_share=0.1)
+    assert kept == ["hot-keys"] and rows(got) == rows(fact.join(dim, "k"))
+    skewed = fact.withColumn("k", F.when(F.col("k") < 150, F.lit(7)).otherwise(F.col("k")).cast("long"))
+    for how in ("inner", "left", "left_semi", "left_anti"):
+        got = skew.salted_join(skewed, dim, ["k"], how, min_share=0.1)
+        assert got.columns == skewed.join(dim, "k", how).columns and rows(got) == rows(skewed.join(dim, "k", how))
+    assert kept[2] == "hot-rows"
+
+
 @pytest.mark.parametrize("limit", [joins.BROADCAST_BYTES, 50, 0])
 @pytest.mark.parametrize("how", ["inner", "left", "left_semi", "left_anti"])
 def test_lookup_join_gives_the_same_rows_whatever_the_size(spark, rows, limit, how):
@@ -276,3 +290,9 @@ def test_rdd_style_work_as_tables(spark):
     assert numbers.agg(F.sum("id")).first()[0] == 55
     doubled = numbers.mapInPandas(lambda parts: (p.assign(id=p.id * 2) for p in parts), "id long").toDF("twice")
     assert doubled.agg(F.sum("twice")).first()[0] == 110
+
+
+def test_layouts_are_checked(spark):
+    df = spark.range(1_000).select((F.col("id") % 37).alias("k"), "id")
+    assert layout.keys_whole(df.repartition(5, "k"), ["k"]).first()[0] and not layout.keys_whole(df.repartition(5), ["k"]).first()[0]
+    assert layout.ranges_apart(df.repartitionByRange(5, "id"), "id").first()[0] and not layout.ranges_apart(df.repartition(5), "id").first()[0]

@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 from collections.abc import Sequence
+from functools import reduce
+from operator import or_
 
 from pyspark.sql import Column, DataFrame, functions as F
 
@@ -45,19 +47,26 @@ def _salt(columns: Sequence[str], salts: Column) -> Column:
     return F.pmod(F.xxhash64(*[F.col(c) for c in columns]), salts).cast("int")
 
 
+def _free(name: str, *frames: DataFrame) -> str:
+    """A column name that none of the frames has."""
+    taken = {c.lower() for df in frames for c in df.columns}
+    while name in taken:
+        name += "_"
+    return name
+
+
 def salted_join(fact: DataFrame, dimension: DataFrame, on: Sequence[str], how: str = "inner",
                 hot: DataFrame | None = None, salt_on: Sequence[str] | None = None,
                 min_share: float = HOT_SHARE) -> DataFrame:
     """Equi-join whose hot fact keys are spread over many tasks.
 
-    Rows of a hot key get a salt from the ``salt_on`` columns, and the dimension rows of that
-    key are repeated once per salt; all other keys keep salt 0 and are not repeated. By default
-    the fact is written once with a number per row and salted by that, so that equal rows of a
-    hot key are spread as well; columns that tell rows apart save the writing. ``hot`` defaults
-    to :func:`hot_keys` of the fact, found by one more pass over it. Null keys never match and
-    are spread too.
+    Rows of other keys take the ordinary join; if no key is hot that is all, and nothing is written. Rows of a hot key get a
+    salt from the ``salt_on`` columns, and the dimension rows of that key are repeated once per salt. By default only the rows
+    of hot keys are written, once, with a number each, and salted by that, so that equal rows are spread as well; columns that
+    tell rows apart save the writing. ``hot`` defaults to :func:`hot_keys` of the fact, found by one more pass over it. Null
+    keys match nothing: their rows take no part in the join, and are added where the kind of join keeps them.
     """
-    on, kept_columns = list(on), fact.columns
+    on, columns = list(on), fact.columns
     if how in ("right", "full", "outer"):
         kept = "inner" if how == "right" else "left"
         matched = salted_join(fact, dimension, on, kept, hot, salt_on, min_share)
@@ -65,35 +74,31 @@ def salted_join(fact: DataFrame, dimension: DataFrame, on: Sequence[str], how: s
         # distinct collapses a hot key before the shuffle, so the other half needs no salt
         alone = dimension.join(fact.select(*on).distinct(), on, "left_anti")
         return matched.unionByName(alone, allowMissingColumns=True)
-    if not salt_on:
-        # stored, so that a retried task finds the same numbers
-        fact, salt_on = written(fact.withColumn(_ROW, F.monotonically_increasing_id()), "numbered"), [_ROW]
     if hot is None:
         hot = written(hot_keys(fact, on, min_share), "hot-keys")
     elif measured_bytes(hot.select(*on)) > BROADCAST_BYTES:
         raise ValueError("hot keys are broadcast, and these are too many")
     if _SALTS not in hot.columns:
         hot = hot.withColumn(_SALTS, F.lit(shuffle_partitions(fact)))
-    hot = F.broadcast(hot.select(*on, _SALTS))
-    spread_on = list(salt_on)
-    some_null = F.lit(False)
-    for c in on:
-        some_null = some_null | F.col(c).isNull()
-    many = F.lit(shuffle_partitions(fact))
-    salted_fact = (
-        fact.join(hot, on, "left")
-        .withColumn(_SALT, F.when(some_null, _salt(spread_on, many))
-                    .when(F.col(_SALTS).isNotNull(), _salt(spread_on, F.col(_SALTS)))
-                    .otherwise(F.lit(0)))
-        .drop(_SALTS))
-    salted_dimension = (
-        dimension.join(hot, on, "left")
-        .withColumn(_SALT, F.explode(F.sequence(F.lit(0), F.coalesce(F.col(_SALTS), F.lit(1)) - 1)))
-        .drop(_SALTS))
-    joined = salted_fact.join(salted_dimension, [*on, _SALT], how).drop(_SALT)
-    if how in ("left_semi", "left_anti"):
-        return joined.select(*kept_columns)
-    return joined.select(*kept_columns, *[c for c in dimension.columns if c not in on])
+    out = columns if how in ("left_semi", "left_anti") else [*columns, *[c for c in dimension.columns if c not in on]]
+    missing = reduce(or_, [F.col(c).isNull() for c in on])
+    named = fact.where(~missing)
+    if hot.isEmpty():
+        joined = named.join(dimension, on, how).select(*out)
+    else:
+        salt, salts, row = (_free(name, fact, dimension) for name in (_SALT, _SALTS, _ROW))
+        hot = F.broadcast(hot.select(*on, F.col(_SALTS).alias(salts)))
+        cold = named.join(hot, on, "left_anti").join(dimension, on, how)
+        spread = named.join(hot, on)
+        if not salt_on:
+            # stored, so that a retried task finds the same numbers
+            spread = written(spread.withColumn(row, F.monotonically_increasing_id()), "hot-rows")
+        spread = spread.withColumn(salt, _salt(salt_on or [row], F.col(salts)))
+        repeated = dimension.join(hot, on).withColumn(salt, F.explode(F.sequence(F.lit(0), F.col(salts) - 1))).drop(salts)
+        joined = cold.select(*out).unionByName(spread.join(repeated, [*on, salt], how).select(*out))
+    if how in ("left", "left_outer", "leftouter", "left_anti"):
+        joined = joined.unionByName(fact.where(missing), allowMissingColumns=True)
+    return joined
 
 
 def salted_agg(df: DataFrame, keys: Sequence[str], measures: dict[str, tuple[str, str]], salts: int,
