@@ -154,4 +154,61 @@ def stream_upsert_landing(spark, d):
             replay.write.mode("append").parquet(feed)
         live.start_landing(feeds.file_messages(spark, feed), store, f"{store}-checkpoint",
                            available_now=True).awaitTermination()
-    return live.landed(spark, store).read()
+    return live.landed(spark, store)
+
+
+def _run_parts(spark, feed: str, parts: list[DataFrame], start) -> None:
+    """Start the stream anew after each part; it goes on from its checkpoint."""
+    for part in parts:
+        part.write.mode("append").parquet(feed)
+        for query in start():
+            query.awaitTermination()
+
+
+def _halves(spark, d) -> list[DataFrame]:
+    """Messages up to the middle of the time, and all later ones with a tenth of the earlier ones, which come late."""
+    events = table(spark, d, "events")
+    middle = events.agg(F.expr("timestamp_micros((unix_micros(min(ts)) + unix_micros(max(ts))) div 2)")).scalar()
+    early = (F.col("ts") < middle) & (F.col("event_id") % 10 != 0)
+    return [to_messages(events.where(early)), to_messages(events.where(~early))]
+
+
+@register(f"""WITH {MESSAGES},
+middle AS (SELECT make_timestamp((epoch_us(min(ts)) + epoch_us(max(ts))) // 2) AS at FROM events),
+early AS (SELECT max(kafka_ingest_ts) - INTERVAL '1 minute' AS watermark FROM live, middle
+          WHERE kafka_ingest_ts < middle.at AND CAST(order_id AS BIGINT) % 10 <> 0),
+windowed AS (
+  SELECT *, time_bucket(INTERVAL '1 hour', kafka_ingest_ts) AS window_start, time_bucket(INTERVAL '1 hour', kafka_ingest_ts) + INTERVAL '1 hour' AS window_end
+  FROM live),
+in_time AS (
+  SELECT windowed.* FROM windowed, middle, early
+  WHERE (kafka_ingest_ts < middle.at AND CAST(order_id AS BIGINT) % 10 <> 0) OR window_end > early.watermark)
+SELECT window_start, window_end, count(*) AS orders_in_window, CAST(sum(net_amount) AS DOUBLE) AS revenue_in_window
+FROM in_time GROUP BY 1, 2 HAVING window_end <= (SELECT max(kafka_ingest_ts) FROM live) - INTERVAL '1 minute'""")
+def stream_late_rows(spark, d):
+    """Windows of a stream whose second half brings rows that are too late; the watermark moved when the first half had ended."""
+    feed, path = scratch_path(spark, "late-feed"), scratch_path(spark, "late-windows")
+    orders = lambda: live.well_formed(live.decode_orders(feeds.file_messages(spark, feed)))
+    _run_parts(spark, feed, _halves(spark, d), lambda: [live.start_metrics(orders(), f"{path}-checkpoint", "append", path, True, window="1 hour")])
+    stored = spark.read.schema(live.window_metrics(orders()).schema).parquet(path)
+    return stored.select(F.col("window.start").alias("window_start"), F.col("window.end").alias("window_end"), "orders_in_window", "revenue_in_window")
+
+
+@register(f"""WITH {WINDOWS.format(size='1 hour')}
+SELECT 'landed' AS sink, order_id AS id, 1 AS orders, CAST(net_amount AS DOUBLE) AS amount FROM live
+UNION ALL SELECT 'windows', strftime(window_start, '%Y-%m-%d %H:%M:%S'), orders_in_window, revenue_in_window FROM windows
+UNION ALL SELECT 'quarantined', strftime(ts, '%Y-%m-%d %H:%M:%S.%f'), 1, NULL FROM events WHERE event_type = 'signup'""")
+def stream_two_queries(spark, d):
+    """Landing and windows from one feed side by side, each with its own checkpoint, stopped and started again."""
+    feed, store = scratch_path(spark, "shared-feed"), scratch_path(spark, "two-sinks")
+    messages = lambda: feeds.file_messages(spark, feed)
+    _run_parts(spark, feed, _halves(spark, d), lambda: live.start_live(
+        messages(), store, f"{store}-checkpoints", True, f"{store}/windows", mode="complete", window="1 hour"))
+    windows = spark.read.schema(live.window_metrics(live.well_formed(live.decode_orders(messages()))).schema).parquet(f"{store}/windows")
+    return (live.landed(spark, store).select(F.lit("landed").alias("sink"), F.col("order_id").alias("id"), F.lit(1).cast("long").alias("orders"),
+                                             F.col("net_amount").cast("double").alias("amount"))
+            .unionByName(windows.select(F.lit("windows").alias("sink"), F.date_format("window.start", "yyyy-MM-dd HH:mm:ss").alias("id"),
+                                        F.col("orders_in_window").alias("orders"), F.col("revenue_in_window").cast("double").alias("amount")))
+            .unionByName(live.quarantined(spark, store).select(
+                F.lit("quarantined").alias("sink"), F.date_format("kafka_ingest_ts", "yyyy-MM-dd HH:mm:ss.SSSSSS").alias("id"),
+                F.lit(1).cast("long").alias("orders"), F.lit(None).cast("double").alias("amount"))))

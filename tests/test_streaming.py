@@ -79,7 +79,7 @@ def test_update_mode_gives_a_window_again_when_it_changes(spark, folder):
 def land(spark, folder):
     orders.start_landing(messages.file_messages(spark, f"{folder}/feed"), f"{folder}/store", f"{folder}/c",
                          available_now=True).awaitTermination()
-    return [(r.order_id, r.net_amount) for r in orders.landed(spark, f"{folder}/store").read().orderBy("order_id").collect()]
+    return [(r.order_id, r.net_amount) for r in orders.landed(spark, f"{folder}/store").orderBy("order_id").collect()]
 
 
 def test_landing_has_one_row_per_order(spark, folder):
@@ -99,17 +99,26 @@ def test_replayed_batch_replaces_itself(spark, folder):
     for _ in range(2):
         write(batch_rows, 0)
     store = orders.landed(spark, f"{folder}/store")
-    assert store.read().count() == 1 and store.latest() == 0
+    assert store.count() == 1 and store.columns == orders.well_formed(orders.decode_orders(batch_rows)).columns
     assert orders.quarantined(spark, f"{folder}/store").count() == 1
 
 
-def test_fresh_checkpoint_on_a_used_table_is_refused(spark, folder):
-    batch(spark, f"{folder}/feed", (payload("o1"), 1))
-    land(spark, folder)
-    again = orders.start_landing(messages.file_messages(spark, f"{folder}/feed"), f"{folder}/store", f"{folder}/other",
-                                 available_now=True)
-    with pytest.raises(Exception, match="another writer"):
-        again.awaitTermination()
+def test_fresh_checkpoint_lands_beside_the_old_one(spark, folder):
+    batch(spark, f"{folder}/feed", (payload("o1"), 1), ("{bad", 2))
+    first = land(spark, folder)
+    orders.start_landing(messages.file_messages(spark, f"{folder}/feed"), f"{folder}/store", f"{folder}/other",
+                         available_now=True).awaitTermination()
+    assert [(r.order_id, r.net_amount) for r in orders.landed(spark, f"{folder}/store").collect()] == first
+    assert orders.quarantined(spark, f"{folder}/store").count() == 2
+
+
+def test_landing_a_batch_reads_no_other(spark, folder):
+    write = orders._land(f"{folder}/store")
+    for i in range(3):
+        batch(spark, f"{folder}/feed{i}", (payload("o1", i + 1), i))
+        write(spark.read.parquet(f"{folder}/feed{i}"), i)
+    assert [r.quantity for r in orders.landed(spark, f"{folder}/store").collect()] == [3]
+    assert [r.quantity for r in orders.landed(spark, f"{folder}/store", up_to_batch=1).collect()] == [2]
 
 
 def test_two_queries_over_one_feed(spark, folder):
@@ -119,7 +128,7 @@ def test_two_queries_over_one_feed(spark, folder):
     for query in started:
         query.awaitTermination()
     assert len({q.id for q in started}) == 2
-    assert orders.landed(spark, f"{folder}/store").read().count() == 2
+    assert orders.landed(spark, f"{folder}/store").count() == 2
     assert "Console" in started[1].lastProgress.sink.description
 
 
@@ -128,7 +137,7 @@ def test_json_lines_land_too(spark, folder):
     feed = messages.line_messages(spark, f"{folder}/feed")
     assert feed.columns == ["key", "value", "timestamp"]
     orders.start_landing(feed, f"{folder}/store", f"{folder}/c", available_now=True).awaitTermination()
-    landed = orders.landed(spark, f"{folder}/store").read().collect()
+    landed = orders.landed(spark, f"{folder}/store").collect()
     assert sorted(r.order_id for r in landed) == ["o1", "o2"] and all(r.kafka_ingest_ts for r in landed)
     assert orders.quarantined(spark, f"{folder}/store").count() == 1
 

@@ -3,19 +3,20 @@
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession, functions as F
+from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
 
 from tradeloom.functions.columns import as_money, as_timestamp, rate
-from tradeloom.schemas import LIVE_ORDER, MONEY
-from tradeloom.sources.versioned import VersionedTable
+from tradeloom.schemas import ENVELOPE, LIVE_ORDER, MONEY
+from tradeloom.operators.dedup import dedup_latest
 
 # Fixed values of the live feed.
 WINDOW = "30 seconds"
 WATERMARK = "1 minute"
 
 _REQUIRED = ("order_id", "quantity", "unit_price", "net_amount")
-# the last message of an order in a batch wins; equal arrival times are settled by content
-LATEST = ["kafka_ingest_ts desc"]
+# the last message of an order wins; equal arrival times are settled by batch, then by content
+LATEST = ["kafka_ingest_ts desc", "batch desc"]
 TIEBREAK = ["order_timestamp desc", "user_id", "product_id", "quantity", "unit_price",
             "payment_method", "payment_status"]
 
@@ -87,42 +88,50 @@ def start_metrics(orders: DataFrame, checkpoint: str, mode: str = "complete", pa
 
 def _land(path: str):
     def land(batch: DataFrame, batch_id: int) -> None:
-        spark = batch.sparkSession
-        query = spark.sparkContext.getLocalProperty("sql.streaming.queryId")
-        decoded = decode_orders(batch).persist()
-        try:
-            landed(spark, path).upsert(well_formed(decoded), LATEST, TIEBREAK,
-                                       version=batch_id, writer=query)
-            malformed(decoded).write.mode("overwrite").parquet(
-                f"{path}/quarantine/batch={batch_id}")
-        finally:
-            decoded.unpersist()
+        query = batch.sparkSession.sparkContext.getLocalProperty("sql.streaming.queryId") or "none"
+        (decode_orders(batch).withColumn("usable", _complete())
+         .write.mode("overwrite").partitionBy("usable").parquet(f"{path}/messages/query={query}/batch={batch_id}"))
     return land
 
 
-def landed(spark: SparkSession, path: str) -> VersionedTable:
-    """The table the stream lands in, one row per order."""
-    return VersionedTable(spark, f"{path}/orders", ["order_id"])
+def _landed_messages(spark: SparkSession, path: str, usable: bool) -> DataFrame:
+    empty = spark.createDataFrame([], ENVELOPE)
+    layout = "query string, batch long, usable boolean"
+    schema = T.StructType([*decode_orders(empty).schema.fields, *T.StructType.fromDDL(layout).fields])
+    return spark.read.schema(schema).parquet(f"{path}/messages").where(F.col("usable") == usable).drop("usable")
+
+
+def landed(spark: SparkSession, path: str, up_to_batch: int | None = None) -> DataFrame:
+    """One row per order: its last message, of all batches or of those up to one. Landing a batch costs what the batch costs;
+    copies are settled here, by one window over the orders."""
+    usable = _landed_messages(spark, path, True)
+    if up_to_batch is not None:
+        usable = usable.where(F.col("batch") <= up_to_batch)
+    return dedup_latest(usable, ["order_id"], LATEST, [*TIEBREAK, "query"]).drop("raw_value", "query", "batch")
 
 
 def quarantined(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.parquet(f"{path}/quarantine")
+    """Messages that are no usable order, as they came."""
+    return _landed_messages(spark, path, False).select("kafka_ingest_ts", "raw_value", "batch")
 
 
 def start_landing(messages: DataFrame, path: str, checkpoint: str,
                   available_now: bool = False) -> StreamingQuery:
-    """Upsert each micro-batch by order id; a replayed batch replaces its own version."""
+    """Land each micro-batch in a folder of its own, usable and other messages apart; a replayed batch replaces its folder.
+
+    A stream with a fresh checkpoint lands beside the folders of the one before.
+    """
     writer = (messages.writeStream.foreachBatch(_land(path)).outputMode("update")
               .option("checkpointLocation", checkpoint))
     return (writer.trigger(availableNow=True) if available_now else writer).start()
 
 
-def start_live(messages: DataFrame, path: str, checkpoints: str,
-               available_now: bool = False) -> list[StreamingQuery]:
-    """Landing and console metrics side by side, each with its own checkpoint."""
+def start_live(messages: DataFrame, path: str, checkpoints: str, available_now: bool = False,
+               metrics_path: str | None = None, **metrics) -> list[StreamingQuery]:
+    """Landing and metrics side by side, each with its own checkpoint; metrics go to the console unless a path is given."""
     return [start_landing(messages, path, f"{checkpoints}/landing", available_now),
-            start_metrics(well_formed(decode_orders(messages)), f"{checkpoints}/metrics",
-                          available_now=available_now)]
+            start_metrics(well_formed(decode_orders(messages)), f"{checkpoints}/metrics", path=metrics_path,
+                          available_now=available_now, **metrics)]
 
 
 def run_live(messages: DataFrame, path: str, checkpoints: str) -> None:
