@@ -10,7 +10,7 @@ from registry import register
 from registry.star import (CLEAN_LINES, CLICKS, EMPLOYEES, LINE_KEY, LINE_ORDER, LINE_TIEBREAK,
                            NET_AMOUNT, USERS, clicks, employees, table, users)
 from tradeloom.functions import columns as C
-from tradeloom.operators import aggregates, dedup, joins, quality, ranking, skew
+from tradeloom.operators import aggregates, dedup, joins, layout, quality, ranking, skew
 from tradeloom.plans.sessions import funnel_events
 from tradeloom.session import scratch_path
 from tradeloom.sources import files, rows
@@ -250,6 +250,18 @@ def salted_join(spark, d):
     return skew.salted_join(facts, parts, ["l_partkey"], min_share=0.0005)
 
 
+@register("""SELECT l_orderkey, l_linenumber, l_partkey, line_class, p_type
+FROM (SELECT l_orderkey, l_linenumber, CASE WHEN l_linenumber <= 3 THEN 1 ELSE l_partkey END AS l_partkey,
+             l_linenumber % 3 AS line_class FROM lineitem)
+LEFT JOIN part ON l_partkey = p_partkey""")
+def salted_join_mixed_keys(spark, d):
+    # one key holds most lines at every scale, the others are cold
+    lines = table(spark, d, "lineitem").select("l_orderkey", "l_linenumber", F.when(F.col("l_linenumber") <= 3, F.lit(1)).otherwise(
+        F.col("l_partkey")).cast("long").alias("l_partkey"), (F.col("l_linenumber") % 3).alias("line_class"))
+    parts = table(spark, d, "part").select(F.col("p_partkey").cast("long").alias("l_partkey"), "p_type")
+    return skew.salted_join(lines, parts, ["l_partkey"], "left", min_share=0.1)
+
+
 @register("""SELECT event_id, event_type, first_ts
 FROM events JOIN (SELECT event_type, min(ts) AS first_ts FROM events GROUP BY event_type) USING (event_type)""")
 def salted_join_hot_keys(spark, d):
@@ -539,3 +551,28 @@ def range_map_filter(spark, d):
     return (table(spark, d, "lineitem")
             .select("l_orderkey", "l_linenumber", "l_partkey", (F.col("l_quantity") * 2).alias("doubled"))
             .filter("doubled > 50"))
+
+
+# --- draws and layout ----------------------------------------------------------------------
+
+
+@register("""SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem
+WHERE CAST(('0x' || substr(md5('7:' || l_orderkey || ':' || l_linenumber), 1, 8)) AS BIGINT) / 4294967296.0 < 0.1""")
+def sampled_tenth(spark, d):
+    return table(spark, d, "lineitem").where(C.portable_draw(7, "l_orderkey", "l_linenumber") < 0.1).select("l_orderkey", "l_linenumber", "l_quantity")
+
+
+@register("""WITH layouts AS (SELECT unnest(['read', 'by key', 'by range', 'rebalanced', 'fewer']) AS layout)
+SELECT layout, count(*) AS rows, CASE layout WHEN 'by key' THEN true END AS keys_whole, CASE layout WHEN 'by range' THEN true END AS ranges_apart
+FROM layouts, lineitem GROUP BY layout""")
+def layout_report(spark, d):
+    lines = table(spark, d, "lineitem").select("l_orderkey", "l_shipdate")
+    laid = {"read": lines, "by key": lines.repartition(16, "l_orderkey"), "by range": lines.repartitionByRange(16, "l_shipdate"),
+            "rebalanced": lines.hint("rebalance"), "fewer": lines.coalesce(2)}
+    none, report = F.lit(None).cast("boolean"), None
+    for name, df in laid.items():
+        whole = layout.keys_whole(df, ["l_orderkey"]).scalar() if name == "by key" else none
+        apart = layout.ranges_apart(df, "l_shipdate").scalar() if name == "by range" else none
+        line = df.agg(F.count(F.lit(1)).alias("rows")).select(F.lit(name).alias("layout"), "rows", whole.alias("keys_whole"), apart.alias("ranges_apart"))
+        report = line if report is None else report.unionByName(line)
+    return report

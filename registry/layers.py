@@ -367,6 +367,22 @@ def kmeans_elbow(spark, d):
     return segments.elbow(written(segments.scaled_features(features), "scaled"))
 
 
+@register(f"WITH {FEATURES_SQL} SELECT user_id, true AS nearest, true AS label_fits FROM features")
+def kmeans_report(spark, d):
+    return segments.clustering_report(written(_features(spark, d), "features"))
+
+
+@register(f"""WITH {FEATURES_SQL}, ks AS (SELECT unnest([2, 3, 4, 5, 6]) AS k)
+SELECT k, count(*) AS customers, true AS cost_below_total, true AS silhouette_in_range FROM ks, features GROUP BY k""")
+def kmeans_elbow_report(spark, d):
+    scaled = written(segments.scaled_features(written(_features(spark, d), "features")), "scaled")
+    curve = segments.elbow(scaled).withColumn("customers", F.lit(scaled.count()).cast("long"))
+    # scaled features have a variance of 1, so this is the cost of one cluster
+    total = (F.col("customers") - 1) * len(segments.FEATURES)
+    return curve.select("k", "customers", ((F.col("wssse") > 0) & (F.col("wssse") < total)).alias("cost_below_total"),
+                        F.col("silhouette").between(-1, 1).alias("silhouette_in_range"))
+
+
 @register("""SELECT o_orderpriority, round(CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / count(*), 2) AS avg_spend,
   row_number() OVER (ORDER BY CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / count(*) DESC) AS rank,
   CASE row_number() OVER (ORDER BY CAST(sum(CAST(o_totalprice AS DECIMAL(18,2))) AS DOUBLE) / count(*) DESC)

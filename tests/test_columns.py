@@ -1,3 +1,4 @@
+import hashlib
 from decimal import Decimal
 
 import pytest
@@ -91,3 +92,11 @@ def test_funnel_events_skip_stages_not_reached(spark, rows):
                                  "session_id string, a int, b int, c int, d int")
     got = funnel_events(wide, {"view": "a", "add_to_cart": "b", "checkout_start": "c", "purchase": "d"}, ["session_id"])
     assert rows(got) == [("s1", "add_to_cart", 2), ("s1", "checkout_start", 3), ("s1", "view", 1), ("s2", "view", 5)]
+
+
+def test_portable_draw_is_even_and_repeatable(spark):
+    ids = spark.range(4_000)
+    drawn = {r.id: r.x for r in ids.select("id", C.portable_draw(3, "id").alias("x")).collect()}
+    assert {r.id: r.x for r in ids.repartition(5).select("id", C.portable_draw(3, "id").alias("x")).collect()} == drawn
+    assert all(0 <= x < 1 for x in drawn.values()) and 320 < sum(x < 0.1 for x in drawn.values()) < 480
+    assert drawn[5] == int(hashlib.md5(b"3:5").hexdigest()[:8], 16) / 2**32

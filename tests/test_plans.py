@@ -1,7 +1,9 @@
+import random
 from datetime import date, datetime
 from decimal import Decimal
 
 import pytest
+from pyspark.ml.linalg import Vectors
 from pyspark.sql import functions as F
 
 from tradeloom.operators import quality
@@ -232,6 +234,25 @@ def test_scaled_features_have_mean_0_and_deviation_1(spark):
         assert abs(mean) < 1e-9 and abs(deviation - 1) < 1e-9
 
 
+def test_silhouette_equals_brute_force(spark):
+    r = random.Random(4)
+    points = [(i % 3 if i else 3, [r.gauss(3 * (i % 3), 1), r.gauss(0, 1)]) for i in range(40)]
+
+    def far(a, b):
+        return sum((x - y) ** 2 for x, y in zip(a, b))
+
+    scores = []
+    for i, (c, x) in enumerate(points):
+        mean = {k: [far(x, y) for j, (d, y) in enumerate(points) if d == k and j != i] for k in range(4)}
+        if not mean[c]:
+            scores.append(0.0)
+            continue
+        inside, outside = sum(mean[c]) / len(mean[c]), min(sum(v) / len(v) for k, v in mean.items() if k != c and v)
+        scores.append((outside - inside) / max(inside, outside))
+    df = spark.createDataFrame([(c, Vectors.dense(x)) for c, x in points], ["prediction", "scaled_features"])
+    assert segments.silhouette(df).first()[0] == pytest.approx(sum(scores) / len(scores))
+
+
 def test_elbow(spark):
     scaled = segments.scaled_features(features(spark)).persist()
     got = segments.elbow(scaled, range(2, 5)).collect()

@@ -75,6 +75,12 @@ def repeatable_draw(seed: int, *ids: ColumnOrName) -> Column:
     return F.pmod(F.xxhash64(*[_col(c) for c in ids], F.lit(seed)), F.lit(buckets)) / F.lit(buckets)
 
 
+def portable_draw(seed: int, *ids: ColumnOrName) -> Column:
+    """Like :func:`repeatable_draw`, from md5, so that other engines draw the same number."""
+    text = F.concat_ws(":", F.lit(str(seed)), *[_col(c).cast("string") for c in ids])
+    return F.conv(F.substr(F.md5(text.cast("binary")), F.lit(1), F.lit(8)), 16, 10).cast("double") / F.lit(float(1 << 32))
+
+
 # --- choosing labels -------------------------------------------------------------------
 
 def tier(c: ColumnOrName, steps: Sequence[tuple[float, str]], otherwise: str) -> Column:

@@ -6,8 +6,8 @@ from collections.abc import Iterable
 
 from pyspark.ml import Pipeline
 from pyspark.ml.clustering import KMeans
-from pyspark.ml.evaluation import ClusteringEvaluator
 from pyspark.ml.feature import StandardScaler, VectorAssembler
+from pyspark.ml.functions import vector_to_array
 from pyspark.sql import DataFrame, Window, functions as F
 
 from tradeloom.functions.columns import label_at, rate
@@ -49,7 +49,7 @@ def elbow(scaled: DataFrame, ks: Iterable[int] = ELBOW_RANGE) -> DataFrame:
     rows = []
     for k in ks:
         model = KMeans(featuresCol="scaled_features", k=k, seed=SEED).fit(scaled)
-        quality = ClusteringEvaluator(featuresCol="scaled_features").evaluate(model.transform(scaled))
+        quality = silhouette(model.transform(scaled)).first()[0]
         rows.append((k, float(model.summary.trainingCost), float(quality)))
     return scaled.sparkSession.createDataFrame(rows, "k int, wssse double, silhouette double")
 
@@ -65,14 +65,56 @@ def rank_groups(df: DataFrame, group: str, labels: list[str] = LABELS, spend: st
             .withColumn("segment_label", label_at(labels, "rank")))
 
 
-def cluster_customers(features: DataFrame, k: int = CLUSTERS) -> DataFrame:
-    """Cluster and label of each customer; cluster numbers mean nothing, labels do."""
+def _clustered(features: DataFrame, k: int) -> tuple[DataFrame, list[list[float]]]:
+    """Customers with scaled features, cluster and label, and the centres by cluster number."""
     scaled = written(scaled_features(features), "scaled")
     model = KMeans(featuresCol="scaled_features", predictionCol="cluster", k=k, seed=SEED).fit(scaled)
     assigned = model.transform(scaled)
     # k rows
     labels = F.broadcast(rank_groups(assigned, "cluster").select("cluster", "segment_label"))
-    return assigned.join(labels, "cluster").select("user_id", "cluster", "segment_label", *FEATURES)
+    return assigned.join(labels, "cluster"), [[float(x) for x in centre] for centre in model.clusterCenters()]
+
+
+def cluster_customers(features: DataFrame, k: int = CLUSTERS) -> DataFrame:
+    """Cluster and label of each customer; cluster numbers mean nothing, labels do."""
+    return _clustered(features, k)[0].select("user_id", "cluster", "segment_label", *FEATURES)
+
+
+def clustering_report(features: DataFrame, k: int = CLUSTERS) -> DataFrame:
+    """What holds for any outcome of the clustering: per customer whether no other centre is nearer than its own, and whether
+    its label is that of its cluster's place by mean spend."""
+    assigned, centres = _clustered(features, k)
+    assigned = written(assigned.withColumn("x", vector_to_array("scaled_features")), "clustered")
+    far = F.transform(F.array(*[F.array(*map(F.lit, centre)) for centre in centres]), lambda centre: F.aggregate(
+        F.zip_with("x", centre, lambda a, b: (a - b) * (a - b)), F.lit(0.0), lambda total, d: total + d))
+    means = assigned.groupBy("cluster").agg(F.avg(F.col("monetary").cast("double")).alias("mean"))
+    above = means.alias("a").join(means.alias("b"), F.col("b.mean") > F.col("a.mean"), "left").groupBy("a.cluster").agg(
+        F.count("b.cluster").alias("higher"))  # k rows
+    label = F.get(F.array(*map(F.lit, LABELS)), F.col("higher").cast("int"))
+    return (assigned.withColumn("far", far).join(F.broadcast(above), "cluster")
+            .select("user_id", (F.get("far", "cluster") <= F.array_min("far") + 1e-9).alias("nearest"), (F.col("segment_label") == label).alias("label_fits")))
+
+
+def silhouette(clustered: DataFrame, features: str = "scaled_features", cluster: str = "prediction") -> DataFrame:
+    """One value: the mean silhouette by squared distance, from one aggregate per cluster and no pairs.
+
+    The mean squared distance of a point to a cluster follows from the cluster's size, sum and sum of squared norms.
+    """
+    points = clustered.select(F.col(cluster).alias("cluster"), vector_to_array(features).alias("x"))
+    square = F.aggregate("x", F.lit(0.0), lambda total, v: total + v * v)
+    points = points.withColumn("square", square)
+    sums = (points.select("cluster", "square", F.posexplode("x").alias("place", "v")).groupBy("cluster", "place")
+            .agg(F.count(F.lit(1)).alias("n"), F.sum("v").alias("v"), F.sum("square").alias("squares"))
+            .groupBy("cluster").agg(F.max("n").alias("n"), F.max("squares").alias("squares"),
+                                    F.transform(F.array_sort(F.collect_list(F.struct("place", "v"))), lambda p: p["v"]).alias("sums")))
+    every = sums.agg(F.collect_list(F.struct("cluster", "n", "squares", "sums")).alias("clusters"))  # as many as there are clusters
+    dot = lambda a, b: F.aggregate(F.zip_with(a, b, lambda p, q: p * q), F.lit(0.0), lambda total, v: total + v)
+    total = lambda c: c["n"] * F.col("square") + c["squares"] - 2 * dot(F.col("x"), c["sums"])
+    own = F.filter("clusters", lambda c: c["cluster"] == F.col("cluster"))[0]
+    others = F.transform(F.filter("clusters", lambda c: c["cluster"] != F.col("cluster")), lambda c: total(c) / c["n"])
+    inside, outside = total(own) / F.greatest(own["n"] - 1, F.lit(1)), F.array_min(others)
+    value = F.when(own["n"] == 1, F.lit(0.0)).otherwise((outside - inside) / F.greatest(inside, outside))
+    return points.withColumn("clusters", every.scalar()).select(value.alias("s")).agg(F.avg("s").alias("silhouette"))
 
 
 def segment_sizes(clustered: DataFrame) -> DataFrame:
