@@ -6,6 +6,11 @@ import re
 import zlib
 from collections import Counter
 
+import numpy as np
+import pandas as pd
+
+from tradeloom.llm import substring_dedup
+
 WORD = re.compile(r"[^\x20\x09-\x0D]+")
 
 
@@ -41,23 +46,68 @@ def base_spans(text):
     return [(kind, start, end) for start, _, kind, end in sorted(found)]
 
 
-def removals(rows, min_words=5):
-    first, found = {}, []
-    units = []
-    for key, text in rows:
-        at = 0
-        for line in (text or "").split("\n"):
-            spans = {(at, at + len(line))}
-            if len(line.split()) > min_words:
-                for m in re.finditer(r"[^.!?]+[.!?]*\s*|[.!?]+\s*", line):
-                    spans.add((at + m.start(), at + m.start() + len(m[0].rstrip())))
-            units += [(" ".join(text[a:b].lower().split()), key, a, b) for a, b in spans if len(text[a:b].split()) >= min_words]
-            at += len(line) + 1
-    for unit, key, a, _ in units:
-        first[unit] = min(first.get(unit, (key, a)), (key, a))
-    for unit, key, a, b in units:
-        if first[unit] != (key, a):
-            found.append((key, a, b, *first[unit]))
+def pieces(text, reach=4, long=20):
+    """(normalised text, start, end, words, whether it may go by itself) of the lines, sentences and parts of long sentences of a text."""
+    found = []
+    for line in re.finditer("[^\n]+", text):
+        words = [(line.start() + m.start(), line.start() + m.end(), m[0]) for m in WORD.finditer(line[0])]
+        sentences = [[]]
+        for word in words:
+            if sentences[-1] and sentences[-1][-1][2][-1] in ".!?":
+                sentences.append([])
+            sentences[-1].append(word)
+        for sentence in filter(None, sentences):
+            plain = [re.sub("[A-Z]", lambda m: m[0].lower(), w) for _, _, w in sentence]
+            hashes = pd.util.hash_array(np.array([w.encode() for w in plain], dtype=object), categorize=False)
+            order = substring_dedup._scrambled(hashes ^ substring_dedup._FACTORS[2]).tolist()
+            parts = [[]]
+            for i, word in enumerate(sentence):
+                parts[-1].append((word, plain[i]))
+                left, right = order[max(0, i - reach):i], order[i + 1:i + 1 + reach]
+                if len(sentence) > long and all(order[i] < x for x in left) and all(order[i] <= x for x in right) and i + 1 < len(sentence):
+                    parts.append([])
+            for part in parts:
+                alone = len(parts) == 1 and (len(part) >= 10 or (len(sentences) == 1 and len(part) >= 5))
+                found.append((" ".join(w for _, w in part), part[0][0][0], part[-1][0][1], len(part), alone))
+    return found
+
+
+def removals(rows):
+    """(row number, key, start, end, first key, first start) of the runs that go."""
+    first, cut = {}, []
+    for number, (key, text) in enumerate(rows):
+        cut.append(pieces(text or ""))
+        for piece in cut[-1]:
+            place = (key is None, key, number, piece[1])
+            first[piece[0]] = min(first.get(piece[0], place), place)
+    found = []
+    for number, (key, _) in enumerate(rows):
+        run = []
+        for piece in [*cut[number], None]:
+            if piece and first[piece[0]][2:] != (number, piece[1]):
+                run.append(piece)
+                continue
+            for part in [run] if sum(p[3] for p in run) >= 16 else [[p] for p in run if p[4]]:
+                _, origin, _, at = first[part[0][0]]
+                found.append((number, key, part[0][1], part[-1][2], origin, at))
+            run = []
+    return found
+
+
+def repeated_runs(rows, words=50):
+    """(row number, first word, last word) of the longest stretches of which all windows of so many words are in an earlier row."""
+    seen, found = set(), []
+    for number, (_, text) in enumerate(rows):
+        plain = WORD.findall((text or "").lower())
+        windows = [hash(tuple(plain[i:i + words])) for i in range(len(plain) - words + 1)]
+        start = None
+        for i, w in enumerate([*windows, None]):
+            if w in seen and start is None:
+                start = i
+            elif w not in seen and start is not None:
+                found.append((number, start, i + words - 2))
+                start = None
+        seen.update(windows)
     return found
 
 

@@ -230,8 +230,38 @@ def test_word_for_word_passages_need_no_slots(spark):
 def test_substring_removals_equal_brute_force(spark, odd, none):
     docs = spark.read.parquet(f"{SF}/documents.parquet").select("doc_id", "text")
     got = in_order(substring_dedup.removals(docs).select("doc_id", "start", "end", "first_doc_id", "first_start"))
-    assert got and got == sorted(brute.removals([tuple(r) for r in docs.collect()]), key=str)
-    assert {r.doc_id for r in substring_dedup.removals(odd).collect()} == {6} and substring_dedup.removals(none).count() == 0
+    rows = sorted((tuple(r) for r in docs.collect()), key=lambda r: r[0])
+    assert got and got == sorted((r[1:] for r in brute.removals(rows)), key=str)
+    assert in_order(substring_dedup.removals(docs, stored=True).select("doc_id", "start", "end", "first_doc_id", "first_start")) == got
+    assert {r.doc_id for r in substring_dedup.removals(odd).collect()} == {6, 7} and substring_dedup.removals(none).count() == 0
+
+
+@pytest.mark.parametrize("sf, least", [("/root/testdata/sf0.01", 0.98)])
+def test_repeats_of_fifty_words_do_not_stay(spark, sf, least):
+    rows = sorted((tuple(r) for r in spark.read.parquet(f"{sf}/documents.parquet").select("doc_id", "text").collect()), key=lambda r: r[0])
+    gone = {}
+    for r in substring_dedup.removals(spark.read.parquet(f"{sf}/documents.parquet"), stored=True).collect():
+        gone.setdefault(r.doc_id, []).append((r.start, r.end))
+    runs = brute.repeated_runs(rows)
+    hit = 0
+    for number, first, last in runs:
+        key, text = rows[number]
+        places = [m.span() for m in brute.WORD.finditer(text)][first:last + 1]
+        hit += any(a < end and start < b for a, b in gone.get(key, []) for start, end in places)
+    assert len(runs) > 100 and hit >= least * len(runs)
+
+
+def test_unique_text_stays_and_one_of_equal_rows(spark):
+    shared = "This sentence is shared by many documents and has more than ten words."
+    rows = [(7, f"Some other opening words stand right here. {shared}"), (7, f"{shared} And this one is unique to the second row.")]
+    got = sorted(r.text for r in substring_dedup.deduplicate(frame(spark, rows)).collect())
+    assert got == [" And this one is unique to the second row.", rows[0][1]]
+    equal = [(5, prose(61, 40))] * 2 + [(None, prose(61, 40))] * 3
+    assert [r.text for r in substring_dedup.deduplicate(frame(spark, equal)).collect() if r.text] == [prose(61, 40)]
+    inside = prose(62, 60)
+    long = frame(spark, [(1, f"{prose(63, 9)} {inside} {prose(64, 9)}"), (2, f"{prose(65, 12)} {inside} {prose(66, 5)}")])
+    left = {r.doc_id: len(r.text.split()) for r in substring_dedup.deduplicate(long).collect()}
+    assert left[1] == 78 and left[2] < 17 + 25
 
 
 def test_substring_removal_in_the_middle_of_a_line(spark):

@@ -116,8 +116,8 @@ def op5_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register()
 def op6_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Removed lines and sentences with the occurrence that stays."""
-    return substring_dedup.removals(table(spark, sf_dir, "documents"))
+    """Removed lines, sentences and runs of their pieces with the occurrence that stays."""
+    return substring_dedup.removals(table(spark, sf_dir, "documents"), stored=True)
 
 
 @register()
