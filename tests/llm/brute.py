@@ -46,7 +46,7 @@ def base_spans(text):
     return [(kind, start, end) for start, _, kind, end in sorted(found)]
 
 
-def pieces(text, reach=4, long=20):
+def pieces(text, reach=6, long=20):
     """(normalised text, start, end, words, whether it may go by itself) of the lines, sentences and parts of long sentences of a text."""
     found = []
     for line in re.finditer("[^\n]+", text):

@@ -26,10 +26,10 @@ from pyspark.sql import DataFrame, Window, functions as F
 from tradeloom.llm.shared import ROW, numbered
 from tradeloom.session import written
 
-REACH = 4  # words on either side of a cut
+REACH = 6  # words on either side of a cut
 LONG = 20  # words; longer sentences are cut
 LINE_WORDS, SENTENCE_WORDS, RUN_WORDS = 5, 10, 16
-PIECE_SCHEMA = f"{ROW} bigint, place int, high bigint, low bigint, start int, `end` int, n_words int, alone boolean"
+PIECE_SCHEMA = f"{ROW} bigint, id string, place int, high bigint, low bigint, start int, `end` int, n_words int, alone boolean"
 
 _SEED = np.random.default_rng(606)
 _FACTORS = _SEED.integers(1, 2**63, size=6, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -77,28 +77,32 @@ def pieces_of(text: str) -> pd.DataFrame:
                          "start": starts[begins].astype(np.int32), "end": ends[last].astype(np.int32), "n_words": n_words.astype(np.int32), "alone": alone})
 
 
-def pieces(rows: DataFrame, text: str) -> DataFrame:
-    """The pieces of all numbered rows, written once."""
+def pieces(rows: DataFrame, text: str, key: str) -> DataFrame:
+    """The pieces of all numbered rows with the row's ``id``, written once."""
+    key_type = rows.schema[key].dataType
+
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             for at in range(0, len(batch), 200):
                 part = batch.iloc[at:at + 200]
                 found = [pieces_of(value or "") for value in part["text"]]
                 whole = pd.concat(found, ignore_index=True)
-                yield whole.assign(**{ROW: np.repeat(part[ROW].values, [len(f) for f in found])})
+                sizes = [len(f) for f in found]
+                yield whole.assign(**{ROW: np.repeat(part[ROW].values, sizes), "id": np.repeat(part["id"].values, sizes)})
 
-    return written(rows.select(ROW, F.col(text).alias("text")).mapInPandas(cut, PIECE_SCHEMA), "pieces")
+    # the id as text and back: a column of numbers with nulls would reach pandas as floating point
+    found = rows.select(ROW, F.col(key).cast("string").alias("id"), F.col(text).alias("text")).mapInPandas(cut, PIECE_SCHEMA)
+    return written(found.withColumn("id", F.col("id").cast(key_type)), "pieces")
 
 
 def judged(rows: DataFrame, text: str, key: str) -> DataFrame:
     """One row per removed run: number, ``start``, ``end``, ``n_words``, number and start of the occurrence of its first piece that stays."""
-    found = pieces(rows, text)
+    found = pieces(rows, text, key)
     # ids rank rows; the numbers settle what ids leave open
-    rank = F.struct(F.col(key).isNull().alias("unknown"), F.col(key).alias("k"), F.col(ROW).alias("row"), F.col("start").alias("s"))
-    ranked = found.join(rows.select(ROW, key), ROW)
-    firsts = (ranked.groupBy("high", "low").agg(F.count(F.lit(1)).alias("times"), F.min(rank).alias("first")).where("times > 1")
+    rank = F.struct(F.col("id").isNull().alias("unknown"), "id", F.col(ROW).alias("row"), F.col("start").alias("s"))
+    firsts = (found.groupBy("high", "low").agg(F.count(F.lit(1)).alias("times"), F.min(rank).alias("first")).where("times > 1")
               .select("high", "low", F.col("first.row").alias("first_row"), F.col("first.s").alias("first_start")))
-    copies = found.join(firsts, ["high", "low"]).where((F.col(ROW) != F.col("first_row")) | (F.col("start") != F.col("first_start")))
+    copies = found.drop("id").join(firsts, ["high", "low"]).where((F.col(ROW) != F.col("first_row")) | (F.col("start") != F.col("first_start")))
     in_text = Window.partitionBy(ROW).orderBy("place")
     runs = (copies.withColumn("run", F.col("place") - F.row_number().over(in_text)).groupBy(ROW, "run")
             .agg(F.min("start").alias("start"), F.max("end").alias("end"), F.sum("n_words").alias("n_words"),
