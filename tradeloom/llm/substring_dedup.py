@@ -102,6 +102,7 @@ def judged(rows: DataFrame, text: str, key: str) -> DataFrame:
     rank = F.struct(F.col("id").isNull().alias("unknown"), "id", F.col(ROW).alias("row"), F.col("start").alias("s"))
     firsts = (found.groupBy("high", "low").agg(F.count(F.lit(1)).alias("times"), F.min(rank).alias("first")).where("times > 1")
               .select("high", "low", F.col("first.row").alias("first_row"), F.col("first.s").alias("first_start")))
+    firsts = written(firsts, "firsts")  # read anew, so that the join below has both sides shuffled for it and can split a frequent piece
     copies = found.drop("id").join(firsts, ["high", "low"]).where((F.col(ROW) != F.col("first_row")) | (F.col("start") != F.col("first_start")))
     in_text = Window.partitionBy(ROW).orderBy("place")
     runs = (copies.withColumn("run", F.col("place") - F.row_number().over(in_text)).groupBy(ROW, "run")
