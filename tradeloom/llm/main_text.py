@@ -261,9 +261,8 @@ def laid_out_anew(blocks: list[Block], labels: list[int], r: random.Random) -> t
 
 
 def fit(pages: DataFrame, most: int = FIT_PAGES) -> Labeller:
-    """Train on at most about ``most`` pages."""
-    sample = bounded_sample(pages.select("page_id").where("page_id is not null"), "page_id", most)
-    found = pages.select("page_id", "html").join(F.broadcast(sample.distinct()), "page_id").where("html is not null").toPandas()
+    """Train on at most ``most`` rows."""
+    found = bounded_sample(pages.select("page_id", "html").where("page_id is not null and html is not null"), most, "page_id", "html").toPandas()
     x, y, r = [], [], random.Random(11)
     for value in found.sort_values(["page_id", "html"]).html:
         blocks = blocks_of(value)

@@ -6,10 +6,11 @@ tables are learnt by boosting in cycles: one feature after the other, a tree of
 bins and added with a small rate; then pairs are ranked by how much a tree with a cut on each explains of what remains, and
 the best are boosted in the same way.
 
-Learnt are at most ``FIT_ROWS`` labelled rows, chosen by a hash of their key. Keys, labels and other columns are never
-features. Null text counts as empty and gets a score like any text. Without labels of both classes every score is the mean of
-the labels there are, or 0.5. Repeated rows get equal scores; labels that repeat a key each count. Null labels are ignored.
-An empty table gives no rows.
+Learnt are at most ``FIT_ROWS`` labelled rows, chosen by a hash of key and label and, where keys repeat, of what the rows hold.
+Keys, labels and other columns are never features. Null text counts as empty and gets a score like any text. Without labels of both classes every score is the mean of
+the labels there are, or 0.5. Repeated rows get equal scores; different labels of a key each count, and of rows that agree in
+key, label and features one. Null labels are ignored. A null key is in no fold: its held_out is null, and nothing is learnt
+from it. An empty table gives no rows.
 """
 
 from __future__ import annotations
@@ -160,20 +161,23 @@ def in_held_out_fold(key: str | Column) -> Column:
 
 def fit(docs: DataFrame, labels: DataFrame, text: str = "text", key: str = "doc_id", label: str = "quality",
         rows: int = FIT_ROWS) -> Model:
-    """Learn from at most about ``rows`` labelled documents outside the held-out fold."""
+    """Learn from at most ``rows`` labelled documents outside the held-out fold."""
     known = labels.select(F.col(key), F.col(label).cast("double").alias("_label")).where(
         F.col(key).isNotNull() & F.col("_label").isNotNull() & ~in_held_out_fold(key))
-    sample = bounded_sample(known, key, rows)  # bounded, so it may be broadcast and its features collected
+    sample = bounded_sample(known.distinct(), rows, key, "_label")  # bounded, so it may be broadcast
 
     def rows_of(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
             yield pd.DataFrame({"doc": batch[key], "label": batch["_label"], "x": [features(t) for t in batch["text"]]})
 
     joined = docs.select(F.col(key), F.col(text).alias("text")).join(F.broadcast(sample), key)
-    found = joined.mapInPandas(rows_of, "doc string, label double, x array<double>" if dict(docs.dtypes)[key] == "string"
-                               else "doc bigint, label double, x array<double>").toPandas().sort_values(["doc", "label"], kind="stable")
+    made = joined.mapInPandas(rows_of, "doc string, label double, x array<double>" if dict(docs.dtypes)[key] == "string"
+                              else "doc bigint, label double, x array<double>").distinct()
+    # a key may have any number of documents; the features of those beyond the bound are left where they are
+    found = made.orderBy(F.xxhash64("doc", "label", "x"), "doc", "label").limit(rows).toPandas()
     x = np.array(found.x.tolist(), dtype=float).reshape(len(found), len(FEATURES))
-    return learn(x, found.label.to_numpy())
+    order = np.lexsort((*x.T, found.label, found.doc))
+    return learn(x[order], found.label.to_numpy()[order])
 
 
 def score_of(model: Model, text: str | Column) -> Column:

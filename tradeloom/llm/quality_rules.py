@@ -112,7 +112,7 @@ def base_failed() -> Column:
 
 def estimate(docs: DataFrame, rules: list[Rule], text: str, key: str, sample_rows: int) -> list[tuple[Rule, float, float]]:
     """Each rule with the share it rejects of a sample and the seconds it takes over it, base counts excluded."""
-    counted = base_counts(bounded_sample(docs.select(key, text), key, sample_rows), text, key).cache()
+    counted = base_counts(bounded_sample(docs.select(key, text), sample_rows, key), text, key).cache()
 
     def seconds(measure: Column) -> tuple[float, tuple]:
         start = time.perf_counter()

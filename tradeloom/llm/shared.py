@@ -9,6 +9,7 @@ from tradeloom.session import tune, written
 
 TEXT_ROWS = 2_000
 ROW = "_row"  # the number of a row, in tables of the operators' own
+DRAWS = 1 << 50
 FILE_ROWS = 1 << 40  # more than any file has
 BROADCAST_FILES = 500_000  # counted; some 60 MB
 BROADCAST_NUMBERS = 2_000_000  # counted; some 32 MB
@@ -82,9 +83,14 @@ def words_of(text: Column) -> Column:
     return F.filter(F.split(text, r"[ \t\n\x0B\f\r]+"), lambda word: word != "")
 
 
-def bounded_sample(df: DataFrame, key: str, rows: int) -> DataFrame:
-    """At most about ``rows`` rows, chosen by a hash of ``key`` and so the same ones on every run."""
+def bounded_sample(df: DataFrame, rows: int, *columns: str) -> DataFrame:
+    """At most ``rows`` rows, those with the least hashes of ``columns``, the same on every run but for rows that agree in these.
+
+    Most rows are passed over where they are read; the few that may be in the sample are sorted, so that no number of rows
+    that agree in ``columns`` makes it larger."""
     total = df.count()
     if total <= rows:
         return df
-    return df.where(F.pmod(F.xxhash64(F.col(key).cast("string")), F.lit(1_000_000)) < F.lit(rows / total * 1_000_000))
+    draw = F.xxhash64(*columns)
+    near = df.where(F.pmod(draw, F.lit(DRAWS)) < F.lit(int(rows / total * DRAWS) + 1))
+    return near.orderBy(F.pmod(draw, F.lit(DRAWS)), *columns).limit(rows)
