@@ -122,13 +122,65 @@ def test_frames_are_independent():
     assert raw[entry["offset"]:entry["offset"] + entry["length"]] == b"E" * 200_000
 
 
-def test_main_text(spark):
-    own = spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "url", "html")
+@pytest.mark.parametrize("sf", ["sf0.001", "sf0.01", "sf0.1"])
+def test_main_text(spark, sf):
+    own = spark.read.parquet(f"/root/testdata/{sf}/pages.parquet").select("page_id", "url", "html")
     got = {r.page_id: r for r in main_text.extract(own).collect()}
     for r in own.collect():
         assert got[r.page_id].text == brute.article(r.html) and got[r.page_id].n_chars == len(got[r.page_id].text)
 
 
+def test_main_text_in_containers_of_any_name(spark):
+    """Names that say nothing about their blocks, on a page with a menu and a footer."""
+    model = main_text.fit(spark.read.parquet("/root/testdata/sf0.01/pages.parquet"))
+    blocks = ["The committee met on Tuesday to discuss the plans for the old harbour.", "It was raining.", "Prices rose by 3 percent last year.",
+              "Nobody knew when the ferry would come back, said the harbour master."]
+    names = ["story-wrap", "c-12", "zq", "wrapper", "lead-in", "xkcd"]
+    page = "<div class='menu'><a href=x>Home</a></div><div class='{}'>{}</div><div class='footer'>Copyright</div>"
+    rows = [(i, "u", page.format(name, "".join(f"<p>{b}</p>" for b in blocks))) for i, name in enumerate(names)]
+    assert {r.text for r in main_text.extract(pages(spark, rows), model).collect()} == {" ".join(blocks)}
+
+
+def test_blocks_are_read_to_their_end():
+    start = "word " * 60
+    assert len({main_text.vector((["p"], start + word, 0.0)).tobytes() for word in WORDS}) > 8  # of 16 slots
+
+
+def test_long_training_pages_are_learnt_to_their_end(spark, monkeypatch):
+    learnt = []
+    monkeypatch.setattr(main_text.Labeller, "train", lambda self, x, y: learnt.extend(y))
+    monkeypatch.setattr(main_text, "LAYOUTS", 0)
+    body = "<article>" + "".join(f"<p>Block {i} of it.</p>" for i in range(900)) + "</article><footer>end</footer>"
+    main_text.fit(pages(spark, [(1, "u", body)]))
+    assert sum(len(y) for y in learnt) == 901 and sum(y.sum() for y in learnt) == 900 and max(map(len, learnt)) == main_text.STRETCH
+
+
+def test_samples_are_bounded_by_rows_not_keys(spark):
+    """A key with a third of all rows, equal and different ones."""
+    rows = [(7, "same")] * 3_000 + [(7, f"text {i}") for i in range(3_000)] + [(i, f"text {i}") for i in range(8, 6_000)]
+    df = spark.createDataFrame(rows, "doc_id long, text string").repartition(7)
+    for by in (["doc_id"], ["doc_id", "text"]):
+        picked, again = (sorted(map(tuple, shared.bounded_sample(rows, 500, *by).select(*by).collect())) for rows in (df, df.repartition(3)))
+        assert 200 <= len(picked) <= 500 and picked == again  # the key with most rows is drawn as a whole or not at all
+    assert shared.bounded_sample(df, 20_000, "doc_id").count() == len(rows)
+    same = spark.createDataFrame([(7, "same")] * 5_000, "doc_id long, text string")
+    assert shared.bounded_sample(same, 100, "doc_id").count() <= 100
+
+
+def test_quality_model_learns_a_bounded_number_of_rows(spark, monkeypatch):
+    """One id holds most documents and most labels, its rows don't multiply."""
+    key = next(i for i in range(9) if zlib.crc32(str(i).encode()) % 5)
+    docs = spark.createDataFrame([(key, prose(i, 20 + i % 30)) for i in range(600)] + [(None, "x")], "doc_id long, text string")
+    labels = spark.createDataFrame([(key, 1)] * 400 + [(key, 0)] * 200 + [(None, 1), (key, None)], "doc_id long, quality int")
+    learnt, learn = [], quality_model.learn
+    monkeypatch.setattr(quality_model, "learn", lambda x, y: learnt.append((x.tolist(), y.tolist())) or learn(x, y))
+    quality_model.fit(docs, labels, rows=100)
+    quality_model.fit(docs.repartition(5), labels.repartition(3), rows=100)
+    assert len(learnt[0][1]) == 100 and set(learnt[0][1]) == {0.0, 1.0} and learnt[0] == learnt[1]
+    row = quality_model.classify(docs.where("doc_id is null"), labels).first()
+    assert row.held_out is None and 0 <= row.score <= 1
+
+
 def test_main_text_of_odd_pages(spark):
     own = spark.read.parquet(f"{SF}/pages.parquet").select("page_id", "url", "html")
     model = main_text.fit(own)

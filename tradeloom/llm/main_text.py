@@ -4,9 +4,10 @@ A page is cut into its leaf blocks of text. Every block becomes a vector: hashed
 above it, hashed words, and a few measures. A bidirectional LSTM (numpy) reads the vectors of a page in order and decides for
 each block, with the whole page as context, whether it belongs to the article.
 
-It is trained here, on at most ``FIT_PAGES`` pages of the table, chosen by a hash of page_id. Their blocks are labelled by what
-their containers mean in HTML (article and main against nav, aside, footer and the like); since a table may know few layouts,
-each page is also laid out anew, several times, in other common containers, with texts of the table.
+It is trained here, on at most ``FIT_PAGES`` rows of the table, chosen by a hash of page_id and html; long pages are learnt in
+stretches of ``STRETCH`` blocks, to their end. Their blocks are labelled by what their containers mean in HTML (article and main
+against nav, aside, footer and the like); since a table may know few layouts, each page is also laid out anew, several times, in
+other common containers and in such with names that say nothing, with texts of the table.
 
 Null html counts as empty; a page without text gives an empty string. White space inside a block becomes one space, blocks are
 joined by one space in page order; nothing is capped. Unclosed tags, comments and truncated pages are read to their end.
@@ -28,8 +29,9 @@ from pyspark.sql import DataFrame, functions as F
 
 from tradeloom.llm.shared import bounded_sample
 
-FIT_PAGES, LAYOUTS, EPOCHS, HIDDEN, RATE = 120, 3, 6, 16, 0.01
-PATH_SLOTS, WORD_SLOTS, MEASURES = 96, 16, 4
+FIT_PAGES, LAYOUTS, EPOCHS, HIDDEN, RATE = 120, 3, 10, 16, 0.01
+STRETCH = 200  # blocks that are learnt in one sequence
+PATH_SLOTS, WORD_SLOTS, MEASURES = 256, 16, 4
 WIDTH = PATH_SLOTS + WORD_SLOTS + MEASURES
 
 # HTML elements by what they do to the text.
@@ -121,8 +123,8 @@ def vector(block: Block) -> np.ndarray:
         if name not in ("html", "body"):
             v[_slot(name, PATH_SLOTS)] = 1
     words = text.split()
-    for word in words[:50]:  # the words only hint at the kind of block; its text is kept whole
-        v[PATH_SLOTS + _slot(word.lower(), WORD_SLOTS)] += 1 / min(len(words), 50)
+    slots = np.bincount([_slot(word, WORD_SLOTS) for word in text.lower().split()], minlength=WORD_SLOTS)
+    v[PATH_SLOTS:PATH_SLOTS + WORD_SLOTS] = slots / max(len(words), 1)
     v[-MEASURES:] = np.log1p(len(words)) / 5, linked, float(text[-1] in ".!?"), 1.0
     return v
 
@@ -234,7 +236,9 @@ def laid_out_anew(blocks: list[Block], labels: list[int], r: random.Random) -> t
     """The texts of a page in other containers: an article among other blocks."""
     texts = [b for b, label in zip(blocks, labels) if label] or blocks
     article, inner = r.choice(ARTICLE), r.choice([[], ["div"], ["section"], ["div", "content"]])
-    if article in ("section", "div"):  # such a container alone means nothing; the article then lies in a main element
+    if r.random() < 0.25:  # a name that says nothing
+        article, inner = "div." + "".join(r.choices("abcdefghijklmnopqrstuvwxyz", k=8)), r.choice([[], ["div"]])
+    elif article in ("section", "div"):  # such a container alone means nothing; the article then lies in a main element
         inner = [*inner, "main"]
 
     def other(where: list[str]) -> list[tuple[Block, int]]:
@@ -251,6 +255,8 @@ def laid_out_anew(blocks: list[Block], labels: list[int], r: random.Random) -> t
     for _ in range(r.randint(1, 4)):
         out += other([])
     for _, text, _ in texts:
+        if r.random() < 0.15:  # an article has short blocks as well
+            text = " ".join(text.split()[:r.choice([1, 2, 4])])
         tag = r.choice(["p", "p", "p", "p", "h1", "h2", "h3", "li", "blockquote", "td", "pre"])
         out.append((([*_container(article), *inner, *{"li": ["ul", "li"], "td": ["table", "tr", "td"]}.get(tag, [tag])], text, 0.0), 1))
         if r.random() < 0.15:
@@ -271,9 +277,9 @@ def fit(pages: DataFrame, most: int = FIT_PAGES) -> Labeller:
         labels = [weak_label(names) for names, _, _ in blocks]
         known = [(blocks, labels)] if any(labels) else []
         for b, labelled in known + [laid_out_anew(blocks, labels, r) for _ in range(LAYOUTS)]:
-            b, labelled = b[:200], labelled[:200]  # of a training page only; steps of a sequence
-            x.append(np.stack([vector(block) for block in b]))
-            y.append(np.array(labelled, float))
+            for at in range(0, len(b), STRETCH):
+                x.append(np.stack([vector(block) for block in b[at:at + STRETCH]]))
+                y.append(np.array(labelled[at:at + STRETCH], float))
     model = Labeller()
     if x:
         model.train(x, y)
