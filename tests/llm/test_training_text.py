@@ -480,6 +480,30 @@ def test_joined_pieces_of_unsplit_text():
         assert tree_bpe.summary(path, array.array("I", tree_bpe.join_all(path, pieces)).tobytes()) == expected
 
 
+def test_halves_of_text_with_breaks():
+    r, path = random.Random(7), queries.tokenizer_path()
+    words = ["the", "Straße", "don't", "e\u0301", "\u0301", "12,5", "\t", "\x0b", "<|endoftext|>", "a<|endoftext|>b", "😀😀", "", "x" * 90, "ß" * 300]
+    texts = [r.choice([" ", "\n", "  "]).join(r.choice(words[:r.randint(2, len(words))]) for _ in range(r.randint(0, 200))) for _ in range(150)]
+    texts += ["", " " * 5000, "\n" * 3000, "ab" * 4000, "word " * 1000 + "ab" * 3000 + " word" * 1000, " " + "y" * 2500]
+    expected = [library(text) for text in texts]
+    for most in (40, 300, tree_bpe.LEAF_CHARS):
+        assert [tree_bpe.summary(path, ids) for ids in tree_bpe.encode_halves(path, texts, most)] == expected
+    assert all(len(word) <= tree_bpe.WORD_CHARS for word in tree_bpe.tokenizer_of(path)[1][0])
+
+
+def test_windows_grow_until_both_sides_agree(monkeypatch):
+    path, text, reaches = queries.tokenizer_path(), "Some words " + " " * 3000 + "and some more words " * 200, []
+    window = tree_bpe._window
+    monkeypatch.setattr(tree_bpe, "_window", lambda left, right, reach: reaches.append(reach) or window(left, right, reach))
+    assert tree_bpe.summary(path, tree_bpe.encode_halves(path, [text], 1500)[0]) == library(text)
+    assert max(reaches) > tree_bpe.WINDOW_CHARS
+    # ids that don't agree with the window are never taken over
+    left, right = "one two three four five six seven " * 20, "eight nine ten eleven twelve " * 20
+    (wrong,), (fine,) = tree_bpe.encode_texts(path, [left.replace("seven", "zebra")]), tree_bpe.encode_texts(path, [right])
+    ((both, ids),) = tree_bpe.join_texts(path, [((left, wrong), (right, fine))])
+    assert both == left + right and tree_bpe.summary(path, ids) == library(both)
+
+
 def test_chat_round_trip(spark):
     r, bits = random.Random(4), ["### ", "</turn>", "\\", "#", "<", "/turn>", "\n", " ", ": ", "user", "ok", "## ", "é😀"]
     rows = [(c, t, r.choice(["user", "assistant", "a: b", "### x", None]), None if r.random() < 0.1 else "".join(r.choice(bits) for _ in range(r.randint(0, 25))))

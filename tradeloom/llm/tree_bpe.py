@@ -1,12 +1,16 @@
 """BPE encoding of long texts by tree concatenation, and decoding.
 
-Short texts are encoded as they are: words between plain white space are independent of each other, so each different word
-is encoded once per batch. A text of more than ``PIECE_CHARS`` is halved until its pieces are short; the pieces are rows of
-their own and are encoded in parallel, wherever the cut fell. Pieces are joined two by two, level by level: a window around
-the join is encoded anew, and the join holds if a run of tokens of the window agrees exactly, in id and place, with the left
-piece and another with the right piece. A pair of neighbouring tokens of a BPE encoding stays valid whatever surrounds it,
-so the joined sequence is then the encoding of the joined text. If a side doesn't agree, the window grows, at last to both
-pieces.
+A text of more than ``LEAF_CHARS`` is halved until its pieces are short, wherever the cut falls, and the pieces are encoded by
+themselves. They are joined two by two, level by level: a window around the join is encoded anew, and the join holds if a run
+of tokens of the window agrees exactly, in id and place, with the left piece and another with the right piece. If a side
+doesn't agree, the window grows, at last to both pieces.
+
+Words between plain white space are independent of each other, so each different word is encoded once, in pieces and in
+windows alike. Windows begin and end at such breaks, the joins of all texts of a batch are made together, and the place of a
+token is counted from the window's end of its piece. Where a piece has no break at all, tokens carry their offsets and windows
+begin and end anywhere: a pair of neighbouring tokens of a BPE encoding stays valid whatever surrounds it, so the joined
+sequence is the encoding of the joined text. Pieces of texts of more than ``PIECE_CHARS`` are rows of their own, encoded in
+parallel by any task, and joined in the same way.
 
 Null text counts as empty; empty text has no tokens. Rows are treated one by one: repeated rows get equal results, a null
 doc_id is carried, and columns other than the two named are never read. An empty table gives no rows. The pieces of one long
@@ -24,8 +28,10 @@ from collections.abc import Iterator
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
 
-PIECE_CHARS = 65_536  # longer texts are encoded in pieces
+LEAF_CHARS = 2_048  # longer texts are encoded in halves
+PIECE_CHARS = 65_536  # the halves of longer texts go to tasks of their own
 WINDOW_CHARS, AGREEING = 64, 4
+WORD_CHARS = 256  # longer words are not remembered
 KNOWN_WORDS = 300_000  # words of a generation; a task remembers two, some 130 MB
 TOGETHER = 200  # new words encoded in one call
 
@@ -74,7 +80,11 @@ def encode_texts(path: str, texts: list[str]) -> list[bytes]:
     missing = {w for words in split for w in words if w not in known}
     known.update({w: earlier[w] for w in missing if w in earlier})
     _learn_words(tokenizer, known, [w for w in missing if w not in earlier])
-    return [b"".join([known[w] for w in words]) for words in split]
+    packed = [b"".join([known[w] for w in words]) for words in split]
+    for word in missing:
+        if len(word) > WORD_CHARS:
+            del known[word]
+    return packed
 
 
 def decode_ids(path: str, ids: list[int]) -> str:
@@ -157,6 +167,55 @@ def summary(path: str, packed: bytes) -> tuple[int, str, str]:
     return len(ids), hashlib.sha256(packed).hexdigest(), hashlib.sha256(decoded.encode()).hexdigest()
 
 
+def _window(left: str, right: str, reach: int) -> tuple[int, int]:
+    """Where a window of whole words begins in the left text and ends in the right one, ``reach`` or more from the join."""
+    far = max(0, len(left) - reach)
+    low = max(left.rfind(" ", 0, far), left.rfind("\n", 0, far)) + 1
+    return low, min((at for at in (right.find(" ", reach), right.find("\n", reach)) if at >= 0), default=len(right))
+
+
+def join_texts(path: str, pairs: list[tuple[tuple[str, bytes], tuple[str, bytes]]]) -> list[tuple[str, bytes]]:
+    """Text and ids of each pair of neighbours with their ids, joined at windows of whole words."""
+    joined: list = [None] * len(pairs)
+    apart, reach, run = list(range(len(pairs))), WINDOW_CHARS, 4 * AGREEING
+    while apart:
+        reaches = [_window(pairs[i][0][0], pairs[i][1][0], reach) for i in apart]
+        stretches = []
+        for i, (low, high) in zip(apart, reaches):
+            tail, head = pairs[i][0][0][low:], pairs[i][1][0][:high]
+            stretches += [tail, tail + head, head]
+        ids = encode_texts(path, stretches)
+        still = []
+        for at, (i, (low, high)) in enumerate(zip(apart, reaches)):
+            (left, left_ids), (right, right_ids) = pairs[i]
+            before, window, after = ids[3 * at:3 * at + 3]
+            begins, ends = low > 0, high < len(right)
+            holds = (len(window) >= run * (begins + ends)
+                     and (not begins or len(before) >= run and left_ids.endswith(before) and window[:run] == before[:run])
+                     and (not ends or len(after) >= run and right_ids.startswith(after) and window[-run:] == after[-run:]))
+            if holds:
+                joined[i] = (left + right, (left_ids[:len(left_ids) - len(before)] if begins else b"") + window
+                             + (right_ids[len(after):] if ends else b""))
+            else:
+                still.append(i)
+        apart, reach = still, 2 * reach
+    return joined
+
+
+def encode_halves(path: str, texts: list[str], most: int = LEAF_CHARS) -> list[bytes]:
+    """The ids of each text as 32-bit numbers; texts of more than ``most`` code points are encoded in halves and joined."""
+    cut = [[leaf for _, leaf in halves(text, most)] for text in texts]
+    unsplit = {n for n, leaves in enumerate(cut) if len(leaves) > 1 and not all(" " in leaf or "\n" in leaf for leaf in leaves)}
+    encoded = iter(encode_texts(path, [leaf for n, leaves in enumerate(cut) if n not in unsplit for leaf in leaves]))
+    nodes = [[] if n in unsplit else [(leaf, next(encoded)) for leaf in leaves] for n, leaves in enumerate(cut)]
+    while any(len(row) > 1 for row in nodes):
+        pairs = [(row[i], row[i + 1]) for row in nodes for i in range(0, len(row) - 1, 2)]
+        joined = iter(join_texts(path, pairs))
+        nodes = [[next(joined) if i + 1 < len(row) else row[i] for i in range(0, len(row), 2)] for row in nodes]
+    return [row[0][1] if row else array("I", join_all(path, [encode_piece(path, *piece) for piece in halves(text, most)])).tobytes()
+            for row, text in zip(nodes, texts)]
+
+
 RESULT = "n_tokens bigint, ids_sha256 string, decoded_sha256 string"
 
 
@@ -171,7 +230,7 @@ def digest(docs: DataFrame, path: str, text: str = "text", key: str = "doc_id",
         for batch in batches:
             for at in range(0, len(batch), 256):
                 part = batch.iloc[at:at + 256]
-                found = encode_texts(path, part.text.tolist())
+                found = encode_halves(path, part.text.tolist())
                 yield pd.DataFrame([(k, *summary(path, packed)) for k, packed in zip(part[key], found)], columns=columns)
 
     def cut(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
