@@ -2,6 +2,7 @@
 and against brute force."""
 
 import array
+import functools
 import hashlib
 import random
 import re
@@ -453,10 +454,15 @@ def test_registers_estimate_similarity():
         assert abs(got - true) < 0.12
 
 
-def library(text):
+@functools.cache
+def library_tokenizer():
     from tokenizers import Tokenizer
 
-    tokenizer = Tokenizer.from_file(queries.tokenizer_path())
+    return Tokenizer.from_file(queries.tokenizer_path())
+
+
+def library(text):
+    tokenizer = library_tokenizer()
     ids = tokenizer.encode(text or "", add_special_tokens=False).ids
     return (len(ids), hashlib.sha256(array.array("I", ids).tobytes()).hexdigest(),
             hashlib.sha256(tokenizer.decode(ids, skip_special_tokens=False).encode()).hexdigest())
