@@ -8,7 +8,7 @@ from pathlib import Path
 from pyspark.sql import functions as F
 
 from tradeloom.operators import quality
-from tradeloom.session import build_session
+from tradeloom.session import SPLIT, SPLIT_BYTES, build_session, tune
 from tradeloom.sources import files
 
 
@@ -46,3 +46,19 @@ def test_many_folders_are_written_whole(spark, folder, rows):
     many = spark.range(0, 600, 1, 3).withColumn("part", F.concat(F.lit("p"), F.col("id") % 7))
     files.write_results(many, f"{folder}/many", partition_by=["part"])
     assert rows(spark.read.parquet(f"{folder}/many"), "id", "part") == rows(many)
+
+
+def test_a_task_reads_a_bounded_part_of_a_file(spark, folder):
+    with open(f"{folder}/lines", "w") as out:
+        out.writelines("x" * 1023 + "\n" for _ in range(SPLIT_BYTES // 1024 * 3 // 2))
+    before = spark.conf.get(SPLIT)
+    spark.conf.set("spark.sql.files.minPartitionNum", "1")
+    try:
+        for given, kept in (("128m", str(SPLIT_BYTES)), ("1g", str(SPLIT_BYTES)), ("134217728b", str(SPLIT_BYTES)), ("4MB", "4MB")):
+            spark.conf.set(SPLIT, given)
+            assert tune(spark).conf.get(SPLIT) == kept
+        spark.conf.set(SPLIT, "128m")
+        assert tune(spark).read.text(f"{folder}/lines").rdd.getNumPartitions() > 1
+    finally:
+        spark.conf.set(SPLIT, before)
+        spark.conf.unset("spark.sql.files.minPartitionNum")
