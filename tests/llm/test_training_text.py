@@ -552,3 +552,26 @@ def test_pipeline_stages_on_odd_rows(spark, odd, none, stage):
     out = stage[1](spark, odd.drop("h"), SF)
     assert out.columns == odd.drop("h").columns and out.count() <= 12
     assert stage[1](spark, none, SF).count() == 0
+
+
+def test_plain_words_are_encoded_in_one_call_without_special_tokens():
+    path, seen, r = queries.tokenizer_path(), [], random.Random(5)
+    tokenizer, _, _, sizes = tree_bpe.tokenizer_of(path)
+
+    class Watched:
+        def __getattr__(self, name):
+            return getattr(tokenizer, name)
+
+        def encode_batch_fast(self, texts, **more):
+            seen.extend(texts)
+            return tokenizer.encode_batch_fast(texts, **more)
+
+    plain = list({"".join(r.choices("abzAZ019.,!'$&~éÀÿßÆ×", k=r.randint(1, 12))) for _ in range(900)}) + ["x's", "a" * 300, "--", "jekyll"]
+    odd = ["<|endoftext|>", "a<b", "\u0130x", "e\u0301", "x\u00a0y", "\u4e2d\u6587", "a\tb", "\u1e9e", "\U0001f600", "\u00aa\u00b5", "\x00a"]
+    known = {}
+    tree_bpe._learn_words(Watched(), sizes, known, plain + odd)
+    assert {w: list(array.array("I", known[w])) for w in plain + odd} == {
+        w: tokenizer.encode(w, add_special_tokens=False).ids for w in plain + odd}
+    assert not [text for text in seen if "<|" in text and any(word in text.split(" ") for word in plain)]
+    # a call whose words don't end where their bytes do is left to the other way
+    assert tree_bpe._learn_plain(tokenizer, [2] * len(sizes), {}, ["one", "two"]) == ["one", "two"]

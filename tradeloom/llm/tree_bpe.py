@@ -21,9 +21,11 @@ from __future__ import annotations
 
 import hashlib
 import os
+import re
 import sys
 from array import array
 from collections.abc import Iterator
+from itertools import accumulate, chain
 
 import pandas as pd
 from pyspark.sql import DataFrame, functions as F
@@ -34,12 +36,13 @@ WINDOW_CHARS, AGREEING = 64, 4
 WORD_CHARS = 256  # longer words are not remembered
 KNOWN_WORDS = 300_000  # words of a generation; a task remembers two, some 130 MB
 TOGETHER = 200  # new words encoded in one call
+PLAIN_WORD = re.compile(r"[!-;=-~\u00C0-\u00FF]+")  # characters that composing and lower-casing leave as many bytes; no "<"
 
 _loaded: dict = {}
 
 
 def tokenizer_of(path: str):
-    """The tokenizer of a file, two generations of encoded words and its tokens by id, loaded once per process."""
+    """The tokenizer of a file, two generations of encoded words, its tokens by id and their sizes, loaded once per process."""
     if path not in _loaded:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark's tasks use the cores
         from tokenizers import Tokenizer
@@ -48,18 +51,52 @@ def tokenizer_of(path: str):
         tokenizer.no_truncation()
         tokenizer.no_padding()
         most = max(tokenizer.get_vocab().values(), default=-1)
-        _loaded[path] = (tokenizer, ({}, {}), [tokenizer.id_to_token(i) for i in range(most + 1)])
+        tokens = [tokenizer.id_to_token(i) for i in range(most + 1)]
+        _loaded[path] = (tokenizer, ({}, {}), tokens, _sizes(tokenizer, tokens))
     return _loaded[path]
 
 
-def _learn_words(tokenizer, known: dict, new: list[str]) -> None:
-    """Encode new words, many in one call with a special token between them; words with such strings are encoded alone."""
+def _sizes(tokenizer, tokens: list[str]) -> list[int] | None:
+    """The bytes of text that each token stands for; None if the characters of plain words don't keep their number of bytes."""
+    suffix = getattr(tokenizer.model, "end_of_word_suffix", None) or ""
+    sizes = [len((token or "").removesuffix(suffix)) for token in tokens]
+    for one in filter(PLAIN_WORD.fullmatch, map(chr, range(256))):
+        ids = tokenizer.encode(f"{one}{one} {one}", add_special_tokens=False).ids
+        if sum(sizes[i] for i in ids) != 3 * len(one.encode()):
+            return None
+    return sizes
+
+
+def _learn_plain(tokenizer, sizes: list[int], known: dict, new: list[str]) -> list[str]:
+    """Encode plain words, many in one call; each ends with the token that completes its bytes. Returns the words of calls where one doesn't."""
+    left = []
+    for at in range(0, len(new), TOGETHER):
+        group = new[at:at + TOGETHER]
+        ids = tokenizer.encode_batch_fast([" ".join(group)], add_special_tokens=False)[0].ids
+        tokens_at = {size: n for n, size in enumerate(accumulate(map(sizes.__getitem__, ids)), 1)}
+        ends = [tokens_at.get(size) for size in accumulate(len(word.encode()) for word in group)]
+        if None in ends or ends[-1] != len(ids):
+            left += group
+            continue
+        packed, begin = array("I", ids).tobytes(), 0
+        for word, end in zip(group, ends):
+            known[word] = packed[4 * begin:4 * end]
+            begin = end
+    return left
+
+
+def _learn_words(tokenizer, sizes: list[int] | None, known: dict, new: list[str]) -> None:
+    """Encode new words. Those of plain characters go together as they are, others with a special token between them, and words with
+    such strings alone."""
+    if sizes:
+        plain = [w for w in new if PLAIN_WORD.fullmatch(w)]
+        new = [w for w in new if not PLAIN_WORD.fullmatch(w)] + _learn_plain(tokenizer, sizes, known, plain)
     mark, between = next(((i, f" {t.content} ") for i, t in sorted(tokenizer.get_added_tokens_decoder().items()) if t.special), (None, ""))
     alone = [w for w in new if mark is None or "<" in w]
     joint = [w for w in new if mark is not None and "<" not in w]
     for at in range(0, len(joint), TOGETHER):
         group = joint[at:at + TOGETHER]
-        ids = tokenizer.encode(between.join(group), add_special_tokens=False).ids
+        ids = tokenizer.encode_batch_fast([between.join(group)], add_special_tokens=False)[0].ids
         begin = 0
         for word in group:
             end = ids.index(mark, begin) if word is not group[-1] else len(ids)
@@ -71,16 +108,16 @@ def _learn_words(tokenizer, known: dict, new: list[str]) -> None:
 
 def encode_texts(path: str, texts: list[str]) -> list[bytes]:
     """The ids of each text as 32-bit numbers, encoding each different word once."""
-    tokenizer, (known, earlier), _ = tokenizer_of(path)
+    tokenizer, (known, earlier), _, sizes = tokenizer_of(path)
     split = [[w for w in t.replace("\n", " ").split(" ") if w] for t in texts]
     if len(known) > KNOWN_WORDS:  # words that were used since the last time stay known
         earlier.clear()
         earlier.update(known)
         known.clear()
-    missing = {w for words in split for w in words if w not in known}
+    missing = set(chain.from_iterable(split)).difference(known)
     known.update({w: earlier[w] for w in missing if w in earlier})
-    _learn_words(tokenizer, known, [w for w in missing if w not in earlier])
-    packed = [b"".join([known[w] for w in words]) for words in split]
+    _learn_words(tokenizer, sizes, known, [w for w in missing if w not in earlier])
+    packed = [b"".join(map(known.__getitem__, words)) for words in split]
     for word in missing:
         if len(word) > WORD_CHARS:
             del known[word]
@@ -89,7 +126,7 @@ def encode_texts(path: str, texts: list[str]) -> list[bytes]:
 
 def decode_ids(path: str, ids: list[int]) -> str:
     """The text of ids, special tokens included; without a decoder that is the tokens joined by spaces."""
-    tokenizer, _, tokens = tokenizer_of(path)
+    tokenizer, _, tokens, _ = tokenizer_of(path)
     return " ".join([tokens[i] for i in ids]) if tokenizer.decoder is None else tokenizer.decode(ids, skip_special_tokens=False)
 
 
