@@ -12,10 +12,13 @@ from tradeloom.operators import quality
 from tradeloom.operators.ordering import sort_names
 from tradeloom.plans import daily_run, increments, silver
 from tradeloom.schemas import CLICKS_RAW, ORDERS_RAW, PRODUCTS_RAW, USERS_RAW
-from tradeloom.session import scratch_path
+from tradeloom.session import scratch_path, shuffles_dropped
+from tradeloom.sources import paths
 from tradeloom.sources.files import CORRUPT
 
 BATCH = "2024-05-01T10"
+# a quarter of the bytes; packed files can't be split, so there are more of them
+PACKED = {"compression": "gzip", "zlib.compress.level": "BEST_SPEED", "maxRecordsPerFile": 1_000_000}
 SCHEMAS = {"users": USERS_RAW, "products": PRODUCTS_RAW, "orders": ORDERS_RAW, "clickstream": CLICKS_RAW}
 
 
@@ -33,7 +36,7 @@ def _orders(spark: SparkSession, d: str) -> DataFrame:
 
 
 def _raw_files(spark: SparkSession, d: str) -> daily_run.Tables:
-    """Whole tables as raw files: CSV with a header, clicks as JSON lines. Damaged lines lack columns, have too many, or break off."""
+    """Whole tables as raw files, landed one by one: CSV with a header, clicks as JSON lines. Damaged lines lack columns, have too many, or break off."""
     tables = daily_run.Tables(spark, scratch_path(spark, "raw-files"))
     people, things = users(spark, d), products(spark, d)
     good = {"users": people.withColumns({"email": F.trim("email"), "signup_date": F.date_add(
@@ -47,13 +50,15 @@ def _raw_files(spark: SparkSession, d: str) -> daily_run.Tables:
                    F.concat(F.lit('{"event_id": "'), F.col("event_id").cast("string"), F.lit('", "session_id":')).alias("value"))}
     for name in SCHEMAS:
         path, lines = tables.path("raw", name), _as_text(good[name], name)
-        if name == "clickstream":
-            lines.write.json(path)
-            damaged[name].write.mode("append").text(path)
-        else:
-            lines.write.option("header", True).csv(path)
-            damaged[name].write.mode("append").option("header", True).csv(path)
-    daily_run.to_bronze(tables, BATCH)
+        with shuffles_dropped(spark):
+            if name == "clickstream":
+                lines.write.options(**PACKED).json(path)
+                damaged[name].write.mode("append").options(**PACKED).text(path)
+            else:
+                lines.write.options(header=True, **PACKED).csv(path)
+                damaged[name].write.mode("append").options(header=True, **PACKED).csv(path)
+        daily_run.land(tables, name, BATCH)
+        paths.remove(spark, path)  # all of it has landed
     return tables
 
 
@@ -105,9 +110,11 @@ def landing_report(spark, d):
     """Where every landed line went: each is accepted, rejected or the older copy of another."""
     tables, checked = _raw_files(spark, d), {}
     for name, clean in daily_run.DIMENSIONS.items():
-        checked[name] = quality.land_split(clean(tables.arrived(name, BATCH)), tables.path("checked", name))
-    for name, (clean, *_) in daily_run.FACTS.items():
-        checked[name] = quality.land_split(clean(tables.arrived(name, BATCH), checked["users"][0], checked["products"][0]), tables.path("checked", name))
+        parts = silver.by_key(tables.arrived(name, BATCH), [f"{name[:-1]}_id"])
+        checked[name] = quality.land_split((clean(part) for part in parts), tables.path("checked", name))
+    for name, (clean, key, _) in daily_run.FACTS.items():
+        parts = silver.by_key(tables.arrived(name, BATCH), [key])
+        checked[name] = quality.land_split((clean(part, checked["users"][0], checked["products"][0]) for part in parts), tables.path("checked", name))
     report = None
     for name, (good, bad) in checked.items():
         counts = (tables.arrived(name, BATCH).agg(F.count(F.lit(1)).alias("landed")).withColumn("source", F.lit(name))

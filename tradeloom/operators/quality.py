@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
 from tradeloom.operators.joins import lookup_join
+from tradeloom.session import shuffles_dropped
 
 REASONS = "_reject_reasons"
 
@@ -52,14 +53,19 @@ def tag_unknown(fact: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
     return tag_rows(marked, {f"unknown_{key}": F.col("_known")}).drop("_known")
 
 
-def land_split(tagged: DataFrame, path: str, mode: str = "overwrite") -> tuple[DataFrame, DataFrame]:
+def land_split(tagged: DataFrame | Iterable[DataFrame], path: str, mode: str = "overwrite") -> tuple[DataFrame, DataFrame]:
     """Write a tagged table once, split by folder, and return (good, rejected) reads of it.
 
-    The expensive work above the split runs one time; each reader opens only its folder.
+    The expensive work above the split runs one time; each reader opens only its folder. Of a table given in parts, one is
+    written after the other, and the shuffle files of a part go before the next one starts.
     """
     side = F.when(F.size(REASONS) == 0, F.lit("accepted")).otherwise(F.lit("rejected"))
-    tagged.withColumn("_side", side).write.mode(mode).partitionBy("_side").parquet(path)
-    return read_split(tagged.sparkSession, path)
+    for part in [tagged] if isinstance(tagged, DataFrame) else tagged:
+        spark = part.sparkSession
+        with shuffles_dropped(spark):
+            part.withColumn("_side", side).write.mode(mode).option("compression", "zstd").partitionBy("_side").parquet(path)
+        mode = "append"
+    return read_split(spark, path)
 
 
 def read_split(spark: SparkSession, path: str) -> tuple[DataFrame, DataFrame]:

@@ -66,14 +66,15 @@ class Tables:
         return increments.read_sides(self.spark, self.path("silver", name))[1]
 
 
+def land(tables: Tables, name: str, batch_id: str) -> int:
+    """Append the raw files of one table as they are; returns the rows landed."""
+    read = files.read_json if name == "clickstream" else files.read_csv
+    return files.ingest(read(tables.spark, tables.path("raw", name), RAW[name]), tables.path("bronze", name), batch_id)
+
+
 def to_bronze(tables: Tables, batch_id: str) -> dict[str, int]:
     """Append the raw files as they are; returns the rows landed per table."""
-    landed = {}
-    for name, schema in RAW.items():
-        source = tables.path("raw", name)
-        read = files.read_json if name == "clickstream" else files.read_csv
-        landed[name] = files.ingest(read(tables.spark, source, schema), tables.path("bronze", name), batch_id)
-    return landed
+    return {name: land(tables, name, batch_id) for name in RAW}
 
 
 def to_silver(tables: Tables, batch_id: str) -> None:

@@ -6,7 +6,7 @@ Every function returns the table with a ``_reject_reasons`` column; ``quality.ac
 
 from __future__ import annotations
 
-from collections.abc import Sequence
+from collections.abc import Iterator, Sequence
 from functools import reduce
 from operator import and_
 
@@ -15,6 +15,7 @@ from pyspark.sql import Column, DataFrame, functions as F
 from tradeloom.functions.columns import (as_date, as_discount, as_int, as_money, as_timestamp, clean_email,
                                          clean_label, net_amount)
 from tradeloom.operators.dedup import dedup_latest
+from tradeloom.operators.joins import input_bytes
 from tradeloom.operators.ordering import sort_names
 from tradeloom.operators.quality import REASONS, tag_rows, tag_unknown
 from tradeloom.sources.files import CORRUPT
@@ -22,6 +23,7 @@ from tradeloom.sources.files import CORRUPT
 NEWEST = ("_ingested_at desc",)
 MALFORMED = "malformed"  # the reason of lines that don't fit their file's columns
 _ALONE = "_alone"
+PARTS, PART_BYTES = 4, 16 * 1024 * 1024  # a table is cleaned in so many parts at most; file bytes of a part of smaller tables
 ORIGIN = (CORRUPT, "_source_file")  # what a rejected row needs to be looked up: its raw text and its file
 
 
@@ -37,11 +39,27 @@ def one_per_key(raw: DataFrame, keys: Sequence[str], order: Sequence[str] = NEWE
     the checks to reject. A number of its own makes each of them a group of the same window, so the input is read once.
     """
     used = {*sort_names(order), *keys}
-    keyed = reduce(and_, [F.col(key).isNotNull() for key in keys], readable(raw))
-    alone = raw.withColumn(_ALONE, F.when(~keyed, F.monotonically_increasing_id()))
+    alone = raw.withColumn(_ALONE, F.when(~_keyed(raw, keys), F.monotonically_increasing_id()))
     return dedup_latest(alone, [*keys, _ALONE], order, tiebreak or [c for c in raw.columns if c not in used]).drop(_ALONE)
 
 
+def by_key(raw: DataFrame, keys: Sequence[str]) -> Iterator[DataFrame]:
+    """The table in parts that hold all rows of their keys, to be cleaned one after the other.
+
+    Cleaning shuffles whole rows up to three times, and all of that lies on disk until a write is done; in parts it is a
+    quarter, for reading the table four times. Rows that are copies of nothing are dealt by all their values. The table must
+    give the same rows whenever it is read.
+    """
+    parts = max(1, min(PARTS, -(-input_bytes(raw) // PART_BYTES)))
+    dealt = F.when(_keyed(raw, keys), F.xxhash64(*keys)).otherwise(F.xxhash64(*raw.columns))
+    for part in range(parts):
+        yield raw if parts == 1 else raw.filter(F.pmod(dealt, F.lit(parts)) == part)
+
+
+def _keyed(raw: DataFrame, keys: Sequence[str]) -> Column:
+    return reduce(and_, [F.col(key).isNotNull() for key in keys], readable(raw))
+
+
 def readable(raw: DataFrame) -> Column:
     """Whether the row's line was read whole; files are the only source of lines that are not."""
     return F.col(CORRUPT).isNull() if CORRUPT in raw.columns else F.lit(True)

@@ -78,7 +78,7 @@ def ingest(df: DataFrame, path: str, batch_id: str) -> int:
     seen = Observation()
     (with_provenance(df).withColumn("_batch_id", F.lit(batch_id))
      .observe(seen, F.count(F.lit(1)).alias("rows"))
-     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+     .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").option("compression", "zstd")
      .partitionBy("_batch_id").parquet(path))
     return seen.get["rows"]
 
