@@ -113,8 +113,9 @@ def landing_report(spark, d):
         parts = silver.by_key(tables.arrived(name, BATCH), [f"{name[:-1]}_id"])
         checked[name] = quality.land_split((clean(part) for part in parts), tables.path("checked", name))
     for name, (clean, key, _) in daily_run.FACTS.items():
-        parts = silver.by_key(tables.arrived(name, BATCH), [key])
-        checked[name] = quality.land_split((clean(part, checked["users"][0], checked["products"][0]) for part in parts), tables.path("checked", name))
+        arrived = tables.arrived(name, BATCH)
+        known = [quality.narrowed(checked[d][0], arrived, f"{d[:-1]}_id") for d in daily_run.DIMENSIONS]
+        checked[name] = quality.land_split((clean(part, *known) for part in silver.by_key(arrived, [key])), tables.path("checked", name))
     report = None
     for name, (good, bad) in checked.items():
         counts = (tables.arrived(name, BATCH).agg(F.count(F.lit(1)).alias("landed")).withColumn("source", F.lit(name))

@@ -5,10 +5,11 @@ import sys
 import time
 from pathlib import Path
 
+import pytest
 from pyspark.sql import functions as F
 
 from registry import landing
-from tradeloom.operators import quality
+from tradeloom.operators import joins, layout, quality
 from tradeloom.plans import silver
 from tradeloom.session import SHUFFLES_GO, build_session
 from tradeloom.sources.files import CORRUPT
@@ -88,3 +89,34 @@ def test_raw_files_go_when_they_have_landed(spark):
     for name in landing.SCHEMAS:
         assert not Path(tables.path("raw", name)).exists()
         assert tables.arrived(name, landing.BATCH).count() > 0
+
+
+def facts_and_users(spark, folder, users):
+    spark.createDataFrame([("1", 10), ("2", 20), ("2", 21), ("8", 30), ("9", 31), (None, 40)], "user_id string, amount int").write.parquet(f"{folder}/facts")
+    return spark.read.parquet(f"{folder}/facts"), spark.createDataFrame([(u, "x") for u in users], "user_id string, name string")
+
+
+@pytest.mark.parametrize("users,unknown", [(["1", "2", "3", "3", None], ["8", "9", None]), (["1", "2", "8", "9"], [None]), (["7"], ["1", "2", "2", "8", "9", None])])
+@pytest.mark.parametrize("fits", [(True,), (False, True), (False, False)])
+def test_a_large_dimension_gives_way_to_the_keys_it_lacks(spark, folder, rows, monkeypatch, fits, users, unknown):
+    facts, known = facts_and_users(spark, folder, users)
+    answers = iter(fits)
+    monkeypatch.setattr(quality, "broadcastable", lambda table: next(answers))
+    dimension = quality.narrowed(known, facts, "user_id")
+    assert (dimension is known) == (fits != (False, True))
+    tagged = quality.tag_unknown(facts.where("amount < 100"), dimension, "user_id")
+    assert rows(tagged, "user_id", "amount") == rows(facts)
+    assert rows(quality.rejected(tagged), "user_id") == [(u,) for u in unknown]
+    assert tagged.columns == ["user_id", "amount", quality.REASONS]
+
+
+def test_facts_are_not_shuffled_to_look_up_many_keys(spark, folder, monkeypatch):
+    facts, known = facts_and_users(spark, folder, ["1", "2"])
+    monkeypatch.setattr(joins.broadcastable, "__defaults__", (20,))  # bytes: the two users do not fit, nor do two lacking keys
+    monkeypatch.setattr(joins.lookup_join, "__defaults__", ("inner", 20))
+    assert quality.narrowed(known, facts, "user_id") is known
+    most = spark.createDataFrame([(u, "x") for u in "1289"], "user_id string, name string")
+    lacked = quality.narrowed(most, facts, "user_id")
+    plan = layout.plan_text(quality.tag_unknown(facts, lacked, "user_id"), "simple")
+    assert "BroadcastHashJoin" in plan and "hashpartitioning" not in plan
+    assert "hashpartitioning" in layout.plan_text(quality.tag_unknown(facts, most, "user_id"), "simple")

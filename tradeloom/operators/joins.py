@@ -46,6 +46,14 @@ def input_bytes(df: DataFrame) -> int:
     return sum(int(leaves.apply(i).stats().sizeInBytes()) for i in range(leaves.size()))
 
 
+def broadcastable(dimension: DataFrame, max_broadcast_bytes: int = BROADCAST_BYTES) -> bool:
+    """Whether :func:`lookup_join` would broadcast the table."""
+    if input_bytes(dimension) > FAR_BEYOND * max_broadcast_bytes:
+        return False
+    size = measured_bytes(dimension)
+    return size is not None and size <= max_broadcast_bytes
+
+
 def lookup_join(fact: DataFrame, dimension: DataFrame, on: Sequence[str], how: str = "inner",
                 max_broadcast_bytes: int = BROADCAST_BYTES) -> DataFrame:
     """Join facts with a dimension of unknown size (inner, left, left_semi or left_anti).

@@ -6,10 +6,11 @@ from collections.abc import Iterable, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession, functions as F
 
-from tradeloom.operators.joins import lookup_join
-from tradeloom.session import shuffles_dropped
+from tradeloom.operators.joins import broadcastable, lookup_join
+from tradeloom.session import shuffles_dropped, written
 
 REASONS = "_reject_reasons"
+_LACKED = "_lacked"
 
 
 def tag_rows(df: DataFrame, rules: Mapping[str, Column]) -> DataFrame:
@@ -47,12 +48,36 @@ def orphans(fact: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
 
 
 def tag_unknown(fact: DataFrame, dimension: DataFrame, key: str) -> DataFrame:
-    """Like :func:`orphans`, but marks the rows, so one pass serves both sides of a split."""
-    known = dimension.select(key).filter(F.col(key).isNotNull()).distinct()
-    marked = lookup_join(fact, known.withColumn("_known", F.lit(True)), [key], "left")
+    """Like :func:`orphans`, but marks the rows, so one pass serves both sides of a split.
+
+    ``dimension`` may also be what :func:`narrowed` made of it.
+    """
+    if _LACKED in dimension.columns:
+        marked = lookup_join(fact, dimension, [key], "left")
+        return tag_rows(marked, {f"unknown_{key}": F.col(key).isNotNull() & F.col(_LACKED).isNull()}).drop(_LACKED)
+    marked = lookup_join(fact, _keys(dimension, key).withColumn("_known", F.lit(True)), [key], "left")
     return tag_rows(marked, {f"unknown_{key}": F.col("_known")}).drop("_known")
 
 
+def _keys(df: DataFrame, key: str) -> DataFrame:
+    return df.select(key).filter(F.col(key).isNotNull()).distinct()
+
+
+def narrowed(dimension: DataFrame, fact: DataFrame, key: str) -> DataFrame:
+    """For :func:`tag_unknown`, the smaller of what tells the fact table's unknown keys.
+
+    A dimension of too many keys to broadcast would have whole rows of facts shuffled. Of ``fact``, a stored table that
+    holds the keys of all rows to be tagged, only the keys are; those that the dimension lacks take its place, unless they
+    are too many as well.
+    """
+    known = _keys(dimension, key)
+    if broadcastable(known):
+        return dimension
+    with shuffles_dropped(fact.sparkSession):
+        lacked = written(_keys(fact, key).join(known, key, "left_anti"), "lacked")
+    return lacked.withColumn(_LACKED, F.lit(True)) if broadcastable(lacked) else dimension
+
+
 def land_split(tagged: DataFrame | Iterable[DataFrame], path: str, mode: str = "overwrite") -> tuple[DataFrame, DataFrame]:
     """Write a tagged table once, split by folder, and return (good, rejected) reads of it.
 
